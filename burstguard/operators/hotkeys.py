@@ -1,0 +1,301 @@
+"""Sequence matches of keys too large for one task.
+
+A hot key is cut into time slots a few windows long. A match spans at most one window, so a
+slot that also sees the rows one reach (window + lateness) before it knows every candidate that
+ends in it. What a slot cannot know is the state it starts in, and there are few such states:
+how far back the buffer reaches (only the starts of candidates crossing the border matter) or
+which time holds the key back. So
+
+1. each slot works out, in parallel, which state it ends in for each state it may start in;
+2. per key those small tables are chained, slot after slot, giving every slot its real start;
+3. each slot, again in parallel, replays from its real start and emits its matches.
+
+The result is exactly that of ``sequence.fold_matches``. The unit of work is one key's rows within
+a few rule windows, never the key. For ``count`` only the first ``2 * threshold + 2`` rows of one
+key and one millisecond can take part in a match or hold one back, so the others are left out
+before the shuffle; that bounds a slot by the rule's window whatever the data.
+"""
+
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from burstguard.schemas import LATENESS_MS
+from burstguard.session import materialize, ship_package
+
+SLOT_REACHES = 4
+BROADCAST_KEYS = 100_000
+
+MATCH_SCHEMA = (
+    "groupKey string, userId string, ip string, deviceId string, matchCount int, "
+    "firstEventTimestamp long, lastEventTimestamp long, eventSeqs array<long>"
+)
+EXITS_SCHEMA = (
+    "groupKey string, slot long, size int, core int, starts array<int>, startKinds array<int>, "
+    "startExits array<long>, held array<long>, heldKinds array<int>, heldExits array<long>"
+)
+STATES_SCHEMA = "groupKey string, slot long, kind int, value long"
+
+FREE, HELD = 0, 1
+FAR_BACK = np.iinfo(np.int32).max
+
+
+@dataclass
+class HotKeys:
+    keys: DataFrame
+    small: bool
+    max_threshold: int
+
+    def hint(self) -> DataFrame:
+        return F.broadcast(self.keys) if self.small else self.keys
+
+
+def find_hot_keys(rows: DataFrame, hot_rows: int) -> HotKeys | None:
+    """Keys with more than ``hot_rows`` rows, counted exactly and stored, or None."""
+    hot = (
+        rows.groupBy("groupKey")
+        .agg(F.count("*").alias("n"), F.max("threshold").alias("threshold"))
+        .where(F.col("n") > hot_rows)
+    )
+    hot = materialize(hot)
+    n, threshold = hot.agg(F.count("*"), F.max("threshold")).first()
+    if not n:
+        return None
+    return HotKeys(hot.select("groupKey"), n <= BROADCAST_KEYS, threshold)
+
+
+def split_matches(rows: DataFrame, max_threshold: int) -> DataFrame:
+    ship_package(rows.sparkSession)
+    slots = materialize(_slots(_first_of_each_time(rows, 2 * max_threshold + 2)))
+    grouped = slots.groupBy("groupKey", "slot")
+    exits = grouped.applyInPandas(_slot_exits, EXITS_SCHEMA)
+    states = materialize(exits.groupBy("groupKey").applyInPandas(_chain_slots, STATES_SCHEMA))
+    return grouped.cogroup(states.groupBy("groupKey", "slot")).applyInPandas(_replay_slot, MATCH_SCHEMA)
+
+
+def _first_of_each_time(rows: DataFrame, keep: int) -> DataFrame:
+    """Exact for ``count``: later rows of the same key and millisecond cannot matter (see above)."""
+    same_time = Window.partitionBy("groupKey", "timestamp").orderBy("seq")
+    counted = (
+        rows.where(F.col("detector") == "count")
+        .withColumn("_place", F.row_number().over(same_time))
+        .where(F.col("_place") <= keep)
+        .drop("_place")
+    )
+    return counted.unionByName(rows.where(F.col("detector") != "count"))
+
+
+def _slots(rows: DataFrame) -> DataFrame:
+    """Each row in the slot it belongs to and, near a border, in the next one too."""
+    reach = F.col("windowSizeMs") + LATENESS_MS
+    span = reach * SLOT_REACHES
+    own = F.floor(F.col("timestamp") / span)
+    reached = F.floor((F.col("timestamp") + reach) / span)
+    return rows.withColumn("_own", own).withColumn("slot", F.explode(F.sequence(own, reached))).withColumn(
+        "core", F.col("slot") == F.col("_own")
+    ).drop("_own")
+
+
+class _Slot:
+    """Sorted rows of one slot with their candidate intervals."""
+
+    def __init__(self, pdf: pd.DataFrame):
+        pdf = pdf.sort_values(["timestamp", "seq"], kind="stable", ignore_index=True)
+        self.rows = pdf
+        self.t = pdf["timestamp"].to_numpy(np.int64)
+        self.size = len(pdf)
+        self.core = int(self.size - pdf["core"].sum())
+        self.detector = pdf["detector"].iat[0]
+        self.n = int(pdf["threshold"].iat[0])
+        self.window = int(pdf["windowSizeMs"].iat[0])
+        self.reach = self.window + LATENESS_MS
+        self.role = pdf["role"].to_numpy(object)
+        if self.detector in ("pay", "chain"):
+            lowered = pdf["ip"].fillna("").str.lower()
+            self.ip, names = pd.factorize(lowered)
+            self.no_ip = int(np.flatnonzero(names == "")[0]) if (names == "").any() else -1
+        self.need = self._needs()
+        # next_end[p]: the earliest row completing a match that starts at p or later.
+        ends = np.flatnonzero(self.need >= 0)
+        first_end = np.full(self.size + 1, self.size)
+        np.minimum.at(first_end, self.need[ends], ends)
+        self.next_end = np.minimum.accumulate(first_end[::-1])[::-1]
+
+    def _needs(self) -> np.ndarray:
+        none = np.full(self.size, -1)
+        at = np.arange(self.size)
+        if self.detector == "count":
+            start = at - (self.n - 1)
+            near = (start >= 0) & (self.t - self.t[np.maximum(start, 0)] <= self.window)
+            return np.where(near, start, none)
+        if self.detector == "pair":
+            first = np.maximum.accumulate(np.where(self.role == "first", at, -1))
+            near = (self.role == "second") & (first >= 0) & (self.t - self.t[first] <= self.window)
+            return np.where(near, first, none)
+        return self._payment_needs(none)
+
+    def _payment_needs(self, none: np.ndarray) -> np.ndarray:
+        small_at = np.flatnonzero(self.role == "small")
+        large_at = np.flatnonzero(self.role == "large")
+        login_at = np.flatnonzero((self.role == "login") & (self.ip != self.no_ip))
+        behind = np.searchsorted(small_at, large_at) - self.n
+        keep = behind >= 0
+        large_at, behind = large_at[keep], behind[keep]
+        if not len(large_at) or not len(login_at):
+            return none
+        oldest = small_at[behind]
+        if self.detector == "chain":
+            place = np.searchsorted(login_at, oldest) - 1
+            login = np.where(place >= 0, login_at[place], -1)
+            start = login
+        else:
+            place = np.searchsorted(login_at, large_at) - 1
+            turned = np.flatnonzero(np.diff(self.ip[login_at])) + 1
+            turn = np.searchsorted(turned, place, side="right") - 1
+            before_turn = np.full(len(place), -1)
+            if len(turned):
+                before_turn = np.where(turn >= 0, login_at[turned[turn] - 1], -1)
+            same = self.ip[login_at[place]] == self.ip[large_at]
+            login = np.where(place < 0, -1, np.where(same, before_turn, login_at[place]))
+            login = np.where(self.ip[large_at] == self.no_ip, -1, login)
+            start = np.minimum(login, oldest)
+        near = (login >= 0) & (self.t[large_at] - self.t[login] <= self.window)
+        near &= self.t[large_at] - self.t[oldest] <= self.window
+        none[large_at[near]] = start[near]
+        return none
+
+    def step(self, kind: int, place: int, last: int):
+        """Next state of ``(kind, place, last)`` and the match taken, or None at the slot's end."""
+        if kind == FREE:
+            end = self.next_end[place]
+            if end == self.size:
+                return None
+            if self.t[end] == last:
+                return (HELD, 0, last), None
+            return (FREE, end + 1, self.t[end]), (end, place)
+        arrival = np.searchsorted(self.t, last + self.reach, side="right")
+        if arrival == self.size:
+            return None
+        buffer = np.searchsorted(self.t, self.t[arrival] - self.reach, side="left")
+        end = self.next_end[buffer]
+        if end <= arrival:
+            return (FREE, arrival + 1, self.t[end]), (end, buffer)
+        return (FREE, buffer, -1), None
+
+    def exit_of(self, state, known: dict):
+        """State at the slot's end as (kind, value): rows back from the end, or the holding time."""
+        path = []
+        while True:
+            kind, place, last = state
+            node = (kind, place, last if kind == HELD or (place < self.size and self.t[place] == last) else -1)
+            if node in known:
+                result = known[node]
+                break
+            path.append(node)
+            moved = self.step(kind, place, last)
+            if moved is None:
+                result = (HELD, int(last)) if kind == HELD else (FREE, int(self.size - place))
+                break
+            state = moved[0]
+        for node in path:
+            known[node] = result
+        return result
+
+    def matches(self, kind: int, value: int):
+        if kind == FREE:
+            state = (FREE, max(0, self.core - value), -1)
+        else:
+            state = (HELD, 0, value)
+        while (moved := self.step(*state)) is not None:
+            state, match = moved
+            if match is not None:
+                yield match
+
+    def match_rows(self, end: int, buffer: int) -> np.ndarray:
+        if self.detector == "count":
+            return np.arange(end - self.n + 1, end + 1)
+        if self.detector == "pair":
+            return np.array([self.need[end], end])
+        start = self.need[end] if self.detector == "chain" else buffer
+        span = np.arange(start, end)
+        near = span[self.t[end] - self.t[span] <= self.window]
+        smalls = near[self.role[near] == "small"]
+        if self.detector == "chain":
+            return np.concatenate(([start], smalls, [end]))
+        logins = near[(self.role[near] == "login") & (self.ip[near] != self.no_ip) & (self.ip[near] != self.ip[end])]
+        login = logins[np.argmax(self.t[logins])]
+        found = np.concatenate(([login], smalls, [end]))
+        return found[np.argsort(self.t[found], kind="stable")]
+
+
+def _slot_exits(pdf: pd.DataFrame) -> pd.DataFrame:
+    slot = _Slot(pdf)
+    known: dict = {}
+    ends = np.flatnonzero(slot.need >= 0)
+    crossing = np.unique(slot.need[ends[(ends >= slot.core) & (slot.need[ends] < slot.core)]])
+    starts = [int(p) for p in crossing] + [slot.core]
+    free = [slot.exit_of((FREE, p, -1), known) for p in starts]
+    # Times before the border that can hold the key; -1 stands for any older one.
+    before = ends[ends < slot.core]
+    holders = np.unique(slot.t[before[slot.t[slot.need[before]] == slot.t[before]]])
+    held = [int(x) for x in holders]
+    held_exits = [slot.exit_of((HELD, 0, x), known) for x in held]
+    if slot.core < slot.size:
+        older = int(slot.t[slot.core]) - slot.reach - 1
+        held_exits.append(slot.exit_of((HELD, 0, older), known))
+        held.append(-1)
+    return pd.DataFrame(
+        {
+            "groupKey": [pdf["groupKey"].iat[0]],
+            "slot": [pdf["slot"].iat[0]],
+            "size": [slot.size],
+            "core": [slot.core],
+            "starts": [starts],
+            "startKinds": [[k for k, _ in free]],
+            "startExits": [[v for _, v in free]],
+            "held": [held],
+            "heldKinds": [[k for k, _ in held_exits]],
+            "heldExits": [[v for _, v in held_exits]],
+        }
+    )
+
+
+def _chain_slots(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The state every slot of one key really starts in."""
+    pdf = pdf.sort_values("slot", ignore_index=True)
+    kind, value = FREE, int(FAR_BACK)
+    out = []
+    for row in pdf.itertuples(index=False):
+        out.append((row.groupKey, row.slot, kind, value))
+        if row.core == row.size:
+            # No rows of its own: nothing arrives, the state passes on.
+            continue
+        if kind == FREE:
+            starts = np.asarray(row.starts)
+            at = int(np.searchsorted(starts, max(0, row.core - value)))
+            kind, value = int(row.startKinds[at]), int(row.startExits[at])
+        else:
+            held = np.asarray(row.held)
+            at = np.flatnonzero(held == value)
+            at = int(at[0]) if len(at) else len(held) - 1
+            kind, value = int(row.heldKinds[at]), int(row.heldExits[at])
+    return pd.DataFrame(out, columns=["groupKey", "slot", "kind", "value"])
+
+
+def _replay_slot(pdf: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+    columns = ["groupKey", "userId", "ip", "deviceId", "matchCount", "firstEventTimestamp",
+               "lastEventTimestamp", "eventSeqs"]
+    if not len(pdf) or not pdf["core"].any():
+        return pd.DataFrame([], columns=columns)
+    slot = _Slot(pdf)
+    seq = slot.rows["seq"].to_numpy()
+    out = []
+    for end, buffer in slot.matches(int(state["kind"].iat[0]), int(state["value"].iat[0])):
+        found = slot.match_rows(end, buffer)
+        first = slot.rows.iloc[found[0]]
+        out.append((first["groupKey"], first["userId"], first["ip"], first["deviceId"], len(found),
+                    int(slot.t[found[0]]), int(slot.t[end]), seq[found]))
+    return pd.DataFrame(out, columns=columns)
