@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from burstguard.schemas import LATENESS_MS
-from burstguard.session import materialize, ship_package
+from burstguard.session import materialize
 
 SLOT_REACHES = 4
 BROADCAST_KEYS = 100_000
 
 MATCH_SCHEMA = (
-    "groupKey string, userId string, ip string, deviceId string, matchCount int, "
+    "groupKey string, ruleId string, userId string, ip string, deviceId string, matchCount int, "
     "firstEventTimestamp long, lastEventTimestamp long, eventSeqs array<long>"
 )
 EXITS_SCHEMA = (
@@ -54,21 +54,19 @@ class HotKeys:
 
 
 def find_hot_keys(rows: DataFrame, hot_rows: int) -> HotKeys | None:
-    """Keys with more than ``hot_rows`` rows, counted exactly and stored, or None."""
+    """Keys with more than ``hot_rows`` rows, counted exactly, or None. Only keys that exist are stored."""
     hot = (
         rows.groupBy("groupKey")
         .agg(F.count("*").alias("n"), F.max("threshold").alias("threshold"))
         .where(F.col("n") > hot_rows)
     )
-    hot = materialize(hot)
     n, threshold = hot.agg(F.count("*"), F.max("threshold")).first()
     if not n:
         return None
-    return HotKeys(hot.select("groupKey"), n <= BROADCAST_KEYS, threshold)
+    return HotKeys(materialize(hot.select("groupKey")), n <= BROADCAST_KEYS, threshold)
 
 
 def split_matches(rows: DataFrame, max_threshold: int) -> DataFrame:
-    ship_package(rows.sparkSession)
     slots = materialize(_slots(_first_of_each_time(rows, 2 * max_threshold + 2)))
     grouped = slots.groupBy("groupKey", "slot")
     exits = grouped.applyInPandas(_slot_exits, EXITS_SCHEMA)
@@ -286,7 +284,7 @@ def _chain_slots(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _replay_slot(pdf: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-    columns = ["groupKey", "userId", "ip", "deviceId", "matchCount", "firstEventTimestamp",
+    columns = ["groupKey", "ruleId", "userId", "ip", "deviceId", "matchCount", "firstEventTimestamp",
                "lastEventTimestamp", "eventSeqs"]
     if not len(pdf) or not pdf["core"].any():
         return pd.DataFrame([], columns=columns)
@@ -296,6 +294,6 @@ def _replay_slot(pdf: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
     for end, buffer in slot.matches(int(state["kind"].iat[0]), int(state["value"].iat[0])):
         found = slot.match_rows(end, buffer)
         first = slot.rows.iloc[found[0]]
-        out.append((first["groupKey"], first["userId"], first["ip"], first["deviceId"], len(found),
+        out.append((first["groupKey"], first["ruleId"], first["userId"], first["ip"], first["deviceId"], len(found),
                     int(slot.t[found[0]]), int(slot.t[end]), seq[found]))
     return pd.DataFrame(out, columns=columns)

@@ -12,7 +12,7 @@ BROADCAST_RULE_ROWS = 200_000
 SALTS = 64
 
 RULE_PARAMETERS = ["ruleId", "ruleName", "ruleType", "windowSizeMs", "threshold", "severityWeight",
-                   "scoreThreshold", "version"]
+                   "scoreThreshold", "version", "detector", "part"]
 
 
 def _join_on_action(events: DataFrame, watched: DataFrame, extra=None) -> DataFrame:

@@ -129,20 +129,52 @@ ROUTED_ACTIONS = {
 }
 
 
+# Rule type -> detector (see ``sequence``). CUSTOM has none; see the pattern operators.
+DETECTORS = {
+    "CREDENTIAL_STUFFING": "count",
+    "ORDER_BRUSH": "count",
+    "HIGH_FREQ_ACCESS": "count",
+    "ABNORMAL_LOGIN": "pair",
+    "PAYMENT_FRAUD": "pay",
+}
+
+
+def _choose(column: Column, values: dict, otherwise=None) -> Column:
+    chosen = F.lit(otherwise).cast("string")
+    for name, value in values.items():
+        chosen = F.when(column == name, value).otherwise(chosen)
+    return chosen
+
+
 def rule_actions(rules: DataFrame, strict_routing: bool = False) -> DataFrame:
-    """One row per rule and watched action (upper case).
+    """One row per rule and watched action (upper case), with the detector of the rule and the
+    part the action plays in it: deciding that here, on the small table, keeps it out of the
+    per-event work. ``part`` is null for actions a rule watches but its detector ignores.
 
     Payment rules need logins to ever fire, so logins are routed to them too;
     ``strict_routing`` leaves them out and payment rules then stay silent.
     """
-    target = F.array(F.upper("targetActionType"))
-    watched = target
+    watched = F.array(F.upper("targetActionType"))
     for rule_type, actions in ROUTED_ACTIONS.items():
         if rule_type == "PAYMENT_FRAUD" and not strict_routing:
             actions = actions + LOGIN_SUCCESS
-        names = F.array(*[F.lit(a) for a in actions])
-        watched = F.when(F.col("ruleType") == rule_type, names).otherwise(watched)
-    return rules.withColumn("watchedAction", F.explode(watched))
+        watched = F.when(F.col("ruleType") == rule_type, F.array(*[F.lit(a) for a in actions])).otherwise(watched)
+    action, detector = F.col("watchedAction"), F.col("detector")
+    part = _choose(
+        detector,
+        {
+            "count": F.when((F.col("ruleType") != "CREDENTIAL_STUFFING") | action.isin(LOGIN_FAIL), "hit"),
+            "pair": F.when(action.isin(LOGIN_SUCCESS), "first").otherwise("second"),
+            "pay": F.when(action.isin(LOGIN_SUCCESS), "login")
+            .when(action.isin(PAYMENT_FRAUD), "large")
+            .otherwise("payment"),
+        },
+    )
+    return (
+        rules.withColumn("watchedAction", F.explode(watched))
+        .withColumn("detector", _choose(F.col("ruleType"), DETECTORS))
+        .withColumn("part", part)
+    )
 
 
 # Rule templates per data profile (id, name, type, action, window, threshold,

@@ -1,7 +1,7 @@
 """Non-overlapping sequence matches per key, in event-time order, as native Spark expressions.
 
 Input rows carry ``groupKey, timestamp, seq, userId, ip, deviceId``, the rule columns
-``windowSizeMs`` and ``threshold``, a ``detector`` and the ``role`` the row plays in it:
+``ruleId``, ``windowSizeMs`` and ``threshold``, a ``detector`` and the ``role`` the row plays in it:
 
 =========  ==================================================================  ====================
 detector   a match                                                             roles
@@ -24,8 +24,6 @@ dropped; a fold over the candidates of each island picks the matches. All of it
 Keys with more rows than ``hot_rows`` go to ``hotkeys`` instead, which splits them by time.
 """
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,42 +33,32 @@ from burstguard.schemas import LATENESS_MS
 # A key with more rows than this is split by time (see ``hotkeys``).
 HOT_ROWS = 200_000
 
-SEQUENCE_COLUMNS = ["groupKey", "timestamp", "seq", "userId", "ip", "deviceId", "detector", "role",
+SEQUENCE_COLUMNS = ["groupKey", "ruleId", "timestamp", "seq", "userId", "ip", "deviceId", "detector", "role",
                     "windowSizeMs", "threshold"]
 
-MATCH_FIELDS = ["groupKey", "userId", "ip", "deviceId", "matchCount", "firstEventTimestamp",
+MATCH_FIELDS = ["groupKey", "ruleId", "userId", "ip", "deviceId", "matchCount", "firstEventTimestamp",
                 "lastEventTimestamp", "eventSeqs"]
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` over ``value`` evaluated once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def with_lookbacks(rows: DataFrame, key: list[str]) -> DataFrame:
     """Adds, per key in (timestamp, seq) order: ``rn``; the last first/login row up to here
     (``first1``) and the last login from another ip than that (``first2``); and the number of
     small payments up to here (``smalls``)."""
     w = Window.partitionBy(*key).orderBy("timestamp", "seq")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
     anchor = F.when(
         (F.col("role") == "first") | ((F.col("role") == "login") & F.coalesce(F.col("ip") != "", F.lit(False))),
-        F.struct(
-            F.col("rn").alias("rn"), F.col("timestamp").alias("t"), F.lower("ip").alias("ip")
-        ),
-    )
-    rows = rows.withColumn("rn", F.row_number().over(w)).withColumn("_anchor", anchor)
-    rows = rows.withColumn("_prior", F.last("_anchor", ignorenulls=True).over(before))
-    turned = F.when(
-        F.col("_anchor").isNotNull() & (F.col("_anchor.ip") != F.col("_prior.ip")), F.col("_prior")
+        F.struct(F.col("rn").alias("rn"), F.col("timestamp").alias("t"), F.lower("ip").alias("ip")),
     )
+    small = (F.col("role") == "small").cast("int")
+    rows = rows.withColumn("rn", F.row_number().over(w)).withColumn("smalls", F.sum(small).over(upto).cast("int"))
+    rows = rows.withColumn("first1", F.last(anchor, ignorenulls=True).over(upto))
+    before = F.lag("first1").over(w)
+    turned = F.when((F.col("first1.rn") == F.col("rn")) & (F.col("first1.ip") != before["ip"]), before)
     return (
         rows.withColumn("_turned", turned)
-        .withColumn("first1", F.last("_anchor", ignorenulls=True).over(upto))
         .withColumn("first2", F.last("_turned", ignorenulls=True).over(upto))
-        .withColumn("smalls", F.sum((F.col("role") == "small").cast("int")).over(upto).cast("int"))
-        .drop("_anchor", "_prior", "_turned")
+        .drop("_turned")
     )
 
 
@@ -93,7 +81,10 @@ def _islands(rows: DataFrame) -> DataFrame:
         with_lookbacks(rows, ["groupKey"])
         .withColumn("_gap", gap_before)
         .withColumn("_end", gap_after)
-        .withColumn("island", F.sum(F.col("_gap").cast("int")).over(w))
+        .withColumn(
+            "island",
+            F.sum(F.col("_gap").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        )
         .where(~alone)
     )
     anchor = F.when(F.col("detector") == "pay", remote_login()).otherwise(F.col("first1"))
@@ -109,7 +100,7 @@ def _islands(rows: DataFrame) -> DataFrame:
         anchor["t"].alias("at"),
         F.col("smalls").alias("smalls"),
     )
-    by = ["groupKey", "detector", "windowSizeMs", "threshold", "island"]
+    by = ["groupKey", "ruleId", "detector", "windowSizeMs", "threshold", "island"]
     closing = F.col("role").isin("second", "large")
     grouped = rows.groupBy(*by).agg(
         F.count("*").alias("size"),
@@ -125,169 +116,113 @@ def _islands(rows: DataFrame) -> DataFrame:
     return grouped.where(can_match).drop("size", "closings", "smallRows", "island")
 
 
-def _needs(islands: DataFrame) -> DataFrame:
-    """``need[i]``: how far back in the island row *i* reaches to complete a match, -1 if it cannot."""
-    a, n, w = F.col("a"), F.col("threshold"), F.col("windowSizeMs")
-    never = F.lit(-1)
-    first_rn = a[0]["rn"]
-
-    def count_need(x, i):
-        j = i - n + 1
-        return F.when((j >= 0) & (x["t"] - F.get(a, F.greatest(j, F.lit(0)))["t"] <= w), j).otherwise(never)
-
-    def anchor_at(x):
-        return F.when(x["arn"].isNotNull() & (x["t"] - x["at"] <= w), x["arn"] - first_rn)
-
-    def pair_need(x, i):
-        return F.when(x["role"] == "second", F.coalesce(anchor_at(x), never)).otherwise(never)
-
-    # Positions of the small payments; x.smalls counts those up to x over the whole key.
-    small_at = F.col("smallAt")
-    small_base = a[0]["smalls"] - F.when(a[0]["role"] == "small", 1).otherwise(0)
-
-    def oldest_small(x):
-        at = x["smalls"] - small_base - n
-        pos = F.when(at >= 0, F.get(small_at, at))
-        return F.when(x["t"] - F.get(a, F.coalesce(pos, F.lit(0)))["t"] <= w, pos)
-
-    def pay_need(x, i):
-        both = F.when(oldest_small(x).isNotNull() & anchor_at(x).isNotNull(), F.least(oldest_small(x), anchor_at(x)))
-        return F.when(x["role"] == "large", F.coalesce(both, never)).otherwise(never)
-
-    def chain_need(x, i):
-        # The login must come before the small payments, so it is the one the oldest of them saw.
-        seen = F.get(a, F.coalesce(oldest_small(x), F.lit(0)))
-        login = F.when(
-            oldest_small(x).isNotNull() & seen["arn"].isNotNull() & (x["t"] - seen["at"] <= w), seen["arn"] - first_rn
-        )
-        return F.when(x["role"] == "large", F.coalesce(login, never)).otherwise(never)
-
-    positions = F.filter(
-        F.transform(a, lambda x, i: F.when(x["role"] == "small", i)), lambda p: p.isNotNull()
-    )
-    need = (
-        F.when(F.col("detector") == "count", F.transform(a, count_need))
-        .when(F.col("detector") == "pair", F.transform(a, pair_need))
-        .when(F.col("detector") == "pay", F.transform(a, pay_need))
-        .otherwise(F.transform(a, chain_need))
-    )
-    candidates = F.filter(F.transform(F.col("need"), lambda s, i: F.when(s >= 0, i)), lambda p: p.isNotNull())
-    pays = F.col("detector").isin("pay", "chain")
-    return (
-        islands.withColumn("smallAt", F.when(pays, positions))
-        .withColumn("need", need)
-        .withColumn("cand", candidates)
-        .where(F.size("cand") > 0)
-        .drop("smallAt")
-    )
-
-
-def _picks(islands: DataFrame) -> DataFrame:
-    """``picks``: the matches of each island as (end, start of the buffer) positions."""
-    a, need, cand = F.col("a"), F.col("need"), F.col("cand")
-    reach = F.col("windowSizeMs") + LATENESS_MS
-    size = F.size(a)
-
-    def state(p, last, held, out):
-        return F.struct(
-            p.cast("int").alias("p"), last.cast("bigint").alias("last"), held.alias("held"), out.alias("out")
-        )
-
-    def taken(s, end, start):
-        pick = F.struct(end.cast("int").alias("e"), start.cast("int").alias("p"))
-        return F.array_append(s["out"], pick)
-
-    def release(s):
-        """A held key moves on with the first arrival past the reach of the rows holding it."""
-
-        def at(arrival):
-            def with_buffer(b):
-                found = F.get(F.filter(cand, lambda c: (F.get(need, c) >= b) & (c <= arrival)), F.lit(0))
-                return let(found, lambda e: F.when(
-                    e.isNotNull(),
-                    state(arrival + 1, F.get(a, e)["t"], F.lit(False), taken(s, e, b)),
-                ).otherwise(state(b, s["last"], F.lit(False), s["out"])))
-
-            floor = F.get(a, arrival)["t"] - reach
-            return let(F.size(F.filter(a, lambda x: x["t"] < floor)), with_buffer)
-
-        arrival = F.size(F.filter(a, lambda x: x["t"] <= s["last"] + reach))
-        return let(arrival, lambda i: F.when(i < size, at(i)).otherwise(s))
-
-    def arrive(s, i):
-        ready = ~s["held"] & (i < size) & (F.get(need, i) >= s["p"])
-        t = F.get(a, i)["t"]
-        return F.when(ready & (t > s["last"]), state(i + 1, t, F.lit(False), taken(s, i, s["p"]))).when(
-            ready, state(s["p"], s["last"], F.lit(True), s["out"])
-        ).otherwise(s)
-
-    def step(s, i):
-        due = s["held"] & ((i >= size) | (F.get(a, i)["t"] > s["last"] + reach))
-        return let(F.when(due, release(s)).otherwise(s), lambda r: arrive(r, i))
-
-    none = F.array().cast("array<struct<e:int,p:int>>")
-    start = state(F.lit(0), F.lit(-1), F.lit(False), none)
-    picks = F.aggregate(F.array_append(cand, size), start, step, lambda s: s["out"])
-    return islands.withColumn("picks", picks)
+# The expressions below are SQL text: nested lambdas read better so, and the plan is built in one
+# call each. ``transform(array(v), x -> ...)[0]`` names a value that is used more than once.
+
+# Positions of the small payments; ``x.smalls - smallBase`` counts those up to x in the island.
+_SMALL_AT = "filter(transform(a, (x, i) -> IF(x.role = 'small', i, NULL)), p -> p IS NOT NULL)"
+_SMALL_BASE = "a[0].smalls - IF(a[0].role = 'small', 1, 0)"
+
+# need[i]: how far back in the island row i reaches to complete a match, -1 if it completes none.
+# A chain's login must come before its small payments, so it is the one the oldest of them saw.
+_NEED = """
+CASE detector
+  WHEN 'count' THEN transform(a, (x, i) ->
+    IF(i >= threshold - 1 AND x.t - get(a, i - threshold + 1).t <= windowSizeMs, i - threshold + 1, -1))
+  WHEN 'pair' THEN transform(a, x ->
+    IF(x.role = 'second' AND x.t - x.at <= windowSizeMs, x.arn - a[0].rn, -1))
+  WHEN 'pay' THEN transform(a, x -> transform(array(get(smallAt, x.smalls - smallBase - threshold)), o ->
+    IF(x.role = 'large' AND x.t - x.at <= windowSizeMs AND x.t - get(a, o).t <= windowSizeMs,
+       least(x.arn - a[0].rn, o), -1))[0])
+  ELSE transform(a, x -> transform(array(get(a, get(smallAt, x.smalls - smallBase - threshold))), o ->
+    IF(x.role = 'large' AND x.t - o.at <= windowSizeMs, o.arn - a[0].rn, -1))[0])
+END
+"""
 
+_CANDIDATES = "filter(transform(need, (s, i) -> IF(s >= 0, i, NULL)), p -> p IS NOT NULL)"
+
+# A held key moves on with the first arrival n past the reach of the rows holding it: its buffer
+# then starts at b, and the earliest match in it that has already arrived is taken.
+_RELEASED = """
+transform(array(size(filter(a, x -> x.t <= s.last + reach))), n -> IF(n >= size(a), s,
+  transform(array(size(filter(a, x -> x.t < get(a, n).t - reach))), b ->
+    transform(array(get(filter(cand, c -> get(need, c) >= b AND c <= n), 0)), e -> IF(e IS NULL,
+      named_struct('p', b, 'last', s.last, 'held', false, 'out', s.out),
+      named_struct('p', n + 1, 'last', get(a, e).t, 'held', false,
+                   'out', array_append(s.out, named_struct('e', e, 'p', b)))))[0])[0]))[0]
+"""
 
-def _rows_of_match(pick: Column) -> Column:
-    """The matched rows of a pick, by time; of equal times the login stands first."""
-    a, need, n, w = F.col("a"), F.col("need"), F.col("threshold"), F.col("windowSizeMs")
-    end, buffer = pick["e"], pick["p"]
-    last = F.get(a, end)
-    counted = F.slice(a, end - n + 2, n)
-    pair = F.array(F.get(a, F.get(need, end)), last)
+# picks: the matches of an island as (end, start of the buffer) positions. Only candidates are
+# visited, then one position past the end, where a held key may still move on.
+_PICKS = f"""
+aggregate(
+  array_append(cand, size(a)),
+  named_struct('p', 0, 'last', -1L, 'held', false, 'out', CAST(array() AS array<struct<e:int,p:int>>)),
+  (s, i) -> transform(
+    array(IF(s.held AND (i >= size(a) OR get(a, i).t > s.last + reach), {_RELEASED}, s)),
+    r -> CASE
+      WHEN NOT r.held AND get(need, i) >= r.p AND get(a, i).t > r.last THEN
+        named_struct('p', i + 1, 'last', get(a, i).t, 'held', false,
+                     'out', array_append(r.out, named_struct('e', i, 'p', r.p)))
+      WHEN NOT r.held AND get(need, i) >= r.p THEN
+        named_struct('p', r.p, 'last', r.last, 'held', true, 'out', r.out)
+      ELSE r
+    END)[0],
+  s -> s.out)
+"""
 
-    span = F.slice(a, buffer + 1, end - buffer)
-    logins = F.filter(
-        span,
-        lambda x: (x["role"] == "login")
-        & F.coalesce(x["ip"] != "", F.lit(False))
-        & (F.lower(x["ip"]) != F.lower(last["ip"]))
-        & (last["t"] - x["t"] <= w),
-    )
-    latest = F.array_max(F.transform(logins, lambda x: x["t"]))
-    login = F.get(F.filter(logins, lambda x: x["t"] == latest), F.lit(0))
-    smalls = F.filter(span, lambda x: (x["role"] == "small") & (last["t"] - x["t"] <= w))
-    paid = F.array_sort(
-        F.concat(F.array(login), smalls, F.array(last)),
-        lambda x, y: F.when(x["t"] != y["t"], F.signum(x["t"] - y["t"]).cast("int")).otherwise(
-            F.signum(_rank(x) - _rank(y)).cast("int")
-        ),
-    )
-    chain_start = F.get(need, end)
-    chained = F.filter(
-        F.slice(a, chain_start + 1, end - chain_start + 1),
-        lambda x: (x["role"] == "small") | (x["rn"] == F.get(a, chain_start)["rn"]) | (x["rn"] == last["rn"]),
-    )
-    return (
-        F.when(F.col("detector") == "count", counted)
-        .when(F.col("detector") == "pair", pair)
-        .when(F.col("detector") == "pay", paid)
-        .otherwise(chained)
-    )
+# Rows of a payment match: the latest login from another ip, the small payments, the large one z,
+# by time; of equal times the login stands first.
+_PAID = """
+transform(array(get(a, k.e)), z -> transform(
+  array(filter(slice(a, k.p + 1, k.e - k.p), x -> z.t - x.t <= windowSizeMs)), near -> transform(
+    array(filter(near, x -> x.role = 'login' AND x.ip <> '' AND lower(x.ip) <> lower(z.ip))), logins ->
+      array_sort(
+        concat(slice(filter(logins, x -> x.t = element_at(logins, -1).t), 1, 1),
+               filter(near, x -> x.role = 'small'), array(z)),
+        (x, y) -> CASE WHEN x.t < y.t THEN -1 WHEN x.t > y.t THEN 1
+                       WHEN x.role = 'login' THEN -1 WHEN y.role = 'login' THEN 1
+                       WHEN x.rn < y.rn THEN -1 WHEN x.rn > y.rn THEN 1 ELSE 0 END))[0])[0])[0]
+"""
 
+_MATCHED_ROWS = f"""
+CASE detector
+  WHEN 'count' THEN slice(a, k.e - threshold + 2, threshold)
+  WHEN 'pair' THEN array(get(a, get(need, k.e)), get(a, k.e))
+  WHEN 'pay' THEN {_PAID}
+  ELSE filter(slice(a, get(need, k.e) + 1, k.e - get(need, k.e) + 1),
+              x -> x.role = 'small' OR x.rn - a[0].rn IN (get(need, k.e), k.e))
+END
+"""
 
-def _rank(x: Column) -> Column:
-    """Order among rows of one time: login, then the payments as they stand."""
-    return F.when(x["role"] == "login", 0).otherwise(x["rn"])
+_MATCHES = f"""
+transform(picks, k -> transform(array({_MATCHED_ROWS}), m -> named_struct(
+  'userId', m[0].u, 'ip', m[0].ip, 'deviceId', m[0].d, 'matchCount', size(m),
+  'firstEventTimestamp', m[0].t, 'lastEventTimestamp', get(a, k.e).t,
+  'eventSeqs', transform(m, x -> x.q)))[0])
+"""
 
 
 def fold_matches(rows: DataFrame) -> DataFrame:
     """Matches of keys that fit one task each."""
-    picked = _picks(_needs(_islands(rows)))
-    exploded = picked.withColumn("pick", F.explode("picks"))
-    m = F.col("m")
-    return exploded.withColumn("m", _rows_of_match(F.col("pick"))).select(
-        "groupKey",
-        m[0]["u"].alias("userId"),
-        m[0]["ip"].alias("ip"),
-        m[0]["d"].alias("deviceId"),
-        F.size(m).alias("matchCount"),
-        m[0]["t"].alias("firstEventTimestamp"),
-        F.get(F.col("a"), F.col("pick.e"))["t"].alias("lastEventTimestamp"),
-        F.transform(m, lambda x: x["q"]).alias("eventSeqs"),
+    # The outer explode keeps the optimizer from filtering on the size of the matches, which
+    # would fold every island twice; the arrays are dropped before rows are multiplied.
+    return (
+        _islands(rows)
+        .withColumn("reach", F.col("windowSizeMs") + LATENESS_MS)
+        .withColumns(
+            {
+                "smallAt": F.when(F.col("detector").isin("pay", "chain"), F.expr(_SMALL_AT)),
+                "smallBase": F.expr(_SMALL_BASE),
+            }
+        )
+        .withColumn("need", F.expr(_NEED))
+        .withColumn("cand", F.expr(_CANDIDATES))
+        .withColumn("picks", F.expr(_PICKS))
+        .select("groupKey", "ruleId", F.expr(_MATCHES).alias("matches"))
+        .select("groupKey", "ruleId", F.explode_outer("matches").alias("m"))
+        .where(F.col("m").isNotNull())
+        .select("groupKey", "ruleId", "m.*")
     )
 
 

@@ -1,8 +1,6 @@
 """Session settings and reliable materialisation."""
 
-import shutil
 import tempfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,19 +42,3 @@ def materialize(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, once per application."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(__file__).resolve().parent
-    archive = shutil.make_archive(
-        str(Path(tempfile.mkdtemp(prefix="burstguard-")) / "burstguard"), "zip", package.parent, package.name
-    )
-    context.addPyFile(archive)
-    _shipped.add(context.applicationId)

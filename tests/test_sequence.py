@@ -56,15 +56,15 @@ def make(seed, keys, style):
             )
             seq += 1
         for e in events:
-            rows.append((key, e["timestamp"], e["seq"], e["userId"], e["ip"], e["deviceId"], detector,
+            rows.append((key, detector, e["timestamp"], e["seq"], e["userId"], e["ip"], e["deviceId"], detector,
                          role_of(detector, e), w, n))
         for m in run(events, detector, w, n):
-            expected.append((key, m[0]["userId"], m[0]["ip"], m[0]["deviceId"], len(m), m[0]["timestamp"],
+            expected.append((key, detector, m[0]["userId"], m[0]["ip"], m[0]["deviceId"], len(m), m[0]["timestamp"],
                              max(e["timestamp"] for e in m), tuple(e["seq"] for e in m)))
     return rows, sorted(expected, key=str)
 
 
-SCHEMA = ("groupKey string, timestamp long, seq long, userId string, ip string, deviceId string, "
+SCHEMA = ("groupKey string, ruleId string, timestamp long, seq long, userId string, ip string, deviceId string, "
           "detector string, role string, windowSizeMs long, threshold int")
 
 
