@@ -44,21 +44,40 @@ def match_rules(events: DataFrame, rules: DataFrame, strict_routing: bool = Fals
     return pairs.withColumn("groupKey", group_key(F.col("ruleId"), F.col("groupKeyType"))).drop("groupKeyType")
 
 
+ASOF_BUCKETS = 1024
+
+
 def match_rules_asof(events: DataFrame, history: DataFrame, strict_routing: bool = False) -> DataFrame:
     """As ``match_rules`` with the rule version in force when the event arrived.
 
-    ``seq`` of events and of the changelog must count in one common arrival order.
+    ``seq`` of events and of the changelog must count in one common arrival order. The span of the
+    changelog is cut into buckets and each version listed under those it was in force in, so an
+    event meets the versions of its own bucket only. Versions of one rule never overlap, which
+    bounds the list by versions + rules x buckets.
     """
     live = history.where(is_enabled_rule() & is_valid_rule())
-    watched = rule_actions(live, strict_routing).select(
-        *RULE_PARAMETERS, "groupKeyType", "watchedAction", "validFrom", "validTo"
+    low, high = history.agg(F.min("validFrom"), F.max(F.coalesce("validTo", "validFrom"))).first()
+    low, width = (low or 0), max(1, ((high or 0) - (low or 0)) // ASOF_BUCKETS + 1)
+
+    def bucket(seq):
+        at = F.floor((seq - low) / width)
+        return F.greatest(F.lit(0).cast("bigint"), F.least(F.lit(ASOF_BUCKETS - 1).cast("bigint"), at))
+
+    last = F.coalesce(bucket(F.col("validTo") - 1), F.lit(ASOF_BUCKETS - 1).cast("bigint"))
+    watched = (
+        rule_actions(live, strict_routing)
+        .where(F.col("validTo").isNull() | (F.col("validTo") > F.col("validFrom")))
+        .withColumn("_bucket", F.explode(F.sequence(bucket(F.col("validFrom")), last)))
+        .select(*RULE_PARAMETERS, "groupKeyType", "watchedAction", "validFrom", "validTo", "_bucket")
     )
-    in_force = (F.col("seq") >= F.col("validFrom")) & (
-        F.col("validTo").isNull() | (F.col("seq") < F.col("validTo"))
+    in_force = (
+        (bucket(F.col("seq")) == F.col("_bucket"))
+        & (F.col("seq") >= F.col("validFrom"))
+        & (F.col("validTo").isNull() | (F.col("seq") < F.col("validTo")))
     )
     pairs = _join_on_action(events.where(is_valid_event()), watched, in_force)
     return pairs.withColumn("groupKey", group_key(F.col("ruleId"), F.col("groupKeyType"))).drop(
-        "groupKeyType", "validFrom", "validTo"
+        "groupKeyType", "validFrom", "validTo", "_bucket"
     )
 
 
