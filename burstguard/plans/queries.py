@@ -398,7 +398,7 @@ def pattern_times_overlapping(spark, sf):
 
 def pattern_followed_by(spark, sf):
     e, a = _events(spark, sf), F.col("actionType")
-    return _pattern_rows(pt.followed_by(e, is_login_success(a), is_sensitive_action(a), 48 * HOUR, F.col("deviceId")))
+    return _pattern_rows(pt.followed_by(e, is_login_success(a), is_sensitive_action(a), 48 * HOUR, by_device_id(F.col("deviceId"))))
 
 
 def pattern_payment_chain(spark, sf):
