@@ -290,10 +290,9 @@ def _replay_slot(pdf: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([], columns=columns)
     slot = _Slot(pdf)
     seq = slot.rows["seq"].to_numpy()
+    who = [slot.rows[c].to_numpy(object) for c in ["groupKey", "ruleId", "userId", "ip", "deviceId"]]
     out = []
     for end, buffer in slot.matches(int(state["kind"].iat[0]), int(state["value"].iat[0])):
         found = slot.match_rows(end, buffer)
-        first = slot.rows.iloc[found[0]]
-        out.append((first["groupKey"], first["ruleId"], first["userId"], first["ip"], first["deviceId"], len(found),
-                    int(slot.t[found[0]]), int(slot.t[end]), seq[found]))
+        out.append((*(c[found[0]] for c in who), len(found), int(slot.t[found[0]]), int(slot.t[end]), seq[found]))
     return pd.DataFrame(out, columns=columns)

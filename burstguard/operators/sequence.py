@@ -31,7 +31,7 @@ from burstguard.operators import hotkeys
 from burstguard.schemas import LATENESS_MS
 
 # A key with more rows than this is split by time (see ``hotkeys``).
-HOT_ROWS = 200_000
+HOT_ROWS = 100_000
 
 SEQUENCE_COLUMNS = ["groupKey", "ruleId", "timestamp", "seq", "userId", "ip", "deviceId", "detector", "role",
                     "windowSizeMs", "threshold"]
@@ -141,41 +141,63 @@ END
 
 _CANDIDATES = "filter(transform(need, (s, i) -> IF(s >= 0, i, NULL)), p -> p IS NOT NULL)"
 
+
+
+def _state(p: str, last: str, held: str, out: str) -> str:
+    """State of a fold: buffer start, end of the last match, whether it holds the key back, picks."""
+    return f"named_struct('p', {p}, 'last', {last}, 'held', {held}, 'out', {out})"
+
+
 # A held key moves on with the first arrival n past the reach of the rows holding it: its buffer
 # then starts at b, and the earliest match in it that has already arrived is taken.
-_RELEASED = """
+_RELEASED = f"""
 transform(array(size(filter(a, x -> x.t <= s.last + reach))), n -> IF(n >= size(a), s,
   transform(array(size(filter(a, x -> x.t < get(a, n).t - reach))), b ->
     transform(array(get(filter(cand, c -> get(need, c) >= b AND c <= n), 0)), e -> IF(e IS NULL,
-      named_struct('p', b, 'last', s.last, 'held', false, 'out', s.out),
-      named_struct('p', n + 1, 'last', get(a, e).t, 'held', false,
-                   'out', array_append(s.out, named_struct('e', e, 'p', b)))))[0])[0]))[0]
+      {_state("b", "s.last", "false", "s.out")},
+      {_state("n + 1", "get(a, e).t", "false", "array_append(s.out, named_struct('e', e, 'p', b))")}))[0])[0]))[0]
 """
 
+
+def _arrived(s: str) -> str:
+    """What the arrival of row i makes of a state."""
+    return f"""
+    CASE
+      WHEN NOT {s}.held AND get(need, i) >= {s}.p AND get(a, i).t > {s}.last THEN
+        {_state("i + 1", "get(a, i).t", "false", f"array_append({s}.out, named_struct('e', i, 'p', {s}.p))")}
+      WHEN NOT {s}.held AND get(need, i) >= {s}.p THEN {_state(f"{s}.p", f"{s}.last", "true", f"{s}.out")}
+      ELSE {s}
+    END"""
+
+
+_NO_PICKS = "CAST(array() AS array<struct<e:int,p:int>>)"
+
 # picks: the matches of an island as (end, start of the buffer) positions. Only candidates are
-# visited, then one position past the end, where a held key may still move on.
+# visited, then one position past the end, where a held key may still move on. ``aggregate`` copies
+# its state at every step, so the picks of 512 candidates are folded at a time and then joined on.
 _PICKS = f"""
 aggregate(
-  array_append(cand, size(a)),
-  named_struct('p', 0, 'last', -1L, 'held', false, 'out', CAST(array() AS array<struct<e:int,p:int>>)),
-  (s, i) -> transform(
-    array(IF(s.held AND (i >= size(a) OR get(a, i).t > s.last + reach), {_RELEASED}, s)),
-    r -> CASE
-      WHEN NOT r.held AND get(need, i) >= r.p AND get(a, i).t > r.last THEN
-        named_struct('p', i + 1, 'last', get(a, i).t, 'held', false,
-                     'out', array_append(r.out, named_struct('e', i, 'p', r.p)))
-      WHEN NOT r.held AND get(need, i) >= r.p THEN
-        named_struct('p', r.p, 'last', r.last, 'held', true, 'out', r.out)
-      ELSE r
-    END)[0],
-  s -> s.out)
+  transform(sequence(0, CAST(size(cand) DIV 512 AS INT)), j ->
+    transform(sequence(j * 512, least(j * 512 + 511, size(cand))), x -> IF(x < size(cand), get(cand, x), size(a)))),
+  {_state("0", "-1L", "false", _NO_PICKS)},
+  (z, chunk) -> transform(array(aggregate(
+    chunk,
+    {_state("z.p", "z.last", "z.held", _NO_PICKS)},
+    (s, i) -> CASE
+      WHEN s.held AND (i >= size(a) OR get(a, i).t > s.last + reach) THEN
+        transform(array({_RELEASED}), r -> {_arrived("r")})[0]
+      ELSE {_arrived("s")}
+    END)), r -> {_state("r.p", "r.last", "r.held", "concat(z.out, r.out)")})[0],
+  z -> z.out)
 """
 
+# Rows are taken by position: ``slice`` would read the whole island for every match.
+
 # Rows of a payment match: the latest login from another ip, the small payments, the large one z,
 # by time; of equal times the login stands first.
 _PAID = """
 transform(array(get(a, k.e)), z -> transform(
-  array(filter(slice(a, k.p + 1, k.e - k.p), x -> z.t - x.t <= windowSizeMs)), near -> transform(
+  array(filter(transform(sequence(k.p, k.e - 1), i -> get(a, i)), x -> z.t - x.t <= windowSizeMs)), near -> transform(
     array(filter(near, x -> x.role = 'login' AND x.ip <> '' AND lower(x.ip) <> lower(z.ip))), logins ->
       array_sort(
         concat(slice(filter(logins, x -> x.t = element_at(logins, -1).t), 1, 1),
@@ -187,10 +209,10 @@ transform(array(get(a, k.e)), z -> transform(
 
 _MATCHED_ROWS = f"""
 CASE detector
-  WHEN 'count' THEN slice(a, k.e - threshold + 2, threshold)
+  WHEN 'count' THEN transform(sequence(k.e - threshold + 1, k.e), i -> get(a, i))
   WHEN 'pair' THEN array(get(a, get(need, k.e)), get(a, k.e))
   WHEN 'pay' THEN {_PAID}
-  ELSE filter(slice(a, get(need, k.e) + 1, k.e - get(need, k.e) + 1),
+  ELSE filter(transform(sequence(get(need, k.e), k.e), i -> get(a, i)),
               x -> x.role = 'small' OR x.rn - a[0].rn IN (get(need, k.e), k.e))
 END
 """
