@@ -119,23 +119,25 @@ def _islands(rows: DataFrame) -> DataFrame:
 # The expressions below are SQL text: nested lambdas read better so, and the plan is built in one
 # call each. ``transform(array(v), x -> ...)[0]`` names a value that is used more than once.
 
-# Positions of the small payments; ``x.smalls - smallBase`` counts those up to x in the island.
+# Positions of the small payments; ``x.smalls`` less the base counts those up to x in the island.
 _SMALL_AT = "filter(transform(a, (x, i) -> IF(x.role = 'small', i, NULL)), p -> p IS NOT NULL)"
 _SMALL_BASE = "a[0].smalls - IF(a[0].role = 'small', 1, 0)"
 
 # need[i]: how far back in the island row i reaches to complete a match, -1 if it completes none.
 # A chain's login must come before its small payments, so it is the one the oldest of them saw.
-_NEED = """
+_NEED = f"""
 CASE detector
   WHEN 'count' THEN transform(a, (x, i) ->
     IF(i >= threshold - 1 AND x.t - get(a, i - threshold + 1).t <= windowSizeMs, i - threshold + 1, -1))
   WHEN 'pair' THEN transform(a, x ->
     IF(x.role = 'second' AND x.t - x.at <= windowSizeMs, x.arn - a[0].rn, -1))
-  WHEN 'pay' THEN transform(a, x -> transform(array(get(smallAt, x.smalls - smallBase - threshold)), o ->
-    IF(x.role = 'large' AND x.t - x.at <= windowSizeMs AND x.t - get(a, o).t <= windowSizeMs,
-       least(x.arn - a[0].rn, o), -1))[0])
-  ELSE transform(a, x -> transform(array(get(a, get(smallAt, x.smalls - smallBase - threshold))), o ->
-    IF(x.role = 'large' AND x.t - o.at <= windowSizeMs, o.arn - a[0].rn, -1))[0])
+  WHEN 'pay' THEN transform(array({_SMALL_AT}), small -> transform(a, x ->
+    transform(array(get(small, x.smalls - ({_SMALL_BASE}) - threshold)), o ->
+      IF(x.role = 'large' AND x.t - x.at <= windowSizeMs AND x.t - get(a, o).t <= windowSizeMs,
+         least(x.arn - a[0].rn, o), -1))[0]))[0]
+  ELSE transform(array({_SMALL_AT}), small -> transform(a, x ->
+    transform(array(get(a, get(small, x.smalls - ({_SMALL_BASE}) - threshold))), o ->
+      IF(x.role = 'large' AND x.t - o.at <= windowSizeMs, o.arn - a[0].rn, -1))[0]))[0]
 END
 """
 
@@ -232,12 +234,6 @@ def fold_matches(rows: DataFrame) -> DataFrame:
     return (
         _islands(rows)
         .withColumn("reach", F.col("windowSizeMs") + LATENESS_MS)
-        .withColumns(
-            {
-                "smallAt": F.when(F.col("detector").isin("pay", "chain"), F.expr(_SMALL_AT)),
-                "smallBase": F.expr(_SMALL_BASE),
-            }
-        )
         .withColumn("need", F.expr(_NEED))
         .withColumn("cand", F.expr(_CANDIDATES))
         .withColumn("picks", F.expr(_PICKS))
