@@ -75,3 +75,20 @@ FROM placed
 """
 
 ORACLES = {"op6_quality_rules": OP6, "op8_sharding": OP8}
+
+OP9 = """
+WITH used AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v, row_number() OVER () AS r
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, q.r AS qr, c.vec_id,
+         CAST(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM used q JOIN used c ON q.r <> c.r WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(n AS INT) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, qr ORDER BY score DESC, vec_id) AS n FROM scored) WHERE n <= 5
+"""
+
+ORACLES["op9_topk_search"] = OP9

@@ -2,13 +2,46 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstguard.llm import rules, sharding
+from burstguard.llm import bpe, licences, packing, rules, sharding, simhash, topk
 from burstguard.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file; the folder can be named in ``TOKENIZER_DIR``."""
+    folder = os.environ.get("TOKENIZER_DIR")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "found.*")
+
+
+def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("word_bpe_49k.json")
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.apply_policy(rules.ledger(table(spark, sf_dir, "documents")))
     base = F.lit(rules.POLICIES["base-1"]).cast("long")
@@ -39,7 +72,22 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES = {
+    "op2_licence_scan": op2_licence_scan,
+    "op4_bpe_roundtrip": op4_bpe_roundtrip,
+    "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
     "op8_sharding": op8_sharding,
+    "op9_topk_search": op9_topk_search,
+    "op10_simhash": op10_simhash,
 }
