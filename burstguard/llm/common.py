@@ -41,6 +41,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def spread(spark: SparkSession) -> int:
-    """Partitions for a repartition by key: what the session uses for its shuffles."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def row_key() -> Column:
+    """Names a row by its id and text; repeated rows share it."""
+    marked = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("n")), F.coalesce("text", F.lit("n")))
+    return F.unhex(F.md5(F.concat(F.when(F.col("text").isNull(), "n").otherwise("t"), marked)))

@@ -5,14 +5,16 @@ from burstguard.llm.sharding import BUCKETS, SEED
 OP6 = r"""
 WITH split AS (
   SELECT doc_id, coalesce(text, '') AS t,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls,
          row_number() OVER () AS r
   FROM documents
 ), windows AS (
-  SELECT r, unnest(range(1, len(w) - 3)) AS i, w FROM split WHERE len(w) >= 5
+  SELECT r, unnest(range(1, len(w) - 3)) AS i,
+         unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS five
+  FROM split WHERE len(w) >= 5
 ), marked AS (
-  SELECT r, i, count(*) OVER (PARTITION BY r, w[i:i + 4]) AS n FROM windows
+  SELECT r, i, count(*) OVER (PARTITION BY r, five) AS n FROM windows
 ), covered AS (
   SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM marked WHERE n > 1) GROUP BY r
 ), counted AS (
@@ -40,7 +42,7 @@ FROM judged
 #: CRC-32 of a text in SQL: the byte table follows from the polynomial.
 _CRC = """
   SELECT list(c ORDER BY b) AS tab FROM (
-    SELECT b, list_reduce(list_prepend(b, range(8)), (c, k) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
     FROM (SELECT unnest(range(256)) AS b))
 """
 
@@ -53,8 +55,8 @@ WITH crc AS ({_CRC}), rows_ AS (
   FROM documents
 ), summed AS (
   SELECT rows_.*, xor(list_reduce(
-    list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(t)), '..'), h -> CAST('0x' || h AS BIGINT))),
-    (c, b) -> xor(c >> 8, crc.tab[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+    list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+    lambda c, b: xor(c >> 8, crc.tab[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
   FROM rows_, crc
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id, text_crc32, size) AS rank,
@@ -78,13 +80,13 @@ ORACLES = {"op6_quality_rules": OP6, "op8_sharding": OP8}
 
 OP9 = """
 WITH used AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v, row_number() OVER () AS r
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v, row_number() OVER () AS r
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, q.r AS qr, c.vec_id,
-         CAST(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
   FROM used q JOIN used c ON q.r <> c.r WHERE q.vec_id % 50 = 0
 )
 SELECT query_id, CAST(n AS INT) AS rank, vec_id, score FROM (

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstguard.llm import bpe, licences, packing, rules, sharding, simhash, topk
+from burstguard.llm import bpe, licences, line_dedup, packing, pu, rules, sharding, simhash, suffix_dedup, topk
 from burstguard.llm.common import table
 
 
@@ -21,10 +21,34 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    body = F.coalesce("text", F.lit("")).cast("binary")
+    keyed = docs.withColumn("whole_sha256", F.sha2(body, 256)).withColumns(suffix_dedup.text_keys())
+    found = suffix_dedup.repeated_spans(docs).drop("kept_text")
+    return (
+        keyed.select("doc_id", "text_id", "n_bytes", "whole_sha256")
+        .join(found, ["text_id", "n_bytes"], "left")
+        .select(
+            "doc_id",
+            F.col("n_bytes").cast("long").alias("n_bytes"),
+            F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+            F.coalesce(F.size("spans") / 2, F.lit(0)).cast("long").alias("n_spans"),
+            F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
+        )
+    )
+
+
 def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "found.*")
 
 
+def op3_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = pu.train(docs, table(spark, sf_dir, "labels"))
+    return pu.classify(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
     encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
@@ -58,6 +82,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.interleave(table(spark, sf_dir, "documents"), shards=24)
     return placed.select(
@@ -83,10 +113,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_licence_scan": op2_licence_scan,
+    "op3_pu_quality": op3_pu_quality,
     "op4_bpe_roundtrip": op4_bpe_roundtrip,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_line_dedup": op7_line_dedup,
     "op8_sharding": op8_sharding,
     "op9_topk_search": op9_topk_search,
     "op10_simhash": op10_simhash,

@@ -127,13 +127,25 @@ def ledger(docs: DataFrame) -> DataFrame:
     Null and blank texts have no words: all measurements are 0 and only ``few_words`` fails. Repeated rows and null
     ids each keep a row of their own; an empty table gives an empty ledger; other columns are not read.
     """
-    measured = docs.select("doc_id", F.explode(F.array(measures(F.col("text")))).alias("m")).select("doc_id", "m.*")
+    judged = _judged(docs.select("doc_id", "text"))
+    return judged.select("row.doc_id", *judged.columns[1:])
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """The whole input row as a struct, beside its measurements and bits: names of extra columns cannot clash."""
+    measured = docs.select(F.struct("*").alias("row"), F.explode(F.array(measures(F.col("text")))).alias("m"))
+    measured = measured.select("row", "m.*")
     bits = F.lit(0).cast("long")
     for i, (_, rule) in enumerate(RULES):
         bits = bits.bitwiseOR(F.when(rule(), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
     return measured.withColumn("fail_bits", bits)
 
 
+def keep(docs: DataFrame, version: str = DEFAULT_POLICY) -> DataFrame:
+    """The rows of ``docs`` that a policy version keeps, with all their columns."""
+    return apply_policy(_judged(docs), version).filter("kept").select("row.*")
+
+
 def apply_policy(frame: DataFrame, version: str = DEFAULT_POLICY, into: str = "kept") -> DataFrame:
     """Add the verdict of one policy version to a ledger."""
     return frame.withColumn(into, F.col("fail_bits").bitwiseAND(F.lit(POLICIES[version]).cast("long")) == 0)

@@ -18,9 +18,10 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from burstguard.llm.common import written
+from burstguard.llm.common import row_key, written
 from burstguard.llm.components import components
 
 BITS = 64
@@ -200,11 +201,29 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def with_components(marked: DataFrame) -> DataFrame:
-    """Add ``component_id`` to rows that have ``doc_id`` and ``fp``."""
+    """Add ``root`` (a fingerprint) and ``component_id`` to rows that have ``doc_id`` and ``fp``."""
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(fingerprint_links(classes.select("fp")))
     placed = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(placed.join(ids, "root").select("fp", "component_id"), "fp")
+    return marked.join(placed.join(ids, "root").select("fp", "root", "component_id"), "fp")
+
+
+def one_per_component(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` of which each component keeps one: the smallest doc_id (a null one last), then text.
+
+    Representatives are chosen on ids alone; texts are only joined to the keys that stay. Repeated rows share a key, so
+    the last step keeps one of each. Extra columns pass through.
+    """
+    marked = written(fingerprints(docs.select("doc_id", row_key().alias("row"), "text"), shingle))
+    chosen = (
+        with_components(marked)
+        .groupBy("root")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first"))
+        .select(F.col("first.row").alias("__row"))
+    )
+    copies = W.partitionBy("__row").orderBy("__row")
+    kept = docs.withColumn("__row", row_key()).join(chosen, "__row", "left_semi")
+    return kept.withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1").select(*docs.columns)
