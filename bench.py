@@ -34,7 +34,7 @@ HEADLINE = [
     "quality_by_rule",
     "latency_p99",
     "pattern_followed_by",
-    "cohort_quality",
+    "templates_matched",
 ]
 
 

@@ -137,7 +137,7 @@ def parse_alerts(raw: DataFrame, value: str = "value") -> DataFrame:
         "lastEventTimestamp": ("lastEventTimestampMs", "bigint"),
     }
     schema = ", ".join(f"`{n}` STRING" for n in [*texts, *numbers])
-    j = raw.select(F.from_json(value, schema).alias("j"))
+    j = raw.select(F.explode(F.array(F.from_json(value, schema))).alias("j"))  # one parse, see ``decode.parse_once``
     parsed = j.select(
         *[F.coalesce(F.col("j")[n], F.lit("")).alias(n) for n in texts],
         *[
@@ -151,6 +151,22 @@ def parse_alerts(raw: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def alert_writes(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Alert JSON text as rows for ``features.feature_updates``: absent text stays null, so that it replaces nothing.
+
+    ``writtenAt`` is when the alert was raised; those of one millisecond are ordered by their last events.
+    """
+    names = ["userId", "ip", "ruleType", "extra", "alertTimestamp", "lastEventTimestamp"]
+    parsed = F.from_json(value, ", ".join(f"`{n}` STRING" for n in names))
+    whole = {n: F.coalesce(F.col(f"j.{n}").try_cast("bigint"), F.lit(0).cast("bigint")) for n in names[-2:]}
+    j = raw.select(F.explode(F.array(parsed)).alias("j"))
+    return j.where(F.col("j").isNotNull()).select(
+        whole["lastEventTimestamp"].alias("seq"),
+        whole["alertTimestamp"].alias("writtenAt"),
+        *[F.nullif(F.col(f"j.{n}"), F.lit("")).alias(n) for n in names[:-2]],
+    )
+
+
 def with_alert_time(alerts: DataFrame, ms: str = "lastEventTimestamp") -> DataFrame:
     """``alertTime`` in whole seconds from an epoch-ms column."""
     return alerts.withColumn("alertTime", F.timestamp_seconds(F.expr(f"{ms} div 1000")))

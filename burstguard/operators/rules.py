@@ -181,28 +181,28 @@ def rule_actions(rules: DataFrame, strict_routing: bool = False) -> DataFrame:
 # key, priority, description) and the default weight and gate of each rule type.
 TEMPLATES = {
     "multi_category": [
-        ("mc-login-fail-burst", "多分类电商-登录失败突增", "CREDENTIAL_STUFFING", "LOGIN_FAIL", 60000, 3, "BY_IP", 10,
-         "同一IP在1分钟内出现>=3次登录失败"),
-        ("mc-order-brush-user", "多分类电商-用户高频下单", "ORDER_BRUSH", "PURCHASE", 120000, 5, "BY_USER_ID", 20,
-         "同一用户2分钟内出现>=5次购买行为"),
-        ("mc-cart-bot-session", "多分类电商-会话高频加购", "HIGH_FREQ_ACCESS", "ADD_CART", 30000, 20, "BY_SESSION_ID", 30,
-         "同一会话30秒内>=20次加购，疑似脚本"),
+        ("mc-login-fail-burst", "Shop: burst of failed logins", "CREDENTIAL_STUFFING", "LOGIN_FAIL", 60000, 3, "BY_IP", 10,
+         "three failed logins from one ip within a minute"),
+        ("mc-order-brush-user", "Shop: orders in quick succession", "ORDER_BRUSH", "PURCHASE", 120000, 5, "BY_USER_ID", 20,
+         "five purchases of one user within two minutes"),
+        ("mc-cart-bot-session", "Shop: cart filled by a script", "HIGH_FREQ_ACCESS", "ADD_CART", 30000, 20, "BY_SESSION_ID", 30,
+         "twenty cart additions in one session within half a minute"),
     ],
     "clickstream": [
-        ("cs-page-view-burst", "Clickstream-高频浏览", "HIGH_FREQ_ACCESS", "VIEW", 20000, 50, "BY_SESSION_ID", 10,
-         "同一会话20秒内>=50次浏览"),
-        ("cs-order-brush", "Clickstream-疑似刷单", "ORDER_BRUSH", "ORDER", 180000, 6, "BY_USER_ID", 20,
-         "同一用户3分钟>=6次下单"),
-        ("cs-cart-burst", "Clickstream-高频加购", "HIGH_FREQ_ACCESS", "ADD_CART", 60000, 15, "BY_USER_ID", 30,
-         "同一用户1分钟内>=15次加购"),
+        ("cs-page-view-burst", "Clicks: page views too fast to read", "HIGH_FREQ_ACCESS", "VIEW", 20000, 50, "BY_SESSION_ID", 10,
+         "fifty views in one session within twenty seconds"),
+        ("cs-order-brush", "Clicks: repeated orders", "ORDER_BRUSH", "ORDER", 180000, 6, "BY_USER_ID", 20,
+         "six orders of one user within three minutes"),
+        ("cs-cart-burst", "Clicks: repeated cart additions", "HIGH_FREQ_ACCESS", "ADD_CART", 60000, 15, "BY_USER_ID", 30,
+         "fifteen cart additions of one user within a minute"),
     ],
     "ieee_cis": [
-        ("ieee-payment-fraud", "IEEE-CIS-支付欺诈高频", "PAYMENT_FRAUD", "PAYMENT_FRAUD", 300000, 3, "BY_USER_ID", 5,
-         "同一账户5分钟内>=3笔疑似欺诈交易"),
-        ("ieee-payment-burst", "IEEE-CIS-支付高频", "HIGH_FREQ_ACCESS", "PAYMENT", 120000, 10, "BY_USER_ID", 15,
-         "同一账户2分钟内>=10次支付行为"),
-        ("ieee-card-probe", "IEEE-CIS-卡号探测", "CREDENTIAL_STUFFING", "PAYMENT", 60000, 8, "BY_IP", 25,
-         "同一地址1分钟内>=8次支付尝试"),
+        ("ieee-payment-fraud", "Cards: several payments marked as fraud", "PAYMENT_FRAUD", "PAYMENT_FRAUD", 300000, 3, "BY_USER_ID", 5,
+         "three suspicious payments of one account within five minutes"),
+        ("ieee-payment-burst", "Cards: payments in quick succession", "HIGH_FREQ_ACCESS", "PAYMENT", 120000, 10, "BY_USER_ID", 15,
+         "ten payments of one account within two minutes"),
+        ("ieee-card-probe", "Cards: numbers tried out", "CREDENTIAL_STUFFING", "PAYMENT", 60000, 8, "BY_IP", 25,
+         "eight payment attempts from one address within a minute"),
     ],
 }
 PROFILE_ALIASES = {
@@ -270,9 +270,9 @@ def experiment_rules(spark: SparkSession, case: str, window_ms: int, version: in
     """The three rules of an evaluation case: login, order and view bursts of one window."""
     # Thresholds, priorities, weights and gates of the evaluation rules.
     rows = [
-        ("abnormal-login", "异常登录后敏感操作", "ABNORMAL_LOGIN", "LOGIN", 2, 100, 1.6, 1.5),
-        ("order-brush", "高频下单", "ORDER_BRUSH", "ORDER", 5, 90, 1.8, 1.8),
-        ("high-freq-view", "高频访问", "HIGH_FREQ_ACCESS", "VIEW", 100, 80, 1.3, 1.5),
+        ("abnormal-login", "sensitive action after login", "ABNORMAL_LOGIN", "LOGIN", 2, 100, 1.6, 1.5),
+        ("order-brush", "frequent orders", "ORDER_BRUSH", "ORDER", 5, 90, 1.8, 1.8),
+        ("high-freq-view", "frequent views", "HIGH_FREQ_ACCESS", "VIEW", 100, 80, 1.3, 1.5),
     ]
     return rules_frame(
         spark,

@@ -245,13 +245,18 @@ LATENCY = """
   quantile_disc(lag, 0.99)::DOUBLE AS p99_latency_ms"""
 
 
-def feature(scope: str) -> str:
+FEATURE_WRITES = """
+  SELECT lastSeq AS seq, lastEventTimestamp AS wt, ruleType, userId, CASE WHEN lastSeq % 5 <> 0 THEN ip END AS fip,
+    CASE WHEN lastSeq % 3 = 0 THEN 'x' || lastSeq END AS extra FROM al"""
+DOCUMENT_WRITES = """
+  SELECT lastEventTimestamp AS seq, lastEventTimestamp + lastEventTimestamp % 400000 AS wt, ruleType, userId, ip AS fip,
+    NULL::VARCHAR AS extra FROM al"""
+
+
+def feature(scope: str, writes: str = FEATURE_WRITES) -> str:
     key = {"userId": "userId", "ip": "fip"}[scope]
     return f"""{ALERTS},
-w AS (
-  SELECT lastSeq AS seq, lastEventTimestamp AS wt, ruleType, userId, CASE WHEN lastSeq % 5 <> 0 THEN ip END AS fip,
-    CASE WHEN lastSeq % 3 = 0 THEN 'x' || lastSeq END AS extra FROM al
-),
+w AS ({writes}),
 g AS (
   SELECT *, {key} AS k, CASE WHEN wt - lag(wt) OVER x < {6 * HOUR} THEN 0 ELSE 1 END AS fresh FROM w
   WHERE {key} IS NOT NULL WINDOW x AS (PARTITION BY {key} ORDER BY wt, seq, ruleType)
@@ -269,6 +274,37 @@ CASES = f"""{ALERTS}, cs AS (
   FROM (SELECT *, CAST(userId AS BIGINT) AS un FROM al) GROUP BY 1)"""
 
 
+def count_machine(rows: str) -> str:
+    """Count rules in order of arrival, one event of a key after the other: ``rows`` has gk, ruleId, ruleType, w, n,
+    weight, arrival and the event's columns. The buffer is sorted by time; what is older than window and lateness behind
+    the newest event falls out; the earliest full window that ends later than the last match is taken, and the buffer
+    emptied."""
+    return f"""
+ord AS (SELECT *, row_number() OVER (PARTITION BY gk ORDER BY arrival) AS rn FROM ({rows})),
+run(gk, rn, buf, emitted, hit, whole) AS (
+  SELECT DISTINCT gk, 0::BIGINT, []::STRUCT(t BIGINT, a BIGINT)[], -1::BIGINT, NULL::BIGINT, []::STRUCT(t BIGINT, a BIGINT)[]
+  FROM ord
+  UNION ALL
+  SELECT gk, rn, CASE WHEN found THEN [] ELSE b END, CASE WHEN found THEN b[pos].t ELSE emitted END,
+    CASE WHEN found THEN pos END, b
+  FROM (
+    SELECT *, pos IS NOT NULL AND b[pos].t > emitted AS found FROM (
+      SELECT *, list_min(list_filter(range(n, len(b) + 1), lambda i: b[i].t - b[i - n + 1].t <= w)) AS pos FROM (
+        SELECT gk, rn, emitted, n, w, list_filter(grown, lambda x: x.t >= list_max(list_transform(grown, lambda y: y.t)) - w - 5000) AS b
+        FROM (
+          SELECT o.gk, o.rn, r.emitted, o.n, o.w,
+            list_sort(list_append(r.buf, {{'t': o.t, 'a': o.arrival}})) AS grown
+          FROM run r JOIN ord o ON o.gk = r.gk AND o.rn = r.rn + 1))))
+),
+got AS (
+  SELECT o.gk, o.ruleId, o.ruleType, o.n, o.w, o.weight, f.userId, f.ip, f.deviceId, f.t AS t0, whole[hit].t AS t1
+  FROM run JOIN ord o USING (gk, rn) JOIN ord f ON f.gk = run.gk AND f.arrival = whole[hit - o.n + 1].a WHERE hit IS NOT NULL
+)
+SELECT gk AS "groupKey", ruleId, ruleType, 'MEDIUM' AS level, userId, ip, deviceId, n::INTEGER AS "matchCount",
+  round(weight * (2.0::DOUBLE + least(1.5::DOUBLE, n / greatest(1.0::DOUBLE, w / 1000.0::DOUBLE) / 10.0::DOUBLE)), 6) AS "riskScore",
+  t0 AS "firstEventTimestamp", t1 AS "lastEventTimestamp" FROM got"""
+
+
 def pattern(name_key: str, where: str, cand: str, count: str, first: str) -> str:
     """A pattern as rows ``m``, candidates ``cand`` and greedy picks."""
     return f"""WITH RECURSIVE {EV},
@@ -316,7 +352,7 @@ ORACLES = {
     "behavior_normalized": f"""WITH {DOCS} SELECT seq, userId, actionType, '10.0.0.' || (e % 20) AS ip,
       t AS "timestamp", 's' || (e % 7) AS sessionId, value AS amount FROM dec WHERE NOT cut AND NOT words AND NOT nouser""",
     "behavior_rejects": f"""WITH {DOCS}, txt AS (SELECT seq, cut, words, {DOC_TEXT} AS x FROM dec)
-      SELECT seq, CASE WHEN cut THEN substr(x, 1, 40) ELSE substr(x, 1, 200) END AS rejected FROM txt WHERE cut OR words""",
+      SELECT seq, CASE WHEN cut THEN substr(x, 1, 40) ELSE x END AS rejected FROM txt WHERE cut OR words""",
     "behavior_invalid_counts": f"""WITH {DOCS} SELECT count(*) AS total, count(*) FILTER (cut OR words) AS rejected,
       count(*) FILTER (NOT cut AND NOT words AND nouser) AS invalid,
       count(*) FILTER (NOT cut AND NOT words AND NOT nouser) AS converted FROM dec""",
@@ -344,9 +380,7 @@ ORACLES = {
       SELECT ruleId, version, status, seq AS "validFrom", til AS "validTo" FROM (
         SELECT *, lead(seq) OVER (PARTITION BY ruleId ORDER BY seq) AS til FROM acc)
       WHERE status IS NULL OR status <> 'DISABLED'""",
-    "rule_lint": f"""WITH {CHANGES} SELECT ruleId, ruleType, reason FROM (
-        SELECT ruleId, ruleType, 'not enabled' AS reason FROM snap WHERE status IS NULL
-        UNION ALL SELECT ruleId, ruleType, 'no event has a watched action' FROM snap)""",
+    "rule_lint": f"WITH {CHANGES} SELECT ruleId, ruleType, 'not enabled' AS reason FROM snap WHERE status IS NULL",
     "rule_defaults": f"""WITH {CHANGES}, d AS (SELECT ruleId, seq % 200 AS pr FROM snap)
       SELECT ruleId, CASE WHEN pr % 2 = 0 THEN 'PAYMENT_FRAUD' ELSE 'CUSTOM' END AS ruleType,
         CASE WHEN pr % 2 = 0 THEN 2.5 ELSE round(greatest(1.0, least(2.0, 150.0 / pr)), 6) END::DOUBLE AS severityWeight,
@@ -395,9 +429,9 @@ ORACLES = {
     "alert_evidence": f"""{ALERTS}, ord AS (SELECT *, row_number() OVER (PARTITION BY gk, e ORDER BY rn) - 1 AS place FROM hit)
       SELECT ruleId, actionType, count(*) AS cnt, sum(seq)::BIGINT AS "seqSum", sum(place)::BIGINT AS places
       FROM ord JOIN m USING (gk, rn) GROUP BY ruleId, actionType""",
-    "alert_trigger_events": f"""{ALERTS}, x AS (SELECT * FROM hit JOIN m USING (gk, rn) WHERE ruleId = 'fx-pay')
-      SELECT min_by(userId, rn) AS userId, count(*)::INTEGER AS matchCount, count(*)::INTEGER AS events, min(t) AS firstTs,
-        max(t) AS lastTs, round(sum(amount ORDER BY rn), 4) AS amount FROM x GROUP BY gk, e""",
+    "alert_trigger_events": f"""{ALERTS}, x AS (SELECT * FROM hit JOIN m USING (gk, rn))
+      SELECT ruleId, min_by(userId, rn) AS userId, count(*)::INTEGER AS matchCount, count(*)::INTEGER AS events, min(t) AS firstTs,
+        max(t) AS lastTs, round(sum(amount ORDER BY rn), 4) AS amount FROM x GROUP BY ruleId, gk, e""",
     "alert_table": f"""{STAMPED} SELECT ruleId, ruleType, level, userId, ip, coalesce(deviceId, '') AS deviceId, '' AS extra,
       matchCount::BIGINT AS matchCount, round(score, 6) AS riskScore, lastEventTimestamp + lag AS alertTimestampMs,
       lastEventTimestamp AS lastEventTimestampMs, (lastEventTimestamp + lag) // 1000 AS alertSecond,
@@ -484,17 +518,45 @@ ORACLES = {
       CASE WHEN NOT words THEN value END AS amount FROM dec WHERE NOT cut""",
     "keyed_events": f"WITH {EV} SELECT sessionId AS key, count(*) AS cnt FROM ev GROUP BY sessionId",
     "first_events": f'WITH {EV} SELECT seq, t AS "timestamp" FROM ev ORDER BY t, seq LIMIT 100',
-    "inject_cohorts": f"""WITH made AS (
-        SELECT 'ABNORMAL_LOGIN' AS label, CASE p WHEN 0 THEN 'LOGIN' ELSE 'CHANGE_PASSWORD' END AS actionType, 'al' || c_custkey AS u,
-          c_custkey * 30 + p * 7500 AS t, NULL::DOUBLE AS amount FROM customer, generate_series(0, 1) g(p)
-        UNION ALL SELECT 'ORDER_BRUSH', 'ORDER', 'ob' || c_custkey, 120000 + c_custkey * 65 + p * 2400, 99.9 + p
-          FROM customer, generate_series(0, 4) g(p)
-        UNION ALL SELECT 'HIGH_FREQ_ACCESS', 'VIEW', 'hf' || c_custkey, 360000 + c_custkey * 85 + p * 300, NULL
-          FROM customer, generate_series(0, 99) g(p))
-      SELECT label, actionType, count(*) AS cnt, count(DISTINCT u) AS users, min(t) + {NOW} - 389700 AS "first",
-        max(t) + {NOW} - 389700 AS "last", round(sum(amount), 2) AS amount FROM made GROUP BY label, actionType""",
-    "cohort_quality": """SELECT 't' AS "case", v.*, n AS expected_users, n AS detected_users, n AS tp_users, 0::BIGINT AS fp_users,
-      0::BIGINT AS fn_users, 1.0::DOUBLE AS "precision", 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1
-      FROM (SELECT count(*) AS n FROM customer), (VALUES ('ABNORMAL_LOGIN', 'Abnormal Login'), ('ORDER_BRUSH', 'Order Brush'),
-        ('HIGH_FREQ_ACCESS', 'High Frequency Access')) v(rule_type, rule_label)""",
+    "merged_events": f"""WITH {EV} SELECT seq, actionType, t AS "timestamp",
+      CASE WHEN actionType = 'PAYMENT' THEN amount END AS amount FROM ev WHERE actionType IN ('LOGIN', 'LOGIN_FAIL', 'PAYMENT')""",
+    "templates_matched": f"""WITH {EV} SELECT seq, ruleId, ruleId || ':' || CASE k WHEN 'ip' THEN ip WHEN 's' THEN sessionId
+        ELSE userId END AS "groupKey", threshold, "severityWeight" FROM ev JOIN (VALUES
+        ('mc-login-fail-burst', 'LOGIN_FAIL', 'ip', 3, 2.0::DOUBLE), ('mc-login-fail-burst', 'LOGIN', 'ip', 3, 2.0),
+        ('mc-cart-bot-session', 'ADD_CART', 's', 20, 2.0), ('cs-page-view-burst', 'VIEW', 's', 50, 2.0),
+        ('cs-cart-burst', 'ADD_CART', 'u', 15, 2.0), ('ieee-payment-fraud', 'PAYMENT', 'u', 3, 2.5),
+        ('ieee-payment-fraud', 'LOGIN', 'u', 3, 2.5), ('ieee-payment-burst', 'PAYMENT', 'u', 10, 2.0),
+        ('ieee-card-probe', 'LOGIN_FAIL', 'ip', 8, 2.0), ('ieee-card-probe', 'LOGIN', 'ip', 8, 2.0)
+      ) r(ruleId, act, k, threshold, "severityWeight") ON act = actionType""",
+    "scoped_rule_match": f"""WITH {EV}, r(ruleId, act, k) AS (VALUES ('fx-stuffing', 'LOGIN_FAIL', 'ip'), ('fx-stuffing', 'LOGIN', 'ip'),
+        ('fx-order', 'PAYMENT', 'u'), ('fx-view', 'VIEW', 's'), ('fx-login', 'LOGIN', 'u'), ('fx-login', 'CHANGE_PASSWORD', 'u'),
+        ('fx-pay', 'LOGIN', 'u'), ('fx-pay', 'PAYMENT', 'u'))
+      SELECT ruleId || '-run7' AS ruleId, 1::BIGINT AS version, count(*) AS cnt,
+        count(DISTINCT CASE k WHEN 'ip' THEN ip WHEN 's' THEN sessionId ELSE userId END) AS keys
+      FROM ev JOIN r ON act = actionType GROUP BY ruleId""",
+    "experiment_rule_match": f"""WITH {EV} SELECT ruleId, 60000::BIGINT AS "windowSizeMs", threshold, count(*) AS cnt,
+        count(DISTINCT userId) AS keys
+      FROM ev JOIN (VALUES ('t-abnormal-login', 'LOGIN', 2), ('t-abnormal-login', 'CHANGE_PASSWORD', 2),
+        ('t-high-freq-view', 'VIEW', 100)) r(ruleId, act, threshold) ON act = actionType GROUP BY ruleId, threshold""",
+    "pattern_order": times_pattern("'order:' || userId", "PAYMENT", 3, 72),
+    "pattern_high_freq": times_pattern("'views:' || sessionId", "VIEW", 2, 24),
+    "gated_alerts": f"""{ALERTS} SELECT {ALERT_COLUMNS} FROM al
+      WHERE score >= CASE ruleId WHEN 'fx-pay' THEN 8 WHEN 'fx-login' THEN 9 ELSE 0 END""",
+    "pipeline_alerts": f"{ALERTS} SELECT {ALERT_COLUMNS} FROM al",
+    "asof_alerts": f"""WITH RECURSIVE {EV}, {RULE_LOG}, {count_machine("""
+      SELECT ruleId || ':' || CASE WHEN nk % 2 = 0 THEN ip ELSE coalesce(deviceId, 'UNKNOWN') END AS gk, ruleId,
+        'HIGH_FREQ_ACCESS' AS ruleType, 3600000::BIGINT AS w, threshold::BIGINT AS n, 1.0::DOUBLE AS weight, ev.seq AS arrival,
+        userId, ip, deviceId, t
+      FROM ev JOIN hist ON act = actionType AND ev.seq >= hist.seq AND (til IS NULL OR ev.seq < til)""")}""",
+    "arrival_disorder": f"""WITH RECURSIVE {EV}, {rule_table()}, {matched_rows()}, {count_machine("""
+      SELECT gk, m.ruleId, ruleType, w, n::BIGINT AS n, weight, userId, ip, deviceId, t,
+        (seq + CASE WHEN seq % 11 = 0 THEN 900 WHEN seq % 5 = 0 THEN 20 ELSE 0 END) * 10000000 + seq AS arrival
+      FROM m JOIN rule USING (ruleId) WHERE m.ruleId IN ('fx-stuffing', 'fx-order', 'fx-view')""")}""",
+    "jsonl_roundtrip": f"""WITH {EV} SELECT actionType, deviceId, count(*) AS cnt, sum(t)::BIGINT AS times,
+      round(sum(amount), 2) AS amount FROM ev GROUP BY ALL""",
+    "csv_roundtrip": f"""WITH {CSV} SELECT CASE k % 3 WHEN 0 THEN 'REMOVE_CART' WHEN 1 THEN 'PURCHASE' ELSE 'VIEW' END AS actionType,
+      'p' || (k % 50) AS productId, count(*) AS cnt, sum(ms)::BIGINT AS times FROM c WHERE k % 13 <> 0 GROUP BY ALL""",
+    "features_from_documents": feature("userId", DOCUMENT_WRITES),
+    "rollup_from_documents": f"""{STAMPED} SELECT (lastEventTimestamp + lag) // 60000 * 60 AS bucket, ruleType, count(*) AS cnt,
+      round(avg(score), 6) AS avgRiskScore FROM st GROUP BY 1, 2""",
 }

@@ -1,5 +1,7 @@
 """The registered queries: every operator over whole tables."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +12,11 @@ from burstguard.operators import evaluate as ev
 from burstguard.operators import features as ft
 from burstguard.operators import patterns as pt
 from burstguard.operators import rollups as ru
-from burstguard.operators import synth as sy
+from burstguard.operators import sampling as sp
 from burstguard.operators.alerts import (
     alert_documents,
     alert_evidence,
-    parse_alerts,
+    alert_writes,
     stamp_alerts,
     with_alert_time,
     with_trigger_events,
@@ -22,13 +24,31 @@ from burstguard.operators.alerts import (
 from burstguard.operators.candidates import count_candidates, pair_candidates, payment_candidates
 from burstguard.operators.detect import detect, with_roles
 from burstguard.operators.match import match_rules, match_rules_asof
-from burstguard.operators.rules import lint_rules, rule_history, rule_snapshot, with_type_defaults
+from burstguard.operators.rules import (
+    TEMPLATES,
+    experiment_rules,
+    lint_rules,
+    rule_history,
+    rule_snapshot,
+    scope_rules,
+    template_rules,
+    with_type_defaults,
+)
 from burstguard.plans import fixtures as fx
-from burstguard.schemas import BEHAVIOR_COLUMNS, GROUP_KEY_TYPES
-from burstguard.sources.csvfiles import import_counts, map_csv
+from burstguard.plans.pipeline import alerts_from_documents
+from burstguard.schemas import GROUP_KEY_TYPES
+from burstguard.session import shared_dir
+from burstguard.sources.csvfiles import import_counts, import_rows, map_csv, read_csv
 from burstguard.sources.decode import decode_events, decode_rules, good_events, is_valid_event, rejects
-from burstguard.sources.inputs import baseline_events
-from burstguard.sources.outputs import alert_table_rows, event_documents, keyed_documents
+from burstguard.sources.inputs import baseline_events, json_documents
+from burstguard.sources.outputs import (
+    alert_table_rows,
+    event_documents,
+    keyed_documents,
+    rule_documents,
+    write_csv,
+    write_lines,
+)
 from burstguard.streaming.arrival import detect_in_arrival_order
 
 HOUR = fx.HOUR
@@ -106,7 +126,7 @@ def rule_history_q(spark, sf):
 
 def rule_lint(spark, sf):
     snapshot = rule_snapshot(fx.rule_changes(spark, sf))
-    return lint_rules(snapshot, _events(spark, sf).where(F.col("actionType") != "PAYMENT"))
+    return lint_rules(snapshot, _events(spark, sf))
 
 
 def rule_defaults(spark, sf):
@@ -190,8 +210,16 @@ def arrival_alerts(spark, sf):
 
 def asof_alerts(spark, sf):
     history = rule_history(fx.rule_log_view(spark, sf))
-    alerts = detect_in_arrival_order(match_rules_asof(_events(spark, sf), history))
-    return alerts.groupBy("ruleId", "level").agg(F.count("*").alias("cnt"), F.sum("matchCount").alias("matched"))
+    return _alert_rows(detect_in_arrival_order(match_rules_asof(_events(spark, sf), history)))
+
+
+def arrival_disorder(spark, sf):
+    """Count rules over events of which some arrive late, within their windows and long past them."""
+    n = F.col("seq")
+    late = n + F.when(n % 11 == 0, 900).when(n % 5 == 0, 20).otherwise(0)
+    events = _events(spark, sf).withColumn("seq", late * 10_000_000 + n)
+    rules = fx.fixture_rules(spark).where(F.col("ruleId").isin("fx-stuffing", "fx-order", "fx-view"))
+    return _alert_rows(detect_in_arrival_order(match_rules(events, rules)))
 
 
 def alert_messages(spark, sf):
@@ -217,9 +245,9 @@ def alert_evidence_q(spark, sf):
 
 
 def alert_trigger_events(spark, sf):
-    alerts = with_trigger_events(_alerts(spark, sf, "fx-pay"), _events(spark, sf))
+    alerts = with_trigger_events(_alerts(spark, sf), _events(spark, sf))
     return alerts.select(
-        "userId", "matchCount", F.size("triggerEvents").alias("events"),
+        "ruleId", "userId", "matchCount", F.size("triggerEvents").alias("events"),
         F.element_at("triggerEvents", 1)["timestamp"].alias("firstTs"),
         F.element_at("triggerEvents", -1)["timestamp"].alias("lastTs"),
         F.round(F.aggregate("triggerEvents", F.lit(0.0), lambda s, x: s + x["amount"]), 4).alias("amount"),
@@ -437,34 +465,101 @@ def keyed_events(spark, sf):
 
 
 def first_events(spark, sf):
-    return sy.first_by_time(_events(spark, sf), 100).select("seq", "timestamp")
+    return sp.first_by_time(_events(spark, sf), 100).select("seq", "timestamp")
+
+
+def merged_events(spark, sf):
+    """Logins and payments of two sources as one stream of events by time."""
+    e = _events(spark, sf)
+    logins = e.where(F.col("actionType").startswith("LOGIN")).drop("amount")
+    return sp.merge_by_time(logins, e.where("actionType = 'PAYMENT'")).select("seq", "actionType", "timestamp", "amount")
 
 
-def _cohort_users(spark, sf):
-    return fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("idx"))
+def templates_matched(spark, sf):
+    """The rule set of every data profile against all events."""
+    rules = None
+    for profile in TEMPLATES:
+        one = template_rules(spark, profile)
+        rules = one if rules is None else rules.unionByName(one)
+    return match_rules(_events(spark, sf), rules).select("seq", "ruleId", "groupKey", "threshold", "severityWeight")
 
 
-def inject_cohorts(spark, sf):
-    """A cohort with one user per customer and pattern."""
-    made = sy.experiment_events(spark, "t", 60_000, 107, NOW_MS, users=_cohort_users(spark, sf))
-    return made.groupBy("label", "actionType").agg(
-        F.count("*").alias("cnt"), F.count_distinct("userId").alias("users"), F.min("timestamp").alias("first"),
-        F.max("timestamp").alias("last"), F.round(F.sum("amount"), 2).alias("amount"),
+def scoped_rule_match(spark, sf):
+    rules = scope_rules(fx.fixture_rules(spark), "run7", NOW_MS)
+    return match_rules(_events(spark, sf), rules).groupBy("ruleId", "version").agg(
+        F.count("*").alias("cnt"), F.count_distinct("groupKey").alias("keys")
     )
 
 
-def cohort_quality(spark, sf):
-    """Bursts of one user per customer among the real events: each must be found, none other."""
-    made = sy.experiment_events(spark, "t", 60_000, 107, NOW_MS, users=_cohort_users(spark, sf))
-    made = made.withColumn("seq", -1 - F.col("seq")).withColumn("deviceId", F.lit(None).cast("string")).withColumn(
-        "extra", F.lit(None).cast("string")
+def experiment_rule_match(spark, sf):
+    rules = experiment_rules(spark, "t", 60_000, 1, NOW_MS)
+    return match_rules(_events(spark, sf), rules).groupBy("ruleId", "windowSizeMs", "threshold").agg(
+        F.count("*").alias("cnt"), F.count_distinct("groupKey").alias("keys")
+    )
+
+
+def pattern_order(spark, sf):
+    """Purchases are orders placed: three by one user in three days."""
+    placed = F.when(F.col("actionType") == "PAYMENT", "ORDER").otherwise(F.col("actionType"))
+    rule = {"ruleId": "order", "ruleType": "ORDER_BRUSH", "targetActionType": "ORDER", "windowSizeMs": 72 * HOUR,
+            "threshold": 3}
+    return _pattern_rows(pt.rule_pattern(_events(spark, sf).withColumn("actionType", placed), rule))
+
+
+def pattern_high_freq(spark, sf):
+    rule = {"ruleId": "views", "ruleType": "HIGH_FREQ_ACCESS", "targetActionType": "view", "windowSizeMs": 24 * HOUR,
+            "threshold": 2, "groupKeyType": "BY_SESSION_ID"}
+    return _pattern_rows(pt.rule_pattern(_events(spark, sf), rule))
+
+
+def gated_alerts(spark, sf):
+    """Rules with a gate that only some of their matches reach; those below it give no alert but use up their events."""
+    gate = F.when(F.col("ruleId") == "fx-pay", 8.0).when(F.col("ruleId") == "fx-login", 9.0).otherwise(F.col("scoreThreshold"))
+    return _alert_rows(detect(_events(spark, sf), fx.fixture_rules(spark).withColumn("scoreThreshold", gate)))
+
+
+def pipeline_alerts(spark, sf):
+    """The whole job from JSON documents of events and rules."""
+    rules = rule_documents(fx.fixture_rules(spark)).select(F.lit(0).cast("bigint").alias("seq"), "value")
+    docs = event_documents(_events(spark, sf).withColumn("extra", F.col("seq").cast("string")))
+    docs = docs.select(F.get_json_object("value", "$.extra").cast("bigint").alias("seq"), "value")
+    return _alert_rows(alerts_from_documents(docs, rules))
+
+
+def _folder(spark, name):
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def jsonl_roundtrip(spark, sf):
+    """Events written as JSON lines, read and decoded again."""
+    path = _folder(spark, "events-jsonl")
+    write_lines(event_documents(_events(spark, sf)), path)
+    return good_events(decode_events(json_documents(spark, path))).groupBy("actionType", "deviceId").agg(
+        F.count("*").alias("cnt"), F.sum("timestamp").alias("times"), F.round(F.sum("amount"), 2).alias("amount")
     )
-    labels = sy.labelled_users(made)
-    events = _events(spark, sf).select("seq", *BEHAVIOR_COLUMNS).unionByName(made.select("seq", *BEHAVIOR_COLUMNS))
-    from burstguard.operators.rules import experiment_rules
 
-    alerts = detect(events, experiment_rules(spark, "t", 60_000, 1, NOW_MS))
-    return ev.quality_by_rule(alerts, labels, "t")
+
+def csv_roundtrip(spark, sf):
+    """A CSV export read again, its layout found from the header, and the rows that are usable events."""
+    path = _folder(spark, "events-csv")
+    rows = fx.csv_view(spark, sf, "multi_category")
+    write_csv(rows, path, rows.columns)
+    kept, _ = import_rows(map_csv(read_csv(spark, path), "auto", NOW_MS))
+    return kept.groupBy("actionType", "productId").agg(F.count("*").alias("cnt"), F.sum("timestamp").alias("times"))
+
+
+def features_from_documents(spark, sf):
+    """The feature table from the alert texts that a topic would hold."""
+    docs = alert_documents(_stamped(spark, sf)).select("value")
+    return ft.feature_snapshot(ft.feature_updates(alert_writes(docs), "userId"), ttl_ms=FEATURE_TTL)
+
+
+def rollup_from_documents(spark, sf):
+    """Alert texts to table rows to minute buckets."""
+    rolled = ru.rollup_alerts(alert_table_rows(alert_documents(_stamped(spark, sf)).select("value")))
+    return ru.average_score(rolled).select(
+        F.unix_seconds("bucket").alias("bucket"), "ruleType", "cnt", F.round("avgRiskScore", 6).alias("avgRiskScore")
+    )
 
 
 QUERIES = {
@@ -493,6 +588,7 @@ QUERIES = {
     "all_alerts": all_alerts,
     "arrival_alerts": arrival_alerts,
     "asof_alerts": asof_alerts,
+    "arrival_disorder": arrival_disorder,
     "alert_messages": alert_messages,
     "alert_levels": alert_levels,
     "risk_scores": risk_scores,
@@ -532,6 +628,16 @@ QUERIES = {
     "baseline_normalized": baseline_normalized,
     "keyed_events": keyed_events,
     "first_events": first_events,
-    "inject_cohorts": inject_cohorts,
-    "cohort_quality": cohort_quality,
+    "merged_events": merged_events,
+    "templates_matched": templates_matched,
+    "scoped_rule_match": scoped_rule_match,
+    "experiment_rule_match": experiment_rule_match,
+    "pattern_order": pattern_order,
+    "pattern_high_freq": pattern_high_freq,
+    "gated_alerts": gated_alerts,
+    "pipeline_alerts": pipeline_alerts,
+    "jsonl_roundtrip": jsonl_roundtrip,
+    "csv_roundtrip": csv_roundtrip,
+    "features_from_documents": features_from_documents,
+    "rollup_from_documents": rollup_from_documents,
 }

@@ -31,9 +31,13 @@ def build_session(app: str = "burstguard", master: str | None = None, **conf) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a local one only where none is named (tests)."""
+    """The folder in ``spark.checkpoint.dir``. Only a local session may do without; nothing else sees its files."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or tempfile.mkdtemp(prefix="burstguard-")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="burstguard-")
+    return folder
 
 
 def materialize(df: DataFrame) -> DataFrame:

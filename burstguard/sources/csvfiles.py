@@ -127,8 +127,8 @@ def map_csv(rows: DataFrame, profile: str = "auto", now_ms: int | None = None, k
     return rows.select(*keep, *MAPPERS[chosen](rows.columns, now.cast("bigint")))
 
 
-def import_rows(mapped: DataFrame, max_rows: int = 0) -> tuple[DataFrame, Observation]:
-    """Valid rows, at most ``max_rows`` of them (0: all), and counters filled while they are used.
+def import_rows(mapped: DataFrame) -> tuple[DataFrame, Observation]:
+    """Valid rows, and counters filled while they are used.
 
     The counters (``total``, ``converted``, ``invalid``) come from the same pass as the rows.
     """
@@ -140,8 +140,7 @@ def import_rows(mapped: DataFrame, max_rows: int = 0) -> tuple[DataFrame, Observ
         F.count_if(valid).alias("converted"),
         F.count_if(~valid).alias("invalid"),
     )
-    kept = seen.where(valid)
-    return (kept.limit(max_rows) if max_rows > 0 else kept), counters
+    return seen.where(valid), counters
 
 
 def import_counts(mapped: DataFrame) -> DataFrame:

@@ -17,8 +17,6 @@ EVENT_ALIASES = {
     "productId": ["product_id"],
     "ip": ["ip_address"],
 }
-REJECT_TEXT_CHARS = 200
-
 
 def is_valid_event() -> Column:
     return (
@@ -32,9 +30,14 @@ def _text_schema(names: list[str]) -> str:
     return ", ".join(f"`{n}` STRING" for n in [*names, "_corrupt"])
 
 
-def _parse(value: str, names: list[str]) -> Column:
-    """Every field as text, so one badly typed field can be told from a missing one."""
-    return F.from_json(value, _text_schema(names), {"columnNameOfCorruptRecord": "_corrupt"})
+def parse_once(value: str, names: list[str]) -> Column:
+    """A document with every field as text, so one badly typed field can be told from a missing one.
+
+    The optimizer copies a plain ``from_json`` into every filter and column that uses it; it does not look into a
+    generator, so each document is parsed once.
+    """
+    parsed = F.from_json(value, _text_schema(names), {"columnNameOfCorruptRecord": "_corrupt"})
+    return F.explode(F.array(parsed))
 
 
 def _number_to_long(text: Column) -> Column:
@@ -52,7 +55,7 @@ def _cut(value: Column) -> Column:
 
 
 def decode_events(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Event columns plus ``rejected``: null for a usable row, else the head of its text.
+    """Event columns plus ``rejected``: null for a usable row, else its whole text.
 
     A document that is not an object, or whose ``timestamp`` or ``amount`` holds text that is
     no number, is rejected whole. Where a field and its alias are both present the field wins.
@@ -61,7 +64,7 @@ def decode_events(raw: DataFrame, value: str = "value") -> DataFrame:
     aliases = [a for names in EVENT_ALIASES.values() for a in names]
     names = BEHAVIOR_COLUMNS + aliases + ["event_time", "TransactionDT"]
     kept = [c for c in raw.columns if c != value]
-    j = raw.select(*kept, F.col(value).alias("_raw"), _parse(value, names).alias("_j"))
+    j = raw.select(*kept, F.col(value).alias("_raw"), parse_once(value, names).alias("_j"))
     field = {n: F.col("_j")[n] for n in names}
 
     def text(name: str) -> Column:
@@ -81,7 +84,7 @@ def decode_events(raw: DataFrame, value: str = "value") -> DataFrame:
         | (field["timestamp"].isNotNull() & stated.isNull())
         | ((F.trim(field["amount"]) != "") & amount.isNull())
     )
-    rejected = F.when(F.coalesce(unusable, F.lit(False)), F.substring(F.coalesce("_raw", F.lit("")), 1, REJECT_TEXT_CHARS))
+    rejected = F.when(F.coalesce(unusable, F.lit(False)), F.coalesce("_raw", F.lit("")))
     return j.select(
         *kept,
         text("userId").alias("userId"),
@@ -118,9 +121,7 @@ def decode_rules(raw: DataFrame, value: str = "value") -> DataFrame:
     """
     names = RULE.fieldNames()
     kept = [c for c in raw.columns if c != value]
-    j = raw.select(
-        *kept, _parse(value, names).alias("_j"), F.json_object_keys(value).alias("_keys")
-    ).where(F.col("_keys").isNotNull() & F.col("_j")["_corrupt"].isNull())
+    j = raw.select(*kept, F.json_object_keys(value).alias("_keys"), parse_once(value, names).alias("_j")).where(F.col("_keys").isNotNull() & F.col("_j")["_corrupt"].isNull())
     fixed = {"ruleType": RULE_TYPES, "status": RULE_STATUSES, "groupKeyType": GROUP_KEY_TYPES}
     columns, broken = [], F.lit(False)
     for f in RULE.fields:
@@ -145,7 +146,5 @@ def decode_rules(raw: DataFrame, value: str = "value") -> DataFrame:
 
 
 def decode_rejected_rules(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Rule texts that are no JSON object, cut for logging."""
-    return raw.where(F.json_object_keys(value).isNull()).withColumn(
-        value, F.substring(value, 1, REJECT_TEXT_CHARS)
-    )
+    """Rule texts that are no JSON object."""
+    return raw.where(F.json_object_keys(value).isNull())

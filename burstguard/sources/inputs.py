@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from burstguard.functions.text import integer_or_null
 from burstguard.schemas import BEHAVIOR_COLUMNS
+from burstguard.sources.decode import parse_once
 
 DISCOVERY_MS = 30_000
 
@@ -40,27 +41,32 @@ def text_stream(spark: SparkSession, path: str, files_per_batch: int | None = No
 
 
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
-    """A file of JSON lines or of one JSON array, one ``value`` per document, blank lines skipped.
+    """Files of JSON lines, or each of one JSON array, one ``value`` per document, blank lines skipped.
 
-    Line files are split across tasks as usual. An array is one document and cannot be split, so
-    it is read whole by one task; convert large ones to lines.
+    Every file is judged by itself: by the first character of its first line that is not blank. Line files are split
+    across tasks as usual. An array is one document and cannot be split, so its file is read whole by one task;
+    convert large ones to lines.
     """
-    lines = spark.read.text(path).select(F.trim("value").alias("value")).where(F.col("value") != "")
-    first = lines.first()
-    if first is None or not first["value"].startswith("["):
-        return lines
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.from_json("value", "array<string>")).alias("value"))
+    file = F.col("_metadata.file_path").alias("_file")
+    text = spark.read.text(path).select(
+        file, F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_n"),
+        F.trim(F.col("value"), F.lit(" \t\r\ufeff")).alias("value"),
+    ).where(F.col("value") != "")
+    arrays = (
+        text.groupBy("_file").agg(F.min(F.struct("_block", "_n", F.substring("value", 1, 1).alias("c"))).alias("f"))
+        .where(F.col("f.c") == "[").select("_file")
+    )
+    lines = text.join(arrays, "_file", "left_anti").select("value")
+    whole = spark.read.text(path, wholetext=True).select(file, "value").join(arrays, "_file", "left_semi")
+    return lines.unionByName(whole.select(F.explode(F.from_json("value", "array<string>")).alias("value")))
 
 
 def baseline_events(documents: DataFrame, now_ms: int | None = None) -> DataFrame:
     """Loose event documents to events: many names per field, a default for each, bad ones dropped."""
     names = ["userId", "user_id", "uid", "actionType", "action_type", "event_type", "timestamp", "ip",
              "ip_address", "sessionId", "session_id", "user_session", "productId", "product_id", "amount"]
-    schema = ", ".join(f"`{n}` STRING" for n in [*names, "_corrupt"])
-    j = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt"})
     parsed = documents.where(F.json_object_keys("value").isNotNull()).select(
-        *[c for c in documents.columns if c != "value"], j.alias("j")
+        *[c for c in documents.columns if c != "value"], parse_once("value", names).alias("j")
     ).where(F.col("j._corrupt").isNull())
     now = F.unix_millis(F.current_timestamp()) if now_ms is None else F.lit(now_ms)
 

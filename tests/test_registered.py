@@ -13,7 +13,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the tes
 # One of each kind; ``python tests/compare.py 0.01`` runs them all.
 CHECKED = ["behavior_normalized", "flex_event_time", "rule_history", "rule_match_asof", "payment_candidates",
            "all_alerts", "arrival_alerts", "alert_table", "alerts_per_hour", "feature_by_ip", "dedup_alerts",
-           "case_summary", "pattern_followed_by", "pattern_payment_chain", "csv_clickstream"]
+           "case_summary", "pattern_followed_by", "pattern_payment_chain", "csv_clickstream", "arrival_disorder",
+           "asof_alerts", "gated_alerts", "features_from_documents", "jsonl_roundtrip", "behavior_rejects"]
 
 
 @pytest.fixture(scope="module")

@@ -1,6 +1,6 @@
 import json
 
-
+from burstguard.operators.alerts import alert_writes, parse_alerts
 from burstguard.operators.features import feature_snapshot
 from burstguard.operators.rules import rules_frame, template_rules
 from burstguard.sources.csvfiles import detect_profile, import_rows, map_csv, read_csv
@@ -80,7 +80,6 @@ def test_csv_import(spark, tmp_path):
     got = [(r["userId"], r["actionType"], r["ip"], r["timestamp"], r["amount"]) for r in kept.collect()]
     assert got == [("7", "VIEW", "unknown-ip", 1569888000000, 9.5), ("s3", "REMOVE_CART", "unknown-ip", 1569888002000, None)]
     assert counters.get == {"total": 3, "converted": 2, "invalid": 1}
-    assert import_rows(map_csv(rows), 1)[0].count() == 1
 
 
 def test_profiles():
@@ -139,3 +138,34 @@ def test_features_expire_and_merge(spark, tmp_path):
     assert table(read_feature_table(spark, path)) == want
     compact_feature_table(spark, path)
     assert table(read_feature_table(spark, path)) == want
+
+
+def test_documents_are_parsed_once(spark):
+    rows = docs(spark, '{"userId":"u","actionType":"view","timestamp":1}')
+    frames = [
+        good_events(decode_events(rows)),
+        decode_rules(rows),
+        baseline_events(rows, 77),
+        parse_alerts(rows),
+        alert_writes(rows),
+    ]
+    for frame in frames:
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1, plan
+
+
+def test_rejects_keep_their_whole_text(spark):
+    long = '{"userId":"u","amount":"much","extra":"' + "x" * 1000 + '"}'
+    assert [r["rejected"] for r in rejects(decode_events(docs(spark, long))).collect()] == [long]
+
+
+def test_every_json_file_is_judged_by_itself(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1},{"a": 2}]')
+    (tmp_path / "b.json").write_text('\n{"a": 3}\n{"a": 4}\n')
+    (tmp_path / "c.json").write_text("\n")
+    got = [json.loads(r["value"])["a"] for r in json_documents(spark, str(tmp_path)).collect()]
+    assert sorted(got) == [1, 2, 3, 4]
+    empty = tmp_path / "none"
+    empty.mkdir()
+    (empty / "x.json").write_text("")
+    assert json_documents(spark, str(empty)).count() == 0
