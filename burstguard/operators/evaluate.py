@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from burstguard.session import materialize
+
 # The rule types of an evaluation and their labels; result columns of a case.
 RULE_LABELS = {
     "ABNORMAL_LOGIN": "Abnormal Login",
@@ -36,10 +38,16 @@ def alert_lag(window_ms: int) -> Column:
     return F.when(lag.isNotNull(), F.greatest(F.lit(0.0), F.least(lag, cap)))
 
 
+def with_scope(alerts: DataFrame, rule_ids: DataFrame) -> DataFrame:
+    """Alerts with ``in_scope``: whether they come from one of the given rules."""
+    ids = rule_ids.select("ruleId").distinct().withColumn("_own", F.lit(True))
+    return alerts.join(ids, "ruleId", "left").withColumn("in_scope", F.coalesce("_own", F.lit(False))).drop("_own")
+
+
 def split_scope(alerts: DataFrame, rule_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Alerts of the given rules and the others, by semi and anti join on ``ruleId``."""
-    ids = rule_ids.select("ruleId").distinct()
-    return alerts.join(ids, "ruleId", "left_semi"), alerts.join(ids, "ruleId", "left_anti")
+    """Alerts of the given rules and the others. Where both are used, ``with_scope`` gives them in one pass."""
+    flagged = with_scope(alerts, rule_ids)
+    return flagged.where("in_scope").drop("in_scope"), flagged.where(~F.col("in_scope")).drop("in_scope")
 
 
 def alerts_by(alerts: DataFrame, column: str) -> DataFrame:
@@ -50,9 +58,8 @@ def alerts_by(alerts: DataFrame, column: str) -> DataFrame:
 
 def verification_summary(alerts: DataFrame, rule_ids: DataFrame) -> DataFrame:
     """One row: totals in and out of scope, affected users, and which types and foreign rules were seen."""
-    ids = rule_ids.select("ruleId").distinct().withColumn("_own", F.lit(True))
-    seen = alerts.join(ids, "ruleId", "left").withColumn("_own", F.coalesce("_own", F.lit(False)))
-    own = F.col("_own")
+    seen = with_scope(alerts, rule_ids)
+    own = F.col("in_scope")
     return seen.agg(
         F.count("*").alias("alerts_raw_total"),
         F.count_if(own).alias("alerts_scoped_total"),
@@ -166,19 +173,34 @@ def quality_summary(alerts: DataFrame, expected: DataFrame, labels: dict[str, st
 def latency_summary(alerts: DataFrame, window_ms: int) -> DataFrame:
     """Mean and nearest-rank 99th percentile of the lag; both 0 without usable alerts.
 
-    Lags are counted per value first: they lie between 0 and the cap, so whatever the number of
-    alerts, the ranking runs over at most cap + 1 whole-millisecond rows.
+    Lags are counted per value and, about as many values at a time as there are ranges, per range. The rank is found
+    among the ranges and then inside one, so neither ranking sees more rows than the root of the cap.
     """
+    width = int(lag_cap_ms(window_ms) ** 0.5) + 1
     lags = alerts.where(F.col("alertTimestamp").isNotNull()).select(alert_lag(window_ms).alias("lag"))
-    counted = lags.where(F.col("lag").isNotNull()).groupBy("lag").agg(F.count("*").alias("n"))
-    upto = Window.orderBy("lag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum("n").over(Window.partitionBy())
-    ranked = counted.withColumn("_upto", F.sum("n").over(upto)).withColumn("_all", total)
+    counted = materialize(
+        lags.where(F.col("lag").isNotNull())
+        .groupBy("lag")
+        .agg(F.count("*").alias("n"))
+        .withColumn("range", F.floor(F.col("lag") / width))
+    )
+    upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = counted.groupBy("range").agg(F.sum("n").alias("rows"), F.sum(F.col("lag") * F.col("n")).alias("sum"))
     # ceil(0.99 n) in whole numbers
     at = F.expr("(99 * _all + 99) div 100")
-    return ranked.agg(
-        F.coalesce(F.sum(F.col("lag") * F.col("n")) / F.sum("n"), F.lit(0.0)).alias("avg_latency_ms"),
-        F.coalesce(F.min(F.when(F.col("_upto") >= at, F.col("lag"))), F.lit(0.0)).alias("p99_latency_ms"),
+    ranked = (
+        ranges.withColumn("_upto", F.sum("rows").over(upto))
+        .withColumn("_all", F.sum("rows").over(Window.partitionBy()))
+        .withColumn("_total", F.sum("sum").over(Window.partitionBy()))
+    )
+    hit = ranked.where((F.col("_upto") >= at) & (F.col("_upto") - F.col("rows") < at)).select(
+        "range", (at - (F.col("_upto") - F.col("rows"))).alias("_left"), (F.col("_total") / F.col("_all")).alias("_mean")
+    )
+    inside = Window.partitionBy("range").orderBy("lag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fine = counted.join(F.broadcast(hit), "range").withColumn("_upto", F.sum("n").over(inside))  # one row is broadcast
+    return fine.agg(
+        F.coalesce(F.max("_mean"), F.lit(0.0)).alias("avg_latency_ms"),
+        F.coalesce(F.min(F.when(F.col("_upto") >= F.col("_left"), F.col("lag"))), F.lit(0.0)).alias("p99_latency_ms"),
     )
 
 
@@ -186,35 +208,45 @@ def case_summary(
     alerts: DataFrame,
     rule_ids: DataFrame,
     expected: DataFrame,
+    load: DataFrame,
     case: str,
     window_ms: int,
-    events: int,
-    seconds: float,
     parallelism: int = 1,
     backend: str = "",
     cpu_pct: float | None = None,
     mem_mb: float | None = None,
 ) -> DataFrame:
-    """The result row of one case: four aggregates of one row each, side by side."""
-    scoped, _ = split_scope(alerts, rule_ids)
-    scope = verification_summary(alerts, rule_ids).select(
-        F.col("alerts_scoped_total").alias("alerts"), "alerts_raw_total", "unexpected_alerts", "scope_valid"
+    """The result row of one case. ``load`` is one row of ``events`` and ``seconds``, what was sent and how long it took.
+
+    The alerts are evaluated once, as a written table; its aggregates of one row each are put side by side.
+    """
+    used = ["ruleId", "ruleType", "userId", "alertTimestamp", "processingLagMs", "lastEventTimestamp"]
+    flagged = materialize(with_scope(alerts.select(*used), rule_ids))
+    scoped = flagged.where("in_scope").drop("in_scope")
+    own = F.col("in_scope")
+    scope = flagged.agg(
+        F.count_if(own).alias("alerts"),
+        F.count("*").alias("alerts_raw_total"),
+        F.count_if(~own).alias("unexpected_alerts"),
+        (F.count_if(~own) == 0).alias("scope_valid"),
     )
     latency = latency_summary(scoped, window_ms).select(
         F.round("avg_latency_ms", 3).alias("avg_latency_ms"), F.round("p99_latency_ms", 3).alias("p99_latency_ms")
     )
-    one = F.lit(1).alias("_one")
-    row = scope.select("*", one)
-    for part in [latency, quality_summary(scoped, expected)]:
-        row = row.join(part.select("*", one), "_one")
+    speed = load.select(
+        F.col("events").cast("int").alias("events"),
+        F.round(F.when(F.col("seconds") > 0, F.col("events") / F.col("seconds")).otherwise(0.0), 6).alias("throughput"),
+    )
+    parts = scope
+    for part in [latency, quality_summary(scoped, expected), speed]:
+        parts = parts.unionByName(part, allowMissingColumns=True)
+    row = parts.agg(*[F.first(c, ignorenulls=True).alias(c) for c in parts.columns])
     return row.select(
         "*",
         F.lit(case).alias("case"),
         F.lit(parallelism).alias("parallelism"),
         F.lit(window_ms).alias("window"),
         F.lit(backend).alias("backend"),
-        F.lit(events).alias("events"),
-        F.lit(round(events / seconds if seconds > 0 else 0.0, 6)).alias("throughput"),
         F.lit(cpu_pct).cast("double").alias("cpu_pct"),
         F.lit(mem_mb).cast("double").alias("mem_mb"),
     ).select(*CASE_COLUMNS)
@@ -234,12 +266,10 @@ def detection_rate(cases: DataFrame) -> DataFrame:
         F.coalesce(F.col("alerts").cast("double"), F.lit(0.0)),
         F.coalesce(F.col("alerts_raw_total").cast("double"), F.lit(0.0)),
     )
-    most = F.max("_count").over(Window.partitionBy())
-    return (
-        cases.withColumn("_count", count)
-        .withColumn("detection_rate", F.when(most > 0, F.col("_count") / most).otherwise(F.lit(0.0)))
-        .drop("_count")
-    )
+    counted = materialize(cases.withColumn("_count", count))
+    most = counted.agg(F.max("_count").alias("_most"))  # one row
+    rate = F.when(F.col("_most") > 0, F.col("_count") / F.col("_most")).otherwise(F.lit(0.0))
+    return counted.crossJoin(F.broadcast(most)).withColumn("detection_rate", rate).drop("_count", "_most")
 
 
 def case_family(cases: DataFrame, prefix: str) -> DataFrame:

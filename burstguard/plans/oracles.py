@@ -465,10 +465,10 @@ ORACLES = {
       string_agg(DISTINCT ruleId, ',' ORDER BY ruleId) FILTER (ruleId = 'fx-view') AS unexpected_rule_ids FROM al""",
     "alerts_by_type": f"{ALERTS} SELECT ruleType, count(*) AS cnt FROM al GROUP BY ruleType",
     "case_summary": f"""{STAMPED}, sc AS (SELECT * FROM st WHERE ruleId <> 'fx-view'), {quality("sc")}
-      SELECT 'w60000' AS "case", 4 AS parallelism, 60000 AS "window", 'heap' AS backend, 1000 AS events,
+      SELECT 'w60000' AS "case", 4 AS parallelism, 60000 AS "window", 'heap' AS backend, (SELECT count(*) FROM ev)::INTEGER AS events,
         (SELECT count(*) FROM sc) AS alerts, (SELECT count(*) FROM st) AS alerts_raw_total,
         (SELECT count(*) FROM st WHERE ruleId = 'fx-view') AS unexpected_alerts,
-        NOT EXISTS (SELECT 1 FROM st WHERE ruleId = 'fx-view') AS scope_valid, 500.0::DOUBLE AS throughput,
+        NOT EXISTS (SELECT 1 FROM st WHERE ruleId = 'fx-view') AS scope_valid, (SELECT round(count(*) / ((max(t) - min(t)) / 1000.0::DOUBLE), 6) FROM ev) AS throughput,
         l.avg_latency_ms, l.p99_latency_ms, 1.0::DOUBLE AS cpu_pct, 2.0::DOUBLE AS mem_mb, {QUALITY_SUMMARY}
       FROM tot, (SELECT {LATENCY.replace("lag", "least(lag, 300000)")} FROM sc) l""",
     "abnormal_users": f"""{ALERTS} SELECT ruleType AS rule_type, count(DISTINCT userId) AS users FROM al GROUP BY ruleType""",

@@ -350,9 +350,9 @@ def _own_rules(spark):
 
 
 def scope_split(spark, sf):
-    inside, outside = ev.split_scope(_alerts(spark, sf), _own_rules(spark))
-    tagged = inside.withColumn("scope", F.lit("in")).unionByName(outside.withColumn("scope", F.lit("out")))
-    return tagged.groupBy("scope", "ruleId").agg(F.count("*").alias("cnt"))
+    flagged = ev.with_scope(_alerts(spark, sf), _own_rules(spark))
+    scope = F.when(F.col("in_scope"), "in").otherwise("out").alias("scope")
+    return flagged.groupBy(scope, "ruleId").agg(F.count("*").alias("cnt"))
 
 
 def verification_summary(spark, sf):
@@ -367,8 +367,10 @@ def alerts_by_type(spark, sf):
 
 
 def case_row(spark, sf):
+    span = (F.max("timestamp") - F.min("timestamp")) / 1000
+    load = _events(spark, sf).agg(F.count("*").alias("events"), span.alias("seconds"))
     return ev.case_summary(
-        _stamped(spark, sf), _own_rules(spark), _expected(spark, sf), "w60000", 60_000, 1000, 2.0, 4, "heap", 1.0, 2.0
+        _stamped(spark, sf), _own_rules(spark), _expected(spark, sf), load, "w60000", 60_000, 4, "heap", 1.0, 2.0
     )
 
 
