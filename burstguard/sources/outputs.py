@@ -116,36 +116,66 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def append_feature_updates(updates: DataFrame, path: str, batch_id: int) -> None:
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a query keeps in its checkpoint. A reset checkpoint counts batches from 0 again, under another id, so
+    folders named by both are never mistaken for those of the query before."""
+    return spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+
+
+def append_feature_updates(updates: DataFrame, path: str, batch_id: int, stream: str = "main") -> None:
     """One batch of feature writes, in a folder of its own: cost follows the batch, not the table,
     and a repeated batch overwrites only itself."""
-    updates.write.mode("overwrite").parquet(f"{path}/updates/batch={batch_id}")
+    updates.write.mode("overwrite").parquet(f"{path}/updates/stream={stream}/batch={batch_id}")
 
 
-def read_feature_table(spark: SparkSession, path: str, now_ms: int | None = None) -> DataFrame:
-    """Live features: the last compacted table with the writes since then."""
-    updates = spark.read.parquet(f"{path}/updates")
+def _last_compaction(spark: SparkSession, path: str) -> int | None:
     if not _exists(spark, f"{path}/compacted"):
-        return feature_snapshot(updates.drop("batch"), now_ms)
-    tables = spark.read.parquet(f"{path}/compacted")
-    upto = tables.agg(F.max("upto")).first()[0]
-    table = tables.where(F.col("upto") == upto).drop("upto")
-    since = updates.where(F.col("batch") > upto).drop("batch")
-    merged = merge_features(table, since)
-    return merged if now_ms is None else merged.where(F.lit(now_ms) - F.col("writtenAt") < TTL_MS)
+        return None
+    return spark.read.parquet(f"{path}/compacted").agg(F.max("upto")).first()[0]
 
 
-def compact_feature_table(spark: SparkSession, path: str) -> None:
-    """Folds all writes so far into a new table, so that reads stay cheap; run now and then."""
-    last = spark.read.parquet(f"{path}/updates").agg(F.max("batch")).first()[0]
-    read_feature_table(spark, path).write.mode("overwrite").parquet(f"{path}/compacted/upto={last}")
+def read_feature_table(
+    spark: SparkSession, path: str, now_ms: int | None = None, ttl_ms: int = TTL_MS
+) -> DataFrame:
+    """Live features: the last compacted table with the writes since then. ``ttl_ms`` is that of the writers."""
+    updates = spark.read.parquet(f"{path}/updates")
+    upto = _last_compaction(spark, path)
+    if upto is None:
+        return feature_snapshot(updates.drop("stream", "batch"), now_ms, ttl_ms)
+    table = spark.read.parquet(f"{path}/compacted/upto={upto}")
+    folded = spark.read.parquet(f"{path}/folded/upto={upto}")
+    since = updates.join(folded, ["stream", "batch"], "left_anti").drop("stream", "batch")
+    merged = merge_features(table, since, ttl_ms)
+    return merged if now_ms is None else merged.where(F.lit(now_ms) - F.col("writtenAt") < ttl_ms)
+
+
+def compact_feature_table(
+    spark: SparkSession, path: str, now_ms: int | None = None, ttl_ms: int = TTL_MS
+) -> None:
+    """Folds all writes so far into a new table, so that reads stay cheap; run now and then. With ``now_ms`` keys that
+    are dead by then are left out. The list of folded batches is written first; a table without its list is never read."""
+    last = _last_compaction(spark, path)
+    upto = 0 if last is None else last + 1
+    updates = spark.read.parquet(f"{path}/updates")
+    updates.select("stream", "batch").distinct().write.mode("overwrite").parquet(f"{path}/folded/upto={upto}")
+    folded = spark.read.parquet(f"{path}/folded/upto={upto}")
+    known = updates.join(folded, ["stream", "batch"], "left_semi")
+    if last is None:
+        table = feature_snapshot(known.drop("stream", "batch"), now_ms, ttl_ms)
+    else:
+        before = spark.read.parquet(f"{path}/folded/upto={last}")
+        since = known.join(before, ["stream", "batch"], "left_anti").drop("stream", "batch")
+        table = merge_features(spark.read.parquet(f"{path}/compacted/upto={last}"), since, ttl_ms)
+        table = table if now_ms is None else table.where(F.lit(now_ms) - F.col("writtenAt") < ttl_ms)
+    table.write.mode("overwrite").parquet(f"{path}/compacted/upto={upto}")
 
 
 def feature_table_stream(alerts: DataFrame, scope: str, path: str, checkpoint: str):
-    """Alert rows (with ``writtenAt`` and ``seq``) into the feature table of ``scope``."""
+    """Alert rows (with ``writtenAt`` and ``seq``, see ``alerts.alert_writes``) into the feature table of ``scope``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_feature_updates(feature_updates(batch, scope), path, batch_id)
+        stream = stream_id(batch.sparkSession, checkpoint)
+        append_feature_updates(feature_updates(batch, scope), path, batch_id, stream)
 
     return alerts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 

@@ -12,7 +12,7 @@ from burstguard.operators.match import match_rules
 from burstguard.operators.rules import active_rules
 from burstguard.schemas import LATENESS_MS
 from burstguard.session import ROCKSDB
-from burstguard.sources.outputs import _exists
+from burstguard.sources.outputs import _exists, stream_id
 from burstguard.streaming.arrival import (
     ARRIVAL_COLUMNS,
     ARRIVAL_MATCH_SCHEMA,
@@ -105,14 +105,14 @@ def match_with_reload(
     """First of the two queries for rules that change while the stream runs.
 
     Every micro-batch reads the rule changelog anew (``read_changelog(spark)``), folds it and writes
-    the events it matches to ``staging``, one folder per batch. A batch that was already written
+    the events it matches to ``staging``, one folder per query and batch. A batch that was already written
     stays as it is, so that a restart neither loses nor doubles rows. Start ``staged_rows`` on the
     same folder for the second query.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        folder = f"{staging}/batch={batch_id}"
+        folder = f"{staging}/stream={stream_id(spark, checkpoint)}/batch={batch_id}"
         if _exists(spark, f"{folder}/_SUCCESS"):
             return
         rules = active_rules(read_changelog(spark))
@@ -129,4 +129,4 @@ STAGED_SCHEMA = (
 
 def staged_rows(spark: SparkSession, staging: str) -> DataFrame:
     """The staged matches as a stream, for ``stream_matches``."""
-    return spark.readStream.schema(STAGED_SCHEMA).parquet(f"{staging}/batch=*").select(*ARRIVAL_COLUMNS)
+    return spark.readStream.schema(STAGED_SCHEMA).parquet(f"{staging}/stream=*/batch=*").select(*ARRIVAL_COLUMNS)

@@ -7,10 +7,12 @@ import random
 from plain_machine import run
 from pyspark.sql import functions as F
 
+from burstguard.operators.alerts import alert_writes
 from burstguard.operators.match import match_rules, match_rules_asof
 from burstguard.operators.rules import rule_history, rules_frame
 from burstguard.sources.decode import decode_events, good_events
 from burstguard.sources.inputs import text_stream
+from burstguard.sources.outputs import compact_feature_table, feature_table_stream, read_feature_table
 from burstguard.streaming.arrival import detect_in_arrival_order, replay_matches
 from burstguard.streaming.detection import detect_stream, match_with_reload, staged_rows, stream_matches
 
@@ -161,3 +163,34 @@ def test_quiet_stream(spark, tmp_path):
     alerts = detect_stream(read_stream(spark, tmp_path / "in"), rules_frame(spark, RULES))
     run_to_table(alerts, "quiet", tmp_path / "cp")
     assert spark.table("quiet").count() == 0
+
+
+def test_reset_checkpoints_lose_no_features(spark, tmp_path):
+    """Alert texts into the feature table by two queries that both count their batches from 0."""
+    table = str(tmp_path / "features")
+    for n, user in enumerate(["u", "v"]):
+        folder = tmp_path / f"in{n}"
+        folder.mkdir()
+        doc = {"userId": user, "ip": "", "ruleType": "ORDER_BRUSH", "extra": None, "alertTimestamp": 5 + n}
+        (folder / "a.json").write_text(json.dumps(doc) + "\n")
+        writes = alert_writes(text_stream(spark, str(folder)))
+        query = feature_table_stream(writes, "userId", table, str(tmp_path / f"cp{n}")).trigger(availableNow=True)
+        query.start().awaitTermination(300)
+        if n == 0:
+            compact_feature_table(spark, table)
+    rows = {r["featureKey"]: (r["ruleType"], r["ip"], r["writtenAt"]) for r in read_feature_table(spark, table).collect()}
+    assert rows == {"u": ("ORDER_BRUSH", None, 5), "v": ("ORDER_BRUSH", None, 6)}
+    compact_feature_table(spark, table, now_ms=5 + 1_800_000)
+    assert [r["featureKey"] for r in read_feature_table(spark, table).collect()] == ["v"]
+
+
+def test_reset_checkpoints_stage_their_batches_again(spark, tmp_path):
+    rule = {"ruleId": "r", "ruleType": "HIGH_FREQ_ACCESS", "targetActionType": "VIEW", "windowSizeMs": 60000, "threshold": 2}
+    log = rules_frame(spark, [rule | {"version": 1}]).withColumn("seq", F.lit(0).cast("bigint"))
+    staging = str(tmp_path / "staging")
+    for n in range(2):
+        views = [{"seq": 2 * n + i, "userId": "u", "actionType": "VIEW", "ip": "x", "timestamp": T0 + (2 * n + i) * 5000} for i in range(2)]
+        write_event_files(tmp_path / f"in{n}", views, 2)
+        q = match_with_reload(read_stream(spark, tmp_path / f"in{n}"), lambda s: log, staging, str(tmp_path / f"cp{n}"))
+        q.trigger(availableNow=True).start().awaitTermination(300)
+    assert spark.read.parquet(f"{staging}/stream=*/batch=*").count() == 4
