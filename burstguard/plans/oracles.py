@@ -543,6 +543,7 @@ ORACLES = {
     "gated_alerts": f"""{ALERTS} SELECT {ALERT_COLUMNS} FROM al
       WHERE score >= CASE ruleId WHEN 'fx-pay' THEN 8 WHEN 'fx-login' THEN 9 ELSE 0 END""",
     "pipeline_alerts": f"{ALERTS} SELECT {ALERT_COLUMNS} FROM al",
+    "topic_alerts": f"{ALERTS} SELECT {ALERT_COLUMNS} FROM al",
     "asof_alerts": f"""WITH RECURSIVE {EV}, {RULE_LOG}, {count_machine("""
       SELECT ruleId || ':' || CASE WHEN nk % 2 = 0 THEN ip ELSE coalesce(deviceId, 'UNKNOWN') END AS gk, ruleId,
         'HIGH_FREQ_ACCESS' AS ruleType, 3600000::BIGINT AS w, threshold::BIGINT AS n, 1.0::DOUBLE AS weight, ev.seq AS arrival,

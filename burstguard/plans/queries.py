@@ -40,7 +40,7 @@ from burstguard.schemas import GROUP_KEY_TYPES
 from burstguard.session import shared_dir
 from burstguard.sources.csvfiles import import_counts, import_rows, map_csv, read_csv
 from burstguard.sources.decode import decode_events, decode_rules, good_events, is_valid_event, rejects
-from burstguard.sources.inputs import baseline_events, json_documents
+from burstguard.sources.inputs import arrival_order, baseline_events, json_documents
 from burstguard.sources.outputs import (
     alert_table_rows,
     event_documents,
@@ -222,6 +222,16 @@ def arrival_disorder(spark, sf):
     return _alert_rows(detect_in_arrival_order(match_rules(events, rules)))
 
 
+def topic_alerts(spark, sf):
+    """Events over two partitions of a topic with offsets far apart, detected in the order of their arrival."""
+    n = F.col("seq")
+    partition = (n % 3 == 0).cast("int")
+    topic = _events(spark, sf).withColumns(
+        {"partition": partition, "offset": n + partition * 1_000_000_000, "recordMs": F.col("timestamp") + n % 2}
+    )
+    return _alert_rows(detect_in_arrival_order(match_rules(arrival_order(topic.drop("seq")), fx.fixture_rules(spark))))
+
+
 def alert_messages(spark, sf):
     return _alerts(spark, sf).select("groupKey", "lastEventTimestamp", "message")
 
@@ -591,6 +601,7 @@ QUERIES = {
     "arrival_alerts": arrival_alerts,
     "asof_alerts": asof_alerts,
     "arrival_disorder": arrival_disorder,
+    "topic_alerts": topic_alerts,
     "alert_messages": alert_messages,
     "alert_levels": alert_levels,
     "risk_scores": risk_scores,

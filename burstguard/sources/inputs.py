@@ -1,6 +1,6 @@
 """Topics and files as DataFrames with a ``value`` text column."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from burstguard.functions.text import integer_or_null
@@ -16,20 +16,51 @@ def _topic(reader, servers: str, topic: str, starting: str, group: str | None) -
     if group:
         reader = reader.option("groupIdPrefix", group)
     rows = reader.load()
-    # Partition and offset in one number: order of arrival within a partition, unique over all.
-    seq = F.col("offset") * 65536 + F.col("partition")
-    return rows.select(F.col("key").cast("string"), F.col("value").cast("string"), seq.alias("seq"))
+    return rows.select(
+        F.col("key").cast("string"), F.col("value").cast("string"), "partition", "offset",
+        F.unix_millis("timestamp").alias("recordMs"),
+    )
+
+
+ORDER_BITS = 22
+RULES_FIRST, EVENTS_AFTER = 0, 1 << 20
+
+
+def arrival_order(rows: DataFrame, lane: int = EVENTS_AFTER) -> DataFrame:
+    """Replaces ``recordMs, partition, offset`` by ``seq``: one order of arrival over all partitions and topics.
+
+    Records are ordered by their time, then partition and offset; within a partition the order of offsets holds, also
+    where a producer's clock ran back, since a record counts as no earlier than those before it. All topics share the
+    clock; in one millisecond records of lane ``RULES_FIRST`` come before those of ``EVENTS_AFTER``. A million records
+    fit in a lane and millisecond.
+    """
+    before = Window.partitionBy("partition").orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same = Window.partitionBy("_clock").orderBy("partition", "offset")
+    timed = rows.withColumn("_clock", F.max("recordMs").over(before))
+    seq = F.shiftleft("_clock", ORDER_BITS) + lane + F.row_number().over(same) - 1
+    return timed.withColumn("seq", seq).drop("_clock", "recordMs", "partition", "offset")
+
+
+def stream_order(rows: DataFrame, lane: int = EVENTS_AFTER) -> DataFrame:
+    """As ``arrival_order`` for a stream, where no record sees another: ``seq`` of time, partition and offset. Right
+    where the broker stamps records, so that times rise with offsets; the last 16 bits of the offset order a
+    millisecond."""
+    low = F.pmod("partition", F.lit(16)) * 65536 + F.pmod("offset", F.lit(65536))
+    seq = F.shiftleft("recordMs", ORDER_BITS) + lane + low
+    return rows.withColumn("seq", seq.cast("bigint")).drop("recordMs", "partition", "offset")
 
 
 def behavior_topic(spark: SparkSession, servers: str, topic: str, group: str | None = None) -> DataFrame:
     """Events as they come, from the latest offset on. Needs the Kafka connector on the class path."""
-    return _topic(spark.readStream, servers, topic, "latest", group)
+    return stream_order(_topic(spark.readStream, servers, topic, "latest", group))
 
 
 def rule_topic(spark: SparkSession, servers: str, topic: str, group: str | None = None, stream: bool = False):
     """Rule documents from the earliest offset on."""
-    reader = spark.readStream if stream else spark.read
-    return _topic(reader, servers, topic, "earliest", f"{group}-rules" if group else None)
+    name = f"{group}-rules" if group else None
+    if stream:
+        return stream_order(_topic(spark.readStream, servers, topic, "earliest", name), RULES_FIRST)
+    return arrival_order(_topic(spark.read, servers, topic, "earliest", name), RULES_FIRST)
 
 
 def text_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:

@@ -88,3 +88,21 @@ def test_lint(spark):
 def test_scoped_rules(spark):
     row = scope_rules(template_rules(spark, "clickstream"), "run1", 1_700_000_012_345).first()
     assert row["ruleId"].endswith("-run1") and row["version"] == 1 + 12_345
+
+
+def test_large_rule_tables_join_by_salt(spark, monkeypatch):
+    """Beyond the broadcast limit the join is a salted shuffle; the pairs are the same."""
+    from burstguard.operators import match
+
+    rules = rules_frame(spark, [
+        {"ruleId": f"r{i}", "ruleType": "HIGH_FREQ_ACCESS", "targetActionType": ["VIEW", "ORDER"][i % 2], "windowSizeMs": 1000,
+         "threshold": 2} for i in range(9)
+    ])
+    events = spark.range(200).select(
+        F.col("id").alias("seq"), F.lit("u").alias("userId"), F.when(F.col("id") % 7 == 0, "ORDER").otherwise("view").alias("actionType"),
+        F.lit("i").alias("ip"), (F.col("id") + 1).alias("timestamp"), F.lit("s").alias("sessionId"), F.lit("d").alias("deviceId"),
+    )
+    pairs = lambda: sorted(map(tuple, match.match_rules(events, rules).select("seq", "ruleId").collect()))
+    usual = pairs()
+    monkeypatch.setattr(match, "BROADCAST_RULE_ROWS", 3)
+    assert pairs() == usual and len(usual) == 29 * 4 + 171 * 5

@@ -5,7 +5,7 @@ from burstguard.operators.features import feature_snapshot
 from burstguard.operators.rules import rules_frame, template_rules
 from burstguard.sources.csvfiles import detect_profile, import_rows, map_csv, read_csv
 from burstguard.sources.decode import decode_events, decode_rules, good_events, rejects
-from burstguard.sources.inputs import baseline_events, captured_alerts, json_documents
+from burstguard.sources.inputs import RULES_FIRST, arrival_order, baseline_events, captured_alerts, json_documents
 from burstguard.sources.outputs import (
     append_alert_table,
     append_feature_updates,
@@ -169,3 +169,14 @@ def test_every_json_file_is_judged_by_itself(spark, tmp_path):
     empty.mkdir()
     (empty / "x.json").write_text("")
     assert json_documents(spark, str(empty)).count() == 0
+
+
+def test_order_of_arrival_over_partitions(spark):
+    """Offsets of partitions are unrelated: records are ordered by time, and by offset inside a partition."""
+    rows = [("a", 0, 500, 10), ("b", 1, 3, 20), ("c", 0, 501, 30), ("d", 1, 4, 15), ("e", 0, 502, 20)]
+    frame = spark.createDataFrame(rows, "value string, partition int, offset long, recordMs long")
+    got = [r["value"] for r in arrival_order(frame).orderBy("seq").collect()]
+    assert got == ["a", "b", "d", "c", "e"]
+    rules = spark.createDataFrame([("r", 0, 0, 20)], "value string, partition int, offset long, recordMs long")
+    both = arrival_order(frame).unionByName(arrival_order(rules, RULES_FIRST)).orderBy("seq").collect()
+    assert [r["value"] for r in both] == ["a", "r", "b", "d", "c", "e"]
