@@ -5,23 +5,24 @@ first fills whole windows; what is left goes to the open window with the smalles
 no more may be opened, the fullest window is topped up with the head of the piece and emitted, so that windows leave a
 partition full. At a partition's end its few open windows are emitted unfilled and marked; these leftovers are merged
 whole, best fit, over groups of partitions.
-
-Tokens come from a tokenizers file of the byte-level BPE type. Its splitter always ends a match before a blank that
-follows a character other than white space, so texts are cut there and parts seen before are looked up.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from burstguard.llm.bpe import byte_letters
 from burstguard.llm.common import written
 
 WINDOW = 1024
@@ -29,78 +30,58 @@ OPEN = 8
 END_ID = 0
 #: Partitions whose leftovers are merged together: at most ``OPEN`` windows each.
 MERGED_PARTITIONS = 128
-#: Parts that a worker remembers at most; then it forgets all and goes on.
-REMEMBERED = 400_000
-PORTION = 4_000_000
+#: Ids are handed on in batches of about so many bytes.
+BATCH_BYTES = 8_000_000
+#: Characters outside the Latin blocks and common dashes, quotes and dots.
+OTHER_SCRIPT = re.compile("[^\x00-\u024f\u2010-\u2027]")
+#: How byte-level files of this type split a text before merging: a fixed value of the format.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, open boolean"
 )
 
 
-class CachedTokenizer:
-    """Ids of whole texts from remembered ids of their parts."""
+class Encoder:
+    """Ids of whole texts, as the tokenizers library gives them for a byte-level BPE file.
+
+    Texts in Latin letters are encoded by tiktoken from the same file's vocabulary, which is several times faster; it
+    gives the same ids where every merge makes the next id, which is checked. Other scripts, for which the two libraries
+    could know different Unicode tables, and written special tokens go to the library that the file belongs to.
+    """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.after_blank: dict[str, bytes] = {}  # of " " + key
-        self.whole: dict[str, bytes] = {}
-
-    def parts(self, text: str) -> list[str]:
-        """The text cut before each blank that follows another character than white space."""
-        out: list[str] = []
-        current = None
-        for piece in text.split(" "):
-            if current is None:
-                current = piece
-            elif current and not current[-1].isspace():
-                out.append(current)
-                current = " " + piece
-            else:
-                current += " " + piece
-        return [*out, current]
-
-    def learn(self, table: dict[str, bytes], keys: list[str], blank: str) -> None:
-        for at in range(0, len(keys), 4096):
-            some = keys[at : at + 4096]
-            for key, got in zip(some, self.library.encode_batch([blank + k for k in some], add_special_tokens=False)):
-                table[key] = np.asarray(got.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        for table in (self.after_blank, self.whole):
-            if len(table) > REMEMBERED:
-                table.clear()
-        known, cut, odd, new, new_whole = self.after_blank, [], {}, {}, {}
-        for i, text in enumerate(texts):
-            head, *rest = text.split(" ")
-            found = list(map(known.get, rest))
-            if rest and (not head or head[-1].isspace()) or None in found and any(
-                not p or p[-1].isspace() for p, ids in zip(rest[:-1], found) if ids is None
-            ):
-                odd[i] = self.parts(text)
-                new_whole.update(dict.fromkeys(p for p in odd[i] if p not in self.whole))
-            else:
-                new.update(dict.fromkeys(p for p, ids in zip(rest, found) if ids is None))
-                if head not in self.whole:
-                    new_whole[head] = None
-            cut.append((head, rest))
-        self.learn(known, list(new), " ")
-        self.learn(self.whole, list(new_whole), "")
-        return [
-            b"".join(map(self.whole.__getitem__, odd[i]))
-            if i in odd
-            else self.whole[head] + b"".join(map(known.__getitem__, rest))
-            for i, (head, rest) in enumerate(cut)
-        ]
+        self.ordinary = self.by_ranks(path)
+
+    @staticmethod
+    def by_ranks(path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocabulary = spec["model"]["vocab"]
+        byte = {c: b for b, c in enumerate(byte_letters())}
+        merges = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
+        if any(vocabulary.get("".join(m)) != 256 + i for i, m in enumerate(merges)):
+            return None
+        special = {t["content"] for t in spec["added_tokens"]}
+        ranks = {bytes(byte[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+        return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian 32-bit ids."""
+        if self.ordinary and "<|" not in text and (text.isascii() or not OTHER_SCRIPT.search(text)):
+            ids = self.ordinary(text)
+        else:
+            ids = self.library.encode(text, add_special_tokens=False).ids
+        return np.asarray(ids, "<u4").tobytes()
 
 
-_TOKENIZERS: dict[str, CachedTokenizer] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
-def tokenizer(path: str) -> CachedTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = CachedTokenizer(path)
-    return _TOKENIZERS[path]
+def encoder(path: str) -> Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 class OpenWindows:
@@ -150,21 +131,6 @@ class OpenWindows:
         self.windows = []
 
 
-def _portions(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
-    """Ids and texts of a batch, in portions of about PORTION characters."""
-    ids, texts, total = [], [], 0
-    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-        text = text.as_py() or ""
-        ids.append(doc_id)
-        texts.append(text)
-        total += len(text)
-        if total > PORTION:
-            yield ids, texts
-            ids, texts, total = [], [], 0
-    if texts:
-        yield ids, texts
-
-
 def _table(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
     columns = zip(*rows) if rows else [[] for _ in kinds]
@@ -201,14 +167,18 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = OpenWindows(capacity, open_windows, TaskContext.get().partitionId() << 40)
-        machine = tokenizer(path)
+        machine = encoder(path)
+        rows: list[tuple] = []
+        size = 0
         for batch in batches:
-            for doc_ids, texts in _portions(batch):
-                rows: list[tuple] = []
-                for doc_id, ids in zip(doc_ids, machine.encode(texts)):
-                    rows += windows.place(doc_id, ids + end)
-                if rows:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                ids = machine.encode(text.as_py() or "") + end
+                rows += windows.place(doc_id, ids)
+                size += len(ids)
+                if size > BATCH_BYTES:
                     yield _table(rows)
+                    rows, size = [], 0
+        yield _table(rows)
         yield _table(list(windows.rest()))
 
     pieces = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES))
