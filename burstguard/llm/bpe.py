@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,11 +22,24 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
-#: Parts and fragments that a worker remembers at most; then it forgets all and goes on.
-REMEMBERED = 400_000
+#: Parts and words that a worker remembers at most; then it forgets all and goes on.
+REMEMBERED = 200_000
 #: Texts of a batch are handled in portions of about so many characters.
-PORTION = 4_000_000
+PORTION = 2_000_000
+#: The first character beyond the Latin blocks; all before it are stable under NFC.
+LATIN_END = "\u0250"
+#: The form of file that the Latin shortcut knows: fixed values of the format.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def byte_letters() -> list[str]:
@@ -36,87 +50,95 @@ def byte_letters() -> list[str]:
 
 
 class ForcedBoundaryEncoder:
+    """Fragments are merged by the library's own BPE model: as the file has it for a word's last fragment, and without
+    the end-of-word suffix for the others. Latin texts are lowered and cut into words by an equal regular expression of
+    Python's, which saves the normaliser and splitter objects; all others go through those of the file."""
+
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         library = Tokenizer.from_file(path)
-        self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
+        self.normalizer, self.splitter, self.last = library.normalizer, library.pre_tokenizer, library.model
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"]
-        self.ids = model["vocab"]
-        self.ranks = {tuple(m) if isinstance(m, list) else tuple(m.split(" ")): i for i, m in enumerate(model["merges"])}
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        self.inner = BPE(vocab=model["vocab"], merges=merges)
+        self.vocabulary = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_at = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.byte = {c: b for b, c in enumerate(byte_letters())}
+        self.letter = byte_letters()
         self.never = self.forced_pairs()
+        self.cuts = {
+            self.letter[x]: "".join(self.letter[y] for y in np.flatnonzero(self.never[x])) for x in range(256)
+        }
+        self.latin = self.latin_words(spec)
         self.parts: dict[bytes, bytes] = {}
-        self.fragments: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
 
     def forced_pairs(self) -> np.ndarray:
         """``never[a, b]``: no token holds byte ``b`` right after byte ``a``."""
+        byte = {c: b for b, c in enumerate(self.letter)}
         never = np.ones((256, 256), bool)
-        for token in self.ids:
-            held = [self.byte[c] for c in token.removesuffix(self.suffix)]
+        for token in self.vocabulary:
+            held = [byte[c] for c in token.removesuffix(self.suffix)]
             never[held[:-1], held[1:]] = False
         return never
 
-    def merged(self, fragment: str) -> list[int]:
-        """Ids of a fragment: the pair of the lowest rank is merged, leftmost first, until none is left."""
-        ends = fragment.endswith(self.suffix)
-        symbols = list(fragment.removesuffix(self.suffix))
-        if ends:
-            symbols[-1] += self.suffix
-        top = len(self.ranks)
-        while len(symbols) > 1:
-            ranks = [self.ranks.get(pair, top) for pair in zip(symbols, symbols[1:])]
-            best = min(ranks)
-            if best == top:
-                break
-            left, right = symbols[(at := ranks.index(best))], symbols[at + 1]
-            out, i = symbols[:at], at
-            while i < len(symbols):
-                if i + 1 < len(symbols) and symbols[i] == left and symbols[i + 1] == right:
-                    out.append(left + right)
-                    i += 2
-                else:
-                    out.append(symbols[i])
-                    i += 1
-            symbols = out
-        return [self.ids[s] for s in symbols]
-
-    def word(self, letters: str) -> list[int]:
-        held = np.fromiter((self.byte[c] for c in letters), np.uint8, len(letters))
-        cuts = [0, *(np.flatnonzero(self.never[held[:-1], held[1:]]) + 1).tolist(), len(letters)]
-        out: list[int] = []
-        for a, b in zip(cuts, cuts[1:]):
-            fragment = letters[a:b] + (self.suffix if b == len(letters) else "")
-            ids = self.fragments.get(fragment)
+    @staticmethod
+    def latin_words(spec: dict) -> re.Pattern | None:
+        """The file's word pattern for code points below LATIN_END; None if the file is not of the known form."""
+        if spec["normalizer"] != NORMALIZER or spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] != WORDS:
+            return None
+        latin = list(map(chr, range(ord(LATIN_END))))
+        letters, numbers = ("".join(c for c in latin if unicodedata.category(c)[0] == x) for x in "LN")
+        spaces = "\t-\r \x85\xa0"
+        return re.compile(WORDS.replace(r"\s", spaces).replace(r"\p{L}", letters).replace(r"\p{N}", numbers))
+
+    def word(self, letters: str) -> bytes:
+        """Ids of a word: fragments between the forced boundaries, each merged on its own."""
+        cuts, start, out = self.cuts, 0, []
+        for i in range(1, len(letters)):
+            if letters[i] in cuts[letters[i - 1]]:
+                out += [t.id for t in self.inner.tokenize(letters[start:i])]
+                start = i
+        out += [t.id for t in self.last.tokenize(letters[start:])]
+        return np.asarray(out, "<i4").tobytes()
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens and ASCII white space."""
+        if self.latin and (text.isascii() or max(text) < LATIN_END):
+            words = self.latin.findall(text.lower())
+            if not (text.isascii() and text.isprintable()):
+                words = ["".join(map(self.letter.__getitem__, w.encode())) for w in words]
+        else:
+            words = [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
+        known, out = self.words, []
+        for w in words:
+            ids = known.get(w)
             if ids is None:
-                ids = self.fragments[fragment] = self.merged(fragment)
-            out += ids
-        return out
+                ids = known[w] = self.word(w)
+            out.append(ids)
+        return b"".join(out)
 
     def part(self, raw: bytes) -> bytes:
-        """Ids of a text without white space between its words, as little-endian 32-bit integers."""
+        """Ids of a part of a text, as little-endian 32-bit integers."""
         text = raw.decode("utf-8", "replace")
-        pieces = self.special_at.split(text) if self.special_at and b"<|" in raw else [text]
-        ids: list[int] = []
-        for piece in pieces:
-            if piece in self.special:
-                ids.append(self.special[piece])
-            elif piece:
-                for letters, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(piece)):
-                    ids += self.word(letters)
-        return np.asarray(ids, "<i4").tobytes()
+        if not self.special_at or b"<|" not in raw:
+            return self.plain(text)
+        return b"".join(
+            np.asarray([self.special[x]], "<i4").tobytes() if x in self.special else self.plain(x)
+            for x in self.special_at.split(text)
+            if x
+        )
 
     def encode(self, text: str) -> bytes:
         parts = text.encode("utf-8", "replace").split()
         known = self.parts
         found = list(map(known.get, parts))
         if None in found:
-            if len(known) > REMEMBERED or len(self.fragments) > REMEMBERED:
+            if len(known) > REMEMBERED or len(self.words) > REMEMBERED:
                 known.clear()
-                self.fragments.clear()
+                self.words.clear()
             for i, ids in enumerate(found):
                 if ids is None:
                     ids = known.get(parts[i])
