@@ -41,6 +41,11 @@ SHARD_BYTES = 2_000_000
 #: Texts up to this many are named in a broadcast, to shuffle only their bytes; beyond, all texts are shuffled.
 BROADCAST_TEXTS = 1_000_000
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1
+BODIES = "anchor long, segment long, copies long, back int, cores array<long>, body binary"
+PARTS = (
+    "anchor long, segment long, copies long, at int, part_anchor long, part_segment long, back int, cores array<long>, "
+    "body binary"
+)
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -135,26 +140,36 @@ def _sort_shards(length: int):
     return run
 
 
+def _blocks(size: int, back: int, length: int, block: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """Blocks of the starts of a body by how far they are before the anchor: number, first and last start, and begin
+    and end of the core, the bytes that all strings of such a block share in any body."""
+    nearest = back - (size - length)  # distance of the last start
+    for k in range(nearest // block, back // block + 1):
+        core = back - k * block
+        yield k, back - min(back, k * block + block - 1), back - max(nearest, k * block), core, core - block + 1 + length
+
+
+def _cores(body: bytes, back: int, length: int, block: int) -> list[int]:
+    return [
+        xxhash.xxh3_64_intdigest(body[a:b], seed=k + 1) - (1 << 63)
+        for k, _, _, a, b in _blocks(len(body), back, length, block)
+    ]
+
+
 def _split(length: int, block: int):
-    """Cut segments by the distance of their starts before the anchor, in blocks; a part's anchor is the hash of the
-    bytes that all strings of its block share."""
+    """Cut segments into blocks of their starts; a part's anchor is the hash of its core."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for row in frame[["anchor", "segment", "copies", "back", "body"]].itertuples(index=False, name=None):
                 anchor, segment, copies, back, body = row
-                nearest = back - (len(body) - length)  # distance of the last start
-                for k in range(nearest // block, back // block + 1):
-                    a, b = back - min(back, k * block + block - 1), back - max(nearest, k * block)
+                for (_, a, b, _, _), core in zip(_blocks(len(body), back, length, block), _cores(body, back, length, block)):
                     part = body[a : b + length]
-                    core = body[back - k * block : back - k * block - block + 1 + length]
-                    names = xxhash.xxh3_64_intdigest(core, seed=k + 1), xxhash.xxh3_64_intdigest(part)
-                    rows.append((anchor, segment, copies, a, *(n - (1 << 63) for n in names), back - a, part))
-            yield pd.DataFrame(
-                rows,
-                columns=["anchor", "segment", "copies", "at", "part_anchor", "part_segment", "back", "body"],
-            )
+                    name = xxhash.xxh3_64_intdigest(part) - (1 << 63)
+                    cores = _cores(part, back - a, length, -(-block // 4))
+                    rows.append((anchor, segment, copies, a, core, name, back - a, cores, part))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in PARTS.split(", ")])
 
     return run
 
@@ -162,14 +177,19 @@ def _split(length: int, block: int):
 def different_segments(
     bodies: DataFrame, length: int, starts: int, most: int | None = None
 ) -> DataFrame:
-    """``anchor, segment, runs`` of the repeated starts in rows ``anchor, segment, copies, back, body``, all different.
+    """``anchor, segment, runs`` of the repeated starts in rows ``anchor, segment, copies, back, cores, body``, all
+    different.
 
     ``runs`` are begins and ends; only segments of one copy are told, as the others are repeated throughout. ``back``
-    is the anchor's place in the body, ``starts`` how many starts a segment has at most.
+    is the anchor's place in the body, ``starts`` how many starts a segment has at most, ``cores`` the hashes of the cores
+    of four blocks of starts. A segment that shares no core with another one of its anchor has no repeated start.
     """
     most = SHARD_SEGMENTS if most is None else most
-    sizes = bodies.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    sized = bodies.join(sizes, "anchor")
+    cores = bodies.select("anchor", "segment", "copies", F.explode("cores").alias("core"))
+    shared = cores.groupBy("anchor", "core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    live = written(cores.join(shared, ["anchor", "core"]).select("anchor", "segment", "copies").distinct())
+    sizes = live.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("copies").alias("least"))
+    sized = bodies.join(live.join(sizes.filter("least = 1"), "anchor").select("anchor", "segment", "kinds"), ["anchor", "segment"])
     few = (
         sized.filter(F.col("kinds") <= most)
         .select("anchor", "segment", "copies", "body")
@@ -183,8 +203,7 @@ def different_segments(
     block = -(-starts // 4)
     parts = written(
         many.select("anchor", "segment", "copies", "back", "body").mapInPandas(
-            _split(length, block),
-            "anchor long, segment long, copies long, at int, part_anchor long, part_segment long, back int, body binary",
+            _split(length, block), PARTS
         )
     )
     key = ["part_anchor", "part_segment"]
@@ -195,7 +214,7 @@ def different_segments(
     one = (
         parts.join(rest, key)
         .groupBy(F.col("part_anchor").alias("anchor"), F.col("part_segment").alias("segment"))
-        .agg(F.first("all").alias("copies"), F.first("back").alias("back"), F.first("body").alias("body"))
+        .agg(*[F.first(c).alias(n) for c, n in {"all": "copies", "back": "back", "cores": "cores", "body": "body"}.items()])
     )
     sorted_parts = different_segments(written(one), length, block, most).select(
         F.col("anchor").alias("part_anchor"), F.col("segment").alias("part_segment"), "runs"
@@ -215,6 +234,8 @@ def different_segments(
 
 
 def _bodies(length: int, anchor: int):
+    block = -(-(length - anchor + 1) // 4)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
@@ -223,8 +244,9 @@ def _bodies(length: int, anchor: int):
                 for w in wanted:
                     body = raw[w["start"] : w["start"] + w["starts"] - 1 + length]
                     hashes = anchor_hashes(np.frombuffer(body[:length], np.uint8), anchor)
-                    rows.append((w["anchor"], w["segment"], w["copies"], int(hashes.argmin()), body))
-            yield pd.DataFrame(rows, columns=["anchor", "segment", "copies", "back", "body"])
+                    back = int(hashes.argmin())
+                    rows.append((w["anchor"], w["segment"], w["copies"], back, _cores(body, back, length, block), body))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in BODIES.split(", ")])
 
     return run
 
@@ -307,7 +329,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
         .dropDuplicates(["text_id", "n_bytes"])
         .join(wanted, ["text_id", "n_bytes"])
         .select("text", "wanted")
-        .mapInPandas(_bodies(length, anchor), "anchor long, segment long, copies long, back int, body binary")
+        .mapInPandas(_bodies(length, anchor), BODIES)
     )
     sorted_segments = different_segments(bodies, length, length - anchor + 1)
     twice = kinds.filter("copies > 1").select("anchor", "segment", F.lit(None).cast("array<int>").alias("runs"))
