@@ -87,6 +87,33 @@ def test_bands_of_many_lines(corpus_spark, monkeypatch):
     assert sorted(r["doc_id"] for r in got if r["text"]) == [0]
 
 
+def check_lines(spark, lines):
+    """What stays is one line of each component that brute force finds."""
+    rows = [(i, "\n".join(lines[3 * i : 3 * i + 3]), None, None, 0) for i in range(-(-len(lines) // 3))]
+    got = line_dedup.dedup_lines(spark_docs(spark, rows)).collect()
+    different = sorted(set(lines))
+    runs = [{y[i : i + 5] for i in range(len(y) - 4)} or {y} for y in (x.strip().lower() for x in different)]
+    links = [
+        (i, j) for i in range(len(runs)) for j in range(i) if len(runs[i] & runs[j]) >= 0.8 * len(runs[i] | runs[j])
+    ]
+    root = dict(zip(different, groups(len(different), links)))
+    kept = Counter(root[x] for r in got if r["text"] for x in r["text"].split("\n"))
+    assert kept == Counter(set(root.values()))
+    return len(different) - len(kept)
+
+
+def test_near_copies_of_lines_without_blanks(corpus_spark):
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    lines = ["https://" + "/".join(word(9) for _ in range(8)) for _ in range(20)]
+    lines += ["\t".join(word(6) for _ in range(14)) for _ in range(20)]
+    lines += [" ".join(word(20) for _ in range(3)) for _ in range(20)]
+    lines += ["".join(rng.choice("ကခဂဃငစဆဇဈညဋဌဍဎဏတထဒဓနပဖဗဘမယရလဝသဟဠအ") for _ in range(70)) for _ in range(20)]
+    typo = lambda x, at: x[:at] + ("#" if at < len(x) else "") + x[at + 1 :]
+    lines += [typo(x, rng.choice([len(x) // 2, len(x) - 1])) for x in lines]
+    assert check_lines(corpus_spark, lines) == 80
+
+
 def test_pipeline_stages(corpus_spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     rng = random.Random(6)
