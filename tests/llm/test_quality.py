@@ -114,6 +114,17 @@ def test_near_copies_of_lines_without_blanks(corpus_spark):
     assert check_lines(corpus_spark, lines) == 80
 
 
+def test_hot_bands_of_many_small_groups(corpus_spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    head, lines = " ".join(word() for _ in range(22)), []
+    for _ in range(160):
+        own = [word() for _ in range(6)]
+        lines += [f"{head} {' '.join(own)}", f"{head} {' '.join(own[:-1])} {word()[:2]}"]
+    rng.shuffle(lines)
+    assert check_lines(corpus_spark, lines) == 160
+
+
 def test_pipeline_stages(corpus_spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     rng = random.Random(6)
