@@ -94,3 +94,34 @@ SELECT query_id, CAST(n AS INT) AS rank, vec_id, score FROM (
 """
 
 ORACLES["op9_topk_search"] = OP9
+
+
+def _op13(k: int = 40, rounds: int = 5) -> str:
+    """The rounds one after the other: c0, a0, c1, a1, ... are the centroids and the vectors' nearest of them."""
+    parts = [
+        """v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c, v FROM v
+  QUALIFY c < {k})""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': d, 'c': c}}) AS near FROM (
+    SELECT r, vec_id, v.v, c, CAST(list_sum(list_transform(range(1, 65), lambda i: (v.v[i] - m.v[i]) * (v.v[i] - m.v[i]))) AS BIGINT) AS d
+    FROM v, c{i} AS m) GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(n.v, o.v) AS v FROM c{i} AS o LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY d) AS v FROM (
+      SELECT near.c AS c, d, sum(CAST(v[d] AS HUGEINT)) AS s, count(*) AS n FROM a{i}, range(1, 65) AS dims(d) GROUP BY 1, 2)
+    GROUP BY c) AS n USING (c))""")
+    return "WITH " + ", ".join(parts) + f"""
+SELECT vec_id, CAST(near.c AS INT) AS cluster, CAST(near.d AS BIGINT) AS distance,
+       CAST(sum(near.d) OVER (PARTITION BY near.c) AS BIGINT) AS cluster_inertia, CAST(sum(near.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN c{rounds} AS m ON m.c = a.near.c"""
+
+
+ORACLES["op13_centroids"] = _op13()

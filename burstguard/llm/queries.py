@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstguard.llm import bpe, licences, line_dedup, packing, pu, rules, sharding, simhash, suffix_dedup, topk
+from burstguard.llm import bpe, centroids, licences, line_dedup, packing, pu, rules, sharding, simhash, suffix_dedup, topk
 from burstguard.llm.common import table
 
 
@@ -112,6 +112,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"), k=40, rounds=5)[0]
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_licence_scan": op2_licence_scan,
@@ -123,4 +127,5 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_topk_search": op9_topk_search,
     "op10_simhash": op10_simhash,
+    "op13_centroids": op13_centroids,
 }
