@@ -125,3 +125,61 @@ FROM a{rounds} AS a JOIN c{rounds} AS m ON m.c = a.near.c"""
 
 
 ORACLES["op13_centroids"] = _op13()
+
+ORACLES["op12_divergence_audit"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), places AS MATERIALIZED (
+  SELECT r, lang, source, unnest(words) AS term FROM docs
+), kept AS MATERIALIZED (
+  SELECT lang, term, count(*) OVER (PARTITION BY lang) AS v FROM (
+    SELECT lang, term FROM places GROUP BY lang, term HAVING count(DISTINCT r) >= 10)
+), counts AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n FROM places SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), totals AS (
+  SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source
+), groups_ AS (
+  SELECT DISTINCT lang, source FROM docs
+), shares AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * k.v) AS p
+  FROM groups_ g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), whole AS (
+  SELECT k.lang, k.term, 1 + (1000000000::HUGEINT * (coalesce(sum(c.n), 0) + 2))
+                           // (coalesce((SELECT sum(total) FROM totals t WHERE t.lang = k.lang), 0) + 2 * any_value(k.v)) AS q
+  FROM kept k LEFT JOIN counts c USING (lang, term) GROUP BY k.lang, k.term
+), compared AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(c.value, 0) AS value
+  FROM groups_ a JOIN groups_ b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN compared c ON c.lang = a.lang AND c.source = a.source AND c.item = b.source
+  UNION ALL
+  SELECT s.lang, s.source, 'term', s.term, (p - q) * (p - q) // (p + q)
+  FROM shares s JOIN whole w ON w.lang = s.lang AND w.term = s.term WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLES["op11_warc"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digits,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
+  FROM pages
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+         (CAST('0x' || substr(digits, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS INT)) & 31 AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS NOT DISTINCT FROM last THEN NULL ELSE last END AS refers_to
+FROM payloads
+"""

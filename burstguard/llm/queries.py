@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstguard.llm import bpe, centroids, licences, line_dedup, packing, pu, rules, sharding, simhash, suffix_dedup, topk
+from burstguard.llm import bpe, centroids, divergence, licences, line_dedup, packing, pu, rules, sharding, simhash, suffix_dedup, topk, warc
 from burstguard.llm.common import table
 
 
@@ -112,6 +112,16 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered(table(spark, sf_dir, "embeddings"), k=40, rounds=5)[0]
 
@@ -127,5 +137,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_topk_search": op9_topk_search,
     "op10_simhash": op10_simhash,
+    "op11_warc": op11_warc,
+    "op12_divergence_audit": op12_divergence_audit,
     "op13_centroids": op13_centroids,
 }
