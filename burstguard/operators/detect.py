@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from burstguard.functions.actions import LARGE_FROM, SMALL_BELOW
 from burstguard.operators.alerts import RULE_FACTS, score_matches
 from burstguard.operators.match import match_rules
-from burstguard.operators.sequence import HOT_ROWS, select_matches
+from burstguard.operators.sequence import select_matches
 
 def with_roles(matched: DataFrame, small_below: float = SMALL_BELOW, large_from: float = LARGE_FROM) -> DataFrame:
     """Pairs some detector works on, each with its ``role``: the part of its action, with payments
@@ -24,7 +24,6 @@ def with_roles(matched: DataFrame, small_below: float = SMALL_BELOW, large_from:
 def detect_matches(
     matched: DataFrame,
     rules: DataFrame,
-    hot_rows: int | None = HOT_ROWS,
     small_below: float = SMALL_BELOW,
     large_from: float = LARGE_FROM,
 ) -> DataFrame:
@@ -34,16 +33,11 @@ def detect_matches(
     columns not needed for matching stay out of that shuffle and are joined to the few matches.
     """
     rows = with_roles(matched, small_below, large_from)
-    matches = select_matches(rows, hot_rows)
+    matches = select_matches(rows)
     return matches.join(rules.select(*RULE_FACTS), "ruleId")
 
 
-def detect(
-    events: DataFrame,
-    rules: DataFrame,
-    strict_routing: bool = False,
-    hot_rows: int | None = HOT_ROWS,
-) -> DataFrame:
+def detect(events: DataFrame, rules: DataFrame, strict_routing: bool = False) -> DataFrame:
     """Alerts of a set of events under fixed rules, in event-time order (ties by ``seq``)."""
     matched = match_rules(events, rules, strict_routing)
-    return score_matches(detect_matches(matched, rules, hot_rows))
+    return score_matches(detect_matches(matched, rules))

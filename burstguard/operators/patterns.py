@@ -17,15 +17,16 @@ from burstguard.functions.actions import (
 )
 from burstguard.functions.keys import group_key
 from burstguard.operators.candidates import count_candidates, pair_candidates
-from burstguard.operators.sequence import HOT_ROWS, select_matches
+from burstguard.operators.sequence import select_matches
 
 # Fixed value: small payments a payment pattern asks for, whatever the rule's threshold.
 PAYMENT_PATTERN_SMALLS = 3
 
 
 def _rows(events: DataFrame, key: Column, name: str, detector: str, role: Column, threshold: int, window_ms: int):
+    """Events as detector rows; those without a key share one, as with rules."""
     return events.select(
-        key.alias("groupKey"),
+        F.coalesce(key.cast("string"), F.lit("UNKNOWN")).alias("groupKey"),
         F.lit(name).alias("ruleId"),
         "timestamp",
         "seq",
@@ -47,13 +48,12 @@ def times_or_more(
     key: Column,
     name: str = "times_or_more",
     overlapping: bool = False,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """``times`` events with ``condition`` within the window, per ``key``."""
     rows = _rows(events, key, name, "count", F.when(condition, "hit"), times, window_ms)
     if overlapping:
         return count_candidates(rows, "groupKey", times, window_ms)
-    return select_matches(rows, hot_rows)
+    return select_matches(rows)
 
 
 def followed_by(
@@ -64,18 +64,17 @@ def followed_by(
     key: Column,
     name: str = "followed_by",
     overlapping: bool = False,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """An event with ``second`` after the latest one with ``first``, within the window."""
     role = F.when(first, "first").when(second, "second")
     rows = _rows(events, key, name, "pair", role, 2, window_ms)
     if overlapping:
         return pair_candidates(rows, "groupKey", window_ms)
-    return select_matches(rows, hot_rows)
+    return select_matches(rows)
 
 
 def login_smalls_large(
-    events: DataFrame, smalls: int, window_ms: int, key: Column, name: str = "chain", hot_rows: int | None = HOT_ROWS
+    events: DataFrame, smalls: int, window_ms: int, key: Column, name: str = "chain"
 ) -> DataFrame:
     """A login with an ip, then ``smalls`` small payments or more, then a large one."""
     action, amount = F.col("actionType"), F.col("amount")
@@ -84,7 +83,7 @@ def login_smalls_large(
         .when(is_small_payment(action, amount), "small")
         .when(is_large_payment(action, amount), "large")
     )
-    return select_matches(_rows(events, key, name, "chain", role, smalls, window_ms), hot_rows)
+    return select_matches(_rows(events, key, name, "chain", role, smalls, window_ms))
 
 
 def is_valid_rule_dict(rule: dict) -> bool:
@@ -97,7 +96,7 @@ def is_valid_rule_dict(rule: dict) -> bool:
     )
 
 
-def rule_pattern(events: DataFrame, rule: dict, key: Column | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def rule_pattern(events: DataFrame, rule: dict, key: Column | None = None) -> DataFrame:
     """Matches of the pattern of one rule; every rule type has one, CUSTOM included."""
     if not is_valid_rule_dict(rule):
         raise ValueError(f"invalid rule: {rule}")
@@ -107,15 +106,13 @@ def rule_pattern(events: DataFrame, rule: dict, key: Column | None = None, hot_r
         key = group_key(F.lit(name), F.lit(rule.get("groupKeyType") or "BY_USER_ID"))
     action = F.col("actionType")
     if kind == "ABNORMAL_LOGIN":
-        return followed_by(
-            events, is_login_success(action), is_sensitive_action(action), window, key, name, hot_rows=hot_rows
-        )
+        return followed_by(events, is_login_success(action), is_sensitive_action(action), window, key, name)
     if kind == "PAYMENT_FRAUD":
-        return login_smalls_large(events, PAYMENT_PATTERN_SMALLS, window, key, name, hot_rows)
+        return login_smalls_large(events, PAYMENT_PATTERN_SMALLS, window, key, name)
     if kind == "CREDENTIAL_STUFFING":
         condition = is_login_fail(action)
     elif kind == "ORDER_BRUSH":
         condition = F.upper(action).isin(ORDER_PLACED)
     else:
         condition = F.upper(action) == rule["targetActionType"].upper()
-    return times_or_more(events, condition, times, window, key, name, hot_rows=hot_rows)
+    return times_or_more(events, condition, times, window, key, name)

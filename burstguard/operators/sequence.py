@@ -1,4 +1,4 @@
-"""Non-overlapping sequence matches per key, in event-time order, as native Spark expressions.
+"""Non-overlapping sequence matches per key, in event-time order.
 
 Input rows carry ``groupKey, timestamp, seq, userId, ip, deviceId``, the rule columns
 ``ruleId``, ``windowSizeMs`` and ``threshold``, a ``detector`` and the ``role`` the row plays in it:
@@ -13,245 +13,130 @@ pay        a large payment, ``threshold`` small ones and a login from another  l
 chain      a login, then ``threshold`` small payments, then a large one        login, small, large
 =========  ==================================================================  ====================
 
-Every detector reduces to candidate intervals: row *i* completes a match when the buffer still
-reaches back to ``need(i)``. Matches are taken by earliest end and consume everything up to the
-row whose arrival completed them. A match must end strictly later than the one before it; one
-that does not holds back all others until its rows are ``LATENESS_MS`` past the window.
+Matches are taken by earliest end and consume everything up to the row whose arrival completed them. A match must end
+strictly later than the one before it; one that does not holds back all others until its rows are ``LATENESS_MS`` past
+the window.
 
-Plan: one shuffle on ``groupKey``; a single sort serves the windows that find islands (rows
-further apart than window + lateness never meet) and look-backs; islands too small to match are
-dropped; a fold over the candidates of each island picks the matches. All of it stays in the JVM.
-Keys with more rows than ``hot_rows`` go to ``hotkeys`` instead, which splits them by time.
+All keys go one way. Their rows are cut into time slots a few windows long, each also seeing the rows one reach (window +
+lateness) before it, which is as far as a match or a held key looks back. So
+
+1. each slot works out, by itself, which state it ends in for each state it may start in (see ``slots``);
+2. these small maps are composed: first over blocks of slots, giving one map a block, then over the blocks of a key, then
+   inside each block again, now from its true start;
+3. each slot takes its matches from its true start.
+
+The rows are shuffled once, by key and slot; steps 1 and 3 read the same exchange. The unit of work is one key's rows in a
+slot, and no group grows with a key's history: a slot lasts 40 seconds at least, so a block spans two days and a year of
+one key is 200 blocks.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from burstguard.operators import hotkeys
+from burstguard.operators import slots
 from burstguard.schemas import LATENESS_MS
 
-# A key with more rows than this is split by time (see ``hotkeys``).
-HOT_ROWS = 100_000
-
 SEQUENCE_COLUMNS = ["groupKey", "ruleId", "timestamp", "seq", "userId", "ip", "deviceId", "detector", "role",
                     "windowSizeMs", "threshold"]
 
-MATCH_FIELDS = ["groupKey", "ruleId", "userId", "ip", "deviceId", "matchCount", "firstEventTimestamp",
-                "lastEventTimestamp", "eventSeqs"]
-
+# Slots whose maps are composed in one group.
+BLOCK_SLOTS = 4096
 
-def with_lookbacks(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Adds, per key in (timestamp, seq) order: ``rn``; the last first/login row up to here
-    (``first1``) and the last login from another ip than that (``first2``); and the number of
-    small payments up to here (``smalls``)."""
-    w = Window.partitionBy(*key).orderBy("timestamp", "seq")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    anchor = F.when(
-        (F.col("role") == "first") | ((F.col("role") == "login") & F.coalesce(F.col("ip") != "", F.lit(False))),
-        F.struct(F.col("rn").alias("rn"), F.col("timestamp").alias("t"), F.lower("ip").alias("ip")),
-    )
-    small = (F.col("role") == "small").cast("int")
-    rows = rows.withColumn("rn", F.row_number().over(w)).withColumn("smalls", F.sum(small).over(upto).cast("int"))
-    rows = rows.withColumn("first1", F.last(anchor, ignorenulls=True).over(upto))
-    before = F.lag("first1").over(w)
-    turned = F.when((F.col("first1.rn") == F.col("rn")) & (F.col("first1.ip") != before["ip"]), before)
-    return (
-        rows.withColumn("_turned", turned)
-        .withColumn("first2", F.last("_turned", ignorenulls=True).over(upto))
-        .drop("_turned")
-    )
+MATCHES = (
+    "groupKey string, ruleId string, userId string, ip string, deviceId string, matchCount int, "
+    "firstEventTimestamp long, lastEventTimestamp long, eventSeqs array<long>"
+)
+MAPS = f"groupKey string, slot long, {slots.MAP_FIELDS}"
+STATES = "groupKey string, slot long, held long, stateT long, stateQ long"
 
 
-def remote_login() -> Column:
-    """The latest login from another ip than this row's, null when the row has no ip."""
-    ip = F.lower("ip")
-    return F.when(F.coalesce(ip != "", F.lit(False)), F.when(F.col("first1.ip") != ip, F.col("first1")).otherwise(
-        F.when(F.col("first1").isNotNull(), F.col("first2"))
-    ))
+def in_time_slots(rows: DataFrame, slot_reaches: int = slots.SLOT_REACHES) -> DataFrame:
+    """Each row in its slot and, within a reach of the border, in the next one too, where it is not ``core``.
 
-
-def _islands(rows: DataFrame) -> DataFrame:
-    """One row per island: its rows as a sorted array ``a`` plus the rule columns."""
-    w = Window.partitionBy("groupKey").orderBy("timestamp", "seq")
+    For ``count`` only the first ``2 * threshold + 2`` rows of a key and millisecond are kept: a match ends with one of
+    the first ``threshold``, another ``threshold`` make one that holds the key back, and two more arrivals may pass
+    while a held key is let go. Later rows of that time change nothing, so a slot is bounded by its window.
+    """
     reach = F.col("windowSizeMs") + LATENESS_MS
-    gap_before = F.coalesce(F.col("timestamp") - F.lag("timestamp").over(w) > reach, F.lit(True))
-    gap_after = F.coalesce(F.lead("timestamp").over(w) - F.col("timestamp") > reach, F.lit(True))
-    alone = F.col("_gap") & F.col("_end") & ((F.col("detector") != "count") | (F.col("threshold") > 1))
-    rows = (
-        with_lookbacks(rows, ["groupKey"])
-        .withColumn("_gap", gap_before)
-        .withColumn("_end", gap_after)
-        .withColumn(
-            "island",
-            F.sum(F.col("_gap").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        )
-        .where(~alone)
-    )
-    anchor = F.when(F.col("detector") == "pay", remote_login()).otherwise(F.col("first1"))
-    item = F.struct(
-        F.col("timestamp").alias("t"),
-        F.col("seq").alias("q"),
-        F.col("rn").alias("rn"),
-        F.col("role").alias("role"),
-        F.col("userId").alias("u"),
-        F.col("ip").alias("ip"),
-        F.col("deviceId").alias("d"),
-        anchor["rn"].alias("arn"),
-        anchor["t"].alias("at"),
-        F.col("smalls").alias("smalls"),
-    )
-    by = ["groupKey", "ruleId", "detector", "windowSizeMs", "threshold", "island"]
-    closing = F.col("role").isin("second", "large")
-    grouped = rows.groupBy(*by).agg(
-        F.count("*").alias("size"),
-        F.count_if(closing).alias("closings"),
-        F.count_if(F.col("role") == "small").alias("smallRows"),
-        F.sort_array(F.collect_list(item)).alias("a"),
-    )
-    can_match = (
-        F.when(F.col("detector") == "count", F.col("size") >= F.col("threshold"))
-        .when(F.col("detector") == "pair", (F.col("closings") > 0) & (F.col("size") >= 2))
-        .otherwise((F.col("closings") > 0) & (F.col("smallRows") >= F.col("threshold")))
-    )
-    return grouped.where(can_match).drop("size", "closings", "smallRows", "island")
-
-
-# The expressions below are SQL text: nested lambdas read better so, and the plan is built in one
-# call each. ``transform(array(v), x -> ...)[0]`` names a value that is used more than once.
-
-# Positions of the small payments; ``x.smalls`` less the base counts those up to x in the island.
-_SMALL_AT = "filter(transform(a, (x, i) -> IF(x.role = 'small', i, NULL)), p -> p IS NOT NULL)"
-_SMALL_BASE = "a[0].smalls - IF(a[0].role = 'small', 1, 0)"
-
-# need[i]: how far back in the island row i reaches to complete a match, -1 if it completes none.
-# A chain's login must come before its small payments, so it is the one the oldest of them saw.
-_NEED = f"""
-CASE detector
-  WHEN 'count' THEN transform(a, (x, i) ->
-    IF(i >= threshold - 1 AND x.t - get(a, i - threshold + 1).t <= windowSizeMs, i - threshold + 1, -1))
-  WHEN 'pair' THEN transform(a, x ->
-    IF(x.role = 'second' AND x.t - x.at <= windowSizeMs, x.arn - a[0].rn, -1))
-  WHEN 'pay' THEN transform(array({_SMALL_AT}), small -> transform(a, x ->
-    transform(array(get(small, x.smalls - ({_SMALL_BASE}) - threshold)), o ->
-      IF(x.role = 'large' AND x.t - x.at <= windowSizeMs AND x.t - get(a, o).t <= windowSizeMs,
-         least(x.arn - a[0].rn, o), -1))[0]))[0]
-  ELSE transform(array({_SMALL_AT}), small -> transform(a, x ->
-    transform(array(get(a, get(small, x.smalls - ({_SMALL_BASE}) - threshold))), o ->
-      IF(x.role = 'large' AND x.t - o.at <= windowSizeMs, o.arn - a[0].rn, -1))[0]))[0]
-END
-"""
-
-_CANDIDATES = "filter(transform(need, (s, i) -> IF(s >= 0, i, NULL)), p -> p IS NOT NULL)"
-
-
-
-def _state(p: str, last: str, held: str, out: str) -> str:
-    """State of a fold: buffer start, end of the last match, whether it holds the key back, picks."""
-    return f"named_struct('p', {p}, 'last', {last}, 'held', {held}, 'out', {out})"
-
-
-# A held key moves on with the first arrival n past the reach of the rows holding it: its buffer
-# then starts at b, and the earliest match in it that has already arrived is taken.
-_RELEASED = f"""
-transform(array(size(filter(a, x -> x.t <= s.last + reach))), n -> IF(n >= size(a), s,
-  transform(array(size(filter(a, x -> x.t < get(a, n).t - reach))), b ->
-    transform(array(get(filter(cand, c -> get(need, c) >= b AND c <= n), 0)), e -> IF(e IS NULL,
-      {_state("b", "s.last", "false", "s.out")},
-      {_state("n + 1", "get(a, e).t", "false", "array_append(s.out, named_struct('e', e, 'p', b))")}))[0])[0]))[0]
-"""
-
-
-def _arrived(s: str) -> str:
-    """What the arrival of row i makes of a state."""
-    return f"""
-    CASE
-      WHEN NOT {s}.held AND get(need, i) >= {s}.p AND get(a, i).t > {s}.last THEN
-        {_state("i + 1", "get(a, i).t", "false", f"array_append({s}.out, named_struct('e', i, 'p', {s}.p))")}
-      WHEN NOT {s}.held AND get(need, i) >= {s}.p THEN {_state(f"{s}.p", f"{s}.last", "true", f"{s}.out")}
-      ELSE {s}
-    END"""
-
-
-_NO_PICKS = "CAST(array() AS array<struct<e:int,p:int>>)"
-
-# picks: the matches of an island as (end, start of the buffer) positions. Only candidates are
-# visited, then one position past the end, where a held key may still move on. ``aggregate`` copies
-# its state at every step, so the picks of 512 candidates are folded at a time and then joined on.
-_PICKS = f"""
-aggregate(
-  transform(sequence(0, CAST(size(cand) DIV 512 AS INT)), j ->
-    transform(sequence(j * 512, least(j * 512 + 511, size(cand))), x -> IF(x < size(cand), get(cand, x), size(a)))),
-  {_state("0", "-1L", "false", _NO_PICKS)},
-  (z, chunk) -> transform(array(aggregate(
-    chunk,
-    {_state("z.p", "z.last", "z.held", _NO_PICKS)},
-    (s, i) -> CASE
-      WHEN s.held AND (i >= size(a) OR get(a, i).t > s.last + reach) THEN
-        transform(array({_RELEASED}), r -> {_arrived("r")})[0]
-      ELSE {_arrived("s")}
-    END)), r -> {_state("r.p", "r.last", "r.held", "concat(z.out, r.out)")})[0],
-  z -> z.out)
-"""
-
-# Rows are taken by position: ``slice`` would read the whole island for every match.
-
-# Rows of a payment match: the latest login from another ip, the small payments, the large one z,
-# by time; of equal times the login stands first.
-_PAID = """
-transform(array(get(a, k.e)), z -> transform(
-  array(filter(transform(sequence(k.p, k.e - 1), i -> get(a, i)), x -> z.t - x.t <= windowSizeMs)), near -> transform(
-    array(filter(near, x -> x.role = 'login' AND x.ip <> '' AND lower(x.ip) <> lower(z.ip))), logins ->
-      array_sort(
-        concat(slice(filter(logins, x -> x.t = element_at(logins, -1).t), 1, 1),
-               filter(near, x -> x.role = 'small'), array(z)),
-        (x, y) -> CASE WHEN x.t < y.t THEN -1 WHEN x.t > y.t THEN 1
-                       WHEN x.role = 'login' THEN -1 WHEN y.role = 'login' THEN 1
-                       WHEN x.rn < y.rn THEN -1 WHEN x.rn > y.rn THEN 1 ELSE 0 END))[0])[0])[0]
-"""
-
-_MATCHED_ROWS = f"""
-CASE detector
-  WHEN 'count' THEN transform(sequence(k.e - threshold + 1, k.e), i -> get(a, i))
-  WHEN 'pair' THEN array(get(a, get(need, k.e)), get(a, k.e))
-  WHEN 'pay' THEN {_PAID}
-  ELSE filter(transform(sequence(get(need, k.e), k.e), i -> get(a, i)),
-              x -> x.role = 'small' OR x.rn - a[0].rn IN (get(need, k.e), k.e))
-END
-"""
-
-_MATCHES = f"""
-transform(picks, k -> transform(array({_MATCHED_ROWS}), m -> named_struct(
-  'userId', m[0].u, 'ip', m[0].ip, 'deviceId', m[0].d, 'matchCount', size(m),
-  'firstEventTimestamp', m[0].t, 'lastEventTimestamp', get(a, k.e).t,
-  'eventSeqs', transform(m, x -> x.q)))[0])
-"""
+    span = reach * slot_reaches
 
+    def slot_of(time):
+        return F.call_function("div", time - F.pmod(time, span), span)
 
-def fold_matches(rows: DataFrame) -> DataFrame:
-    """Matches of keys that fit one task each."""
-    # The outer explode keeps the optimizer from filtering on the size of the matches, which
-    # would fold every island twice; the arrays are dropped before rows are multiplied.
+    own, reached = slot_of(F.col("timestamp")), slot_of(F.col("timestamp") + reach)
+    same_time = Window.partitionBy("groupKey", "slot", "timestamp").orderBy("seq")
     return (
-        _islands(rows)
-        .withColumn("reach", F.col("windowSizeMs") + LATENESS_MS)
-        .withColumn("need", F.expr(_NEED))
-        .withColumn("cand", F.expr(_CANDIDATES))
-        .withColumn("picks", F.expr(_PICKS))
-        .select("groupKey", "ruleId", F.expr(_MATCHES).alias("matches"))
-        .select("groupKey", "ruleId", F.explode_outer("matches").alias("m"))
-        .where(F.col("m").isNotNull())
-        .select("groupKey", "ruleId", "m.*")
+        rows.select(*SEQUENCE_COLUMNS, F.explode(F.sequence(own, reached)).alias("slot"))
+        .withColumn("core", F.col("slot") == slot_of(F.col("timestamp")))
+        .repartition("groupKey", "slot")
+        .withColumn("_place", F.row_number().over(same_time))
+        .where((F.col("_place") <= 2 * F.col("threshold") + 2) | (F.col("detector") != "count"))
+        .drop("_place")
     )
 
 
-def select_matches(rows: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """All matches of ``rows``. ``hot_rows=None`` skips the check for oversized keys."""
-    rows = rows.select(*SEQUENCE_COLUMNS)
-    if hot_rows is None:
-        return fold_matches(rows)
-    hot = hotkeys.find_hot_keys(rows, hot_rows)
-    if hot is None:
-        return fold_matches(rows)
-    usual = rows.join(hot.hint(), "groupKey", "left_anti")
-    crowded = rows.join(hot.hint(), "groupKey", "left_semi")
-    return fold_matches(usual).unionByName(hotkeys.split_matches(crowded, hot.max_threshold))
+def _composed(batches: Iterator[pa.RecordBatch], block_slots: int) -> Iterator[pa.RecordBatch]:
+    """One map per block of slots, of those whose last slot the next block can see."""
+    key, before, run = None, None, None
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            slot, one = row["slot"], slots.Map.read(row)
+            inside = slot % block_slots
+            if row["groupKey"] != key or slot - 1 != before or inside == 0:
+                run = one if inside == 0 else one.always_fresh()
+            else:
+                run = run.then(one)
+            key, before = row["groupKey"], slot
+            if inside == block_slots - 1:
+                out.append({"groupKey": key, "slot": slot // block_slots} | run.row())
+        yield pa.RecordBatch.from_pylist(out, schema=slots.MAP_SCHEMA)
+
+
+_STATE_SCHEMA = pa.schema(
+    [("groupKey", pa.string()), ("slot", pa.int64()), ("held", pa.int64()), ("stateT", pa.int64()), ("stateQ", pa.int64())]
+)
+
+
+def _followed(batches: Iterator[pa.RecordBatch], block_slots: int) -> Iterator[pa.RecordBatch]:
+    """The state in which the slot after each one starts. Where a block begins its state may be given."""
+    key, before, state = None, None, slots.FRESH
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            if row["groupKey"] != key or row["slot"] - 1 != before:
+                state = slots.FRESH
+            if row.get("stateT") is not None and row["slot"] % block_slots == 0:
+                state = (row["held"], row["stateT"], row["stateQ"])
+            key, before, state = row["groupKey"], row["slot"], slots.Map.read(row)(state)
+            out.append((key, before + 1, *state))
+        columns = list(zip(*out)) or [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _STATE_SCHEMA)], schema=_STATE_SCHEMA)
+
+
+def slot_states(maps: DataFrame, block_slots: int = BLOCK_SLOTS) -> DataFrame:
+    """``groupKey, slot, held, stateT, stateQ``: the state a slot starts in, where the slot before it can tell."""
+    inside = F.pmod("slot", F.lit(block_slots))
+    blocked = maps.withColumn("block", F.call_function("div", F.col("slot") - inside, F.lit(block_slots)))
+    by_block = blocked.repartition("groupKey", "block")
+    composed, followed = partial(_composed, block_slots=block_slots), partial(_followed, block_slots=block_slots)
+    blocks = by_block.drop("block").sortWithinPartitions("groupKey", "slot").mapInArrow(composed, MAPS)
+    tops = blocks.repartition("groupKey").sortWithinPartitions("groupKey", "slot").mapInArrow(followed, STATES)
+    given = tops.withColumnRenamed("slot", "block")
+    placed = by_block.join(given, ["groupKey", "block"], "left").drop("block")
+    return placed.sortWithinPartitions("groupKey", "slot").mapInArrow(followed, STATES)
+
+
+def select_matches(
+    rows: DataFrame, slot_reaches: int = slots.SLOT_REACHES, block_slots: int = BLOCK_SLOTS
+) -> DataFrame:
+    """All matches of ``rows``, whatever the length of slots and blocks."""
+    slotted = in_time_slots(rows, slot_reaches)
+    order = ["groupKey", "slot", "timestamp", "seq"]
+    maps = slotted.sortWithinPartitions(*order).mapInArrow(partial(slots.slot_maps, slot_reaches=slot_reaches), MAPS)
+    started = slotted.join(slot_states(maps, block_slots), ["groupKey", "slot"], "left")
+    return started.sortWithinPartitions(*order).mapInArrow(slots.slot_matches, MATCHES)

@@ -6,7 +6,6 @@ from burstguard.operators.alerts import stamp_alerts, with_trigger_events
 from burstguard.operators.detect import detect
 from burstguard.operators.match import match_rules_asof
 from burstguard.operators.rules import active_rules, rule_history
-from burstguard.operators.sequence import HOT_ROWS
 from burstguard.sources.decode import decode_events, decode_rules, good_events
 from burstguard.streaming.arrival import detect_in_arrival_order
 from burstguard.streaming.detection import detect_stream
@@ -19,7 +18,6 @@ def alerts_from_documents(
     rules: DataFrame,
     mode: str = "event_time",
     strict_routing: bool = False,
-    hot_rows: int | None = HOT_ROWS,
     evidence: bool = False,
 ) -> DataFrame:
     """Alerts of event documents (``value``, ``seq``) under a changelog of rule documents.
@@ -33,7 +31,7 @@ def alerts_from_documents(
         return detect_in_arrival_order(match_rules_asof(decoded, rule_history(changelog), strict_routing))
     if mode != "event_time":
         raise ValueError(f"unknown mode {mode!r}; known: {', '.join(MODES)}")
-    alerts = detect(decoded, active_rules(changelog), strict_routing, hot_rows)
+    alerts = detect(decoded, active_rules(changelog), strict_routing)
     return with_trigger_events(alerts, decoded) if evidence else alerts
 
 
