@@ -2,12 +2,10 @@
 
 The order in which events arrive decides what matches, so this is sequential within a key. Keys are
 spread over the cluster; a key's memory is its live buffer (one window plus the lateness), never
-its history.
+its history, and an arrival costs what it displaces (see ``timeline``).
 """
 
-from bisect import insort
 from collections.abc import Iterator
-from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,15 +13,15 @@ from pyspark.sql import functions as F
 
 from burstguard.operators.alerts import score_matches
 from burstguard.operators.detect import with_roles
-from burstguard.schemas import BEHAVIOR_COLUMNS, LATENESS_MS
-
-_time = itemgetter("timestamp")
+from burstguard.schemas import BEHAVIOR_COLUMNS
+from burstguard.streaming.timeline import KeyBuffer
 
 EVENT_FIELDS = ["seq", "role", *BEHAVIOR_COLUMNS]
 RULE_FIELDS = ["ruleId", "ruleName", "ruleType", "windowSizeMs", "threshold", "severityWeight", "scoreThreshold",
                "detector"]
 ARRIVAL_COLUMNS = ["groupKey", *EVENT_FIELDS, *RULE_FIELDS]
 
+_TIME, _ROLE, _IP = (EVENT_FIELDS.index(f) for f in ("timestamp", "role", "ip"))
 _EVENT_DDL = (
     "userId string, actionType string, ip string, timestamp long, sessionId string, deviceId string, "
     "productId string, amount double, extra string"
@@ -36,88 +34,37 @@ ARRIVAL_MATCH_SCHEMA = (
 )
 
 
-def _counted(buffer: list, window: int, n: int):
-    for end in range(n - 1, len(buffer)):
-        start = end - n + 1
-        if buffer[end]["timestamp"] - buffer[start]["timestamp"] <= window:
-            return buffer[start : end + 1]
-    return None
-
-
-def _paired(buffer: list, window: int, n: int):
-    first = None
-    for event in buffer:
-        if event["role"] == "first":
-            first = event
-        elif first is not None and event["timestamp"] - first["timestamp"] <= window:
-            return [first, event]
-    return None
-
-
-def _paid(buffer: list, window: int, n: int):
-    for end, large in enumerate(buffer):
-        if large["role"] != "large" or not large["ip"]:
-            continue
-        near = [e for e in buffer[:end] if large["timestamp"] - e["timestamp"] <= window]
-        smalls = [e for e in near if e["role"] == "small"]
-        if len(smalls) < n:
-            continue
-        home = large["ip"].lower()
-        logins = [e for e in near if e["role"] == "login" and e["ip"] and e["ip"].lower() != home]
-        if logins:
-            return sorted([max(logins, key=_time), *smalls, large], key=_time)
-    return None
-
-
-_FIND = {"count": _counted, "pair": _paired, "pay": _paid}
-
-
-class KeyBuffer:
-    """Recent events of one key, sorted by time, and when its last match ended."""
-
-    def __init__(self, events: list | None = None, newest: int | None = None, emitted: int | None = None):
-        self.events = events or []
-        self.newest = newest
-        self.emitted = emitted
-
-    def arrive(self, event: dict, detector: str, window: int, threshold: int):
-        """Takes in an event; the matched events if it completes a new match. The parameters are
-        those of the rule version the event was matched with."""
-        insort(self.events, event, key=_time)
-        self.newest = event["timestamp"] if self.newest is None else max(self.newest, event["timestamp"])
-        oldest = max(0, self.newest - window - LATENESS_MS)
-        if self.events[0]["timestamp"] < oldest:
-            self.events = [e for e in self.events if e["timestamp"] >= oldest]
-        found = _FIND[detector](self.events, window, threshold)
-        if found is None or (self.emitted is not None and found[-1]["timestamp"] <= self.emitted):
-            return None
-        self.emitted = found[-1]["timestamp"]
-        self.events, self.newest = [], None
-        return found
-
-
-def match_record(row: dict, found: list) -> dict:
-    """A matched list of events as an output row, with the rule columns of ``row``."""
-    first = found[0]
-    record = {f: row[f] for f in RULE_FIELDS if f != "detector"}
-    return record | {
-        "groupKey": row["groupKey"],
+def arrivals(pdf: pd.DataFrame) -> Iterator[tuple[str, tuple, tuple]]:
+    """(key, event, rule) of the rows of a frame, fields in the order of the lists above, None for missing values."""
+    width = 1 + len(EVENT_FIELDS)
+    columns = [pdf[c].astype(object).where(pdf[c].notna(), None) for c in ARRIVAL_COLUMNS]
+    for row in zip(*columns):
+        yield row[0], row[1:width], row[width:]
+
+
+def take_in(buffer: KeyBuffer, key: str, event: tuple, rule: tuple) -> dict | None:
+    """The match that an event completes, as an output row."""
+    facts = dict(zip(RULE_FIELDS, rule))
+    found = buffer.arrive(
+        event[_TIME], event[_ROLE], event[_IP], event, facts["detector"], facts["windowSizeMs"], facts["threshold"]
+    )
+    if found is None:
+        return None
+    rows = [dict(zip(EVENT_FIELDS, e)) for e in found]
+    first = rows[0]
+    return {f: facts[f] for f in RULE_FIELDS if f != "detector"} | {
+        "groupKey": key,
         "userId": first["userId"],
         "ip": first["ip"],
         "deviceId": first["deviceId"],
-        "matchCount": len(found),
+        "matchCount": len(rows),
         "firstEventTimestamp": first["timestamp"],
-        "lastEventTimestamp": found[-1]["timestamp"],
-        "eventSeqs": [e["seq"] for e in found],
-        "triggerEvents": [{c: e[c] for c in BEHAVIOR_COLUMNS} for e in found],
+        "lastEventTimestamp": rows[-1]["timestamp"],
+        "eventSeqs": [r["seq"] for r in rows],
+        "triggerEvents": [{c: r[c] for c in BEHAVIOR_COLUMNS} for r in rows],
     }
 
 
-def clean_records(pdf: pd.DataFrame) -> list[dict]:
-    """Rows as dicts with None for missing values."""
-    return pdf.astype(object).where(pdf.notna(), None).to_dict("records")
-
-
 def match_frame(records: list[dict]) -> pd.DataFrame:
     columns = [part.split(" ")[0] for part in ARRIVAL_MATCH_SCHEMA.split(", triggerEvents")[0].split(", ")]
     return pd.DataFrame(records, columns=[*columns, "triggerEvents"])
@@ -135,16 +82,15 @@ def replay_matches(matched: DataFrame) -> DataFrame:
     buffer from one Arrow batch to the next.
     """
     def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, buffer = None, KeyBuffer()
+        current, buffer = None, KeyBuffer()
         for pdf in batches:
             out = []
-            for row in clean_records(pdf):
-                if row["groupKey"] != key:
-                    key, buffer = row["groupKey"], KeyBuffer()
-                event = {f: row[f] for f in EVENT_FIELDS}
-                found = buffer.arrive(event, row["detector"], row["windowSizeMs"], row["threshold"])
+            for key, event, rule in arrivals(pdf):
+                if key != current:
+                    current, buffer = key, KeyBuffer()
+                found = take_in(buffer, key, event, rule)
                 if found:
-                    out.append(match_record(row, found))
+                    out.append(found)
             yield match_frame(out)
 
     ordered = arrival_rows(matched).repartition("groupKey").sortWithinPartitions("groupKey", "seq")

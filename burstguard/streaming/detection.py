@@ -17,50 +17,72 @@ from burstguard.streaming.arrival import (
     ARRIVAL_COLUMNS,
     ARRIVAL_MATCH_SCHEMA,
     EVENT_FIELDS,
-    KeyBuffer,
     arrival_rows,
-    clean_records,
+    arrivals,
     match_frame,
-    match_record,
+    take_in,
 )
+from burstguard.streaming.timeline import KeyBuffer
 
 EVENT_STATE = (
     "seq long, role string, userId string, actionType string, ip string, timestamp long, sessionId string, "
     "deviceId string, productId string, amount double, extra string"
 )
-MARKS_STATE = "newest long, emitted long"
+MARKS_STATE = (
+    "newest long, emitted long, arrived long, cleanTime long, cleanNo long, floor long, stored long, "
+    "detector string, windowSizeMs long, threshold int"
+)
+_TIME, _ROLE, _IP = (EVENT_FIELDS.index(f) for f in ("timestamp", "role", "ip"))
 
 
 class SequenceProcessor(StatefulProcessor):
-    """Per group key: the live buffer as a list state and two times as a value state.
+    """Per group key: the live events as a list state and, as a value state, where the search for matches stands.
 
-    Rows of a key come in several pieces in no set order, so they are gathered and sorted by
-    ``seq`` first. An optional time to live lets idle keys go; it must exceed window + lateness.
+    Rows of a key come in several pieces in no set order, so those of a micro-batch are gathered and sorted by ``seq``
+    first. New events are appended to the list; it is only written anew after a match, when the rule's window has
+    changed, or when more than half of it is out of date. An optional time to live lets idle keys go; it must exceed
+    window + lateness.
     """
 
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.buffer = handle.getListState("buffer", EVENT_STATE, self.ttl_ms)
+        self.events = handle.getListState("events", f"no long, {EVENT_STATE}", self.ttl_ms)
         self.marks = handle.getValueState("marks", MARKS_STATE, self.ttl_ms)
 
+    def _loaded(self) -> tuple[KeyBuffer, int]:
+        buffer, stored = KeyBuffer(), 0
+        if self.marks.exists():
+            (buffer.newest, buffer.emitted, buffer.arrived, time, no, buffer.floor, stored, *shape) = self.marks.get()
+            buffer.clean, buffer.shape = (time, no), (shape[0], int(shape[1]), int(shape[2]))
+            kept = [tuple(row) for row in self.events.get()] if stored else []
+            live = sorted((row[1 + _TIME], row[0], row[1:]) for row in kept if row[1 + _TIME] >= buffer.floor)
+            for time, no, event in live:
+                buffer.restore((time, no), event, event[_ROLE], event[_IP].lower() if event[_IP] else None)
+        return buffer, stored
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        arrived = clean_records(pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable"))
-        newest, emitted = self.marks.get() if self.marks.exists() else (None, None)
-        held = [dict(zip(EVENT_FIELDS, e)) for e in self.buffer.get()] if self.buffer.exists() else []
-        buffer = KeyBuffer(held, newest, emitted)
+        arrived = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
+        buffer, stored = self._loaded()
+        first, shape = buffer.arrived, buffer.shape
         out = []
-        for row in arrived:
-            event = {f: row[f] for f in EVENT_FIELDS}
-            found = buffer.arrive(event, row["detector"], row["windowSizeMs"], row["threshold"])
+        for group_key, event, rule in arrivals(arrived):
+            found = take_in(buffer, group_key, event, rule)
             if found:
-                out.append(match_record(row, found))
-        if buffer.events:
-            self.buffer.put([tuple(e[f] for f in EVENT_FIELDS) for e in buffer.events])
-        else:
-            self.buffer.clear()
-        self.marks.update((buffer.newest, buffer.emitted))
+                out.append(found)
+        live = buffer.events
+        new = [(no, *event) for (_, no), (event, _, _) in live.items() if no >= first]
+        if buffer.emptied or buffer.shape != shape or stored + len(new) > 2 * len(live) + 64:
+            stored = len(live)
+            if live:
+                self.events.put([(no, *event) for (_, no), (event, _, _) in live.items()])
+            else:
+                self.events.clear()
+        elif new:
+            self.events.appendList(new)
+            stored += len(new)
+        self.marks.update((buffer.newest, buffer.emitted, buffer.arrived, *buffer.clean, buffer.floor, stored, *buffer.shape))
         yield match_frame(out)
 
     def close(self) -> None:
