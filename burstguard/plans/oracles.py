@@ -305,6 +305,52 @@ SELECT gk AS "groupKey", ruleId, ruleType, 'MEDIUM' AS level, userId, ip, device
   t0 AS "firstEventTimestamp", t1 AS "lastEventTimestamp" FROM got"""
 
 
+def arrival_machine(rows: str) -> str:
+    """All detectors in order of arrival, one event of a key after the other: ``rows`` has gk, ruleId, ruleType, kind, w, n,
+    weight, arrival, part and the event's columns. As ``count_machine``, with the first match by its end: ``pos`` is that
+    end in the sorted buffer ``b``, ``hits`` the positions of its rows."""
+    near = "b[i].t - b[j].t <= w"
+    smalls = f"list_filter(range(1, i), lambda j: b[j].part = 'small' AND {near})"
+    logins = f"list_filter(range(1, i), lambda j: b[j].part = 'login' AND b[j].ip <> b[i].ip AND {near})"
+    first = "list_max(list_filter(range(1, i), lambda j: b[j].part = 'first'))"
+    ends = f"""CASE kind
+      WHEN 'count' THEN i >= n AND b[i].t - b[i - n + 1].t <= w
+      WHEN 'pair' THEN b[i].part = 'second' AND coalesce(b[i].t - b[{first}].t <= w, false)
+      ELSE b[i].part = 'large' AND len({smalls}) >= n AND len({logins}) > 0 END"""
+    pay = [x.replace("(1, i)", "(1, pos)").replace("b[i]", "b[pos]") for x in (smalls, logins, first)]
+    login = f"list_min(list_transform({pay[1]}, lambda j: {{'t': -b[j].t, 'j': j}})).j"
+    hits = f"""CASE kind WHEN 'count' THEN range(pos - n + 1, pos + 1) WHEN 'pair' THEN [{pay[2]}, pos]
+      ELSE list_concat([{login}], list_concat({pay[0]}, [pos])) END"""
+    event = "STRUCT(t BIGINT, a BIGINT, part VARCHAR, ip VARCHAR)[]"
+    return f"""
+ord AS (SELECT *, row_number() OVER (PARTITION BY gk ORDER BY arrival) AS rn FROM ({rows})),
+run(gk, rn, buf, emitted, hit, whole) AS (
+  SELECT DISTINCT gk, 0::BIGINT, []::{event}, -1::BIGINT, NULL::BIGINT[], []::{event} FROM ord
+  UNION ALL
+  SELECT gk, rn, CASE WHEN found THEN [] ELSE b END, CASE WHEN found THEN b[pos].t ELSE emitted END,
+    CASE WHEN found THEN {hits} END, b
+  FROM (
+    SELECT *, pos IS NOT NULL AND b[pos].t > emitted AS found FROM (
+      SELECT *, list_min(list_filter(range(1, len(b) + 1), lambda i: {ends})) AS pos FROM (
+        SELECT gk, rn, emitted, n, w, kind, list_filter(grown, lambda x: x.t >= list_max(list_transform(grown, lambda y: y.t)) - w - 5000) AS b
+        FROM (
+          SELECT o.gk, o.rn, r.emitted, o.n, o.w, o.kind,
+            list_sort(list_append(r.buf, {{'t': o.t, 'a': o.arrival, 'part': o.part, 'ip': o.ip}})) AS grown
+          FROM run r JOIN ord o ON o.gk = r.gk AND o.rn = r.rn + 1))))
+),
+taken AS (
+  SELECT gk, rn, len(hit) AS cnt, whole[list_max(hit)].t AS t1,
+    list_min(list_transform(hit, lambda j: {{'t': whole[j].t, 'late': whole[j].part <> 'login', 'a': whole[j].a}})) AS f
+  FROM run WHERE hit IS NOT NULL
+)
+SELECT k.gk AS "groupKey", o.ruleId, o.ruleType,
+  CASE WHEN cnt >= 3 * o.n THEN 'CRITICAL' WHEN cnt >= 2 * o.n THEN 'HIGH' WHEN cnt >= o.n THEN 'MEDIUM' ELSE 'LOW' END AS level,
+  f.userId, f.ip, f.deviceId, cnt::INTEGER AS "matchCount",
+  round(o.weight * (1.0::DOUBLE + cnt / o.n::DOUBLE + least(1.5::DOUBLE, cnt / greatest(1.0::DOUBLE, o.w / 1000.0::DOUBLE) / 10.0::DOUBLE)), 6) AS "riskScore",
+  f.t AS "firstEventTimestamp", t1 AS "lastEventTimestamp"
+FROM taken k JOIN ord o USING (gk, rn) JOIN ord f ON f.gk = k.gk AND f.arrival = k.f.a"""
+
+
 def pattern(name_key: str, where: str, cand: str, count: str, first: str) -> str:
     """A pattern as rows ``m``, candidates ``cand`` and greedy picks."""
     return f"""WITH RECURSIVE {EV},
@@ -549,10 +595,20 @@ ORACLES = {
         'HIGH_FREQ_ACCESS' AS ruleType, 3600000::BIGINT AS w, threshold::BIGINT AS n, 1.0::DOUBLE AS weight, ev.seq AS arrival,
         userId, ip, deviceId, t
       FROM ev JOIN hist ON act = actionType AND ev.seq >= hist.seq AND (til IS NULL OR ev.seq < til)""")}""",
-    "arrival_disorder": f"""WITH RECURSIVE {EV}, {rule_table()}, {matched_rows()}, {count_machine("""
+    "arrival_disorder": f"""WITH RECURSIVE {EV}, {rule_table()}, {matched_rows()}, {arrival_machine("""
       SELECT gk, m.ruleId, ruleType, w, n::BIGINT AS n, weight, userId, ip, deviceId, t,
+        CASE m.ruleId WHEN 'fx-login' THEN 'pair' WHEN 'fx-pay' THEN 'pay' ELSE 'count' END AS kind,
+        CASE WHEN m.ruleId = 'fx-login' AND actionType = 'LOGIN' THEN 'first' WHEN m.ruleId = 'fx-login' THEN 'second'
+          ELSE role END AS part,
         (seq + CASE WHEN seq % 11 = 0 THEN 900 WHEN seq % 5 = 0 THEN 20 ELSE 0 END) * 10000000 + seq AS arrival
-      FROM m JOIN rule USING (ruleId) WHERE m.ruleId IN ('fx-stuffing', 'fx-order', 'fx-view')""")}""",
+      FROM m JOIN rule USING (ruleId)""")}""",
+    "tied_alerts": f"""WITH RECURSIVE {EV.replace("epoch_us(ts) // 1000", "epoch_us(ts) // 43200000000 * 43200000")}, {rule_table()}, {matched_rows()},
+    {arrival_machine("""
+      SELECT gk, m.ruleId, ruleType, w, n::BIGINT AS n, weight, userId, ip, deviceId, t,
+        CASE m.ruleId WHEN 'fx-login' THEN 'pair' WHEN 'fx-pay' THEN 'pay' ELSE 'count' END AS kind,
+        CASE WHEN m.ruleId = 'fx-login' AND actionType = 'LOGIN' THEN 'first' WHEN m.ruleId = 'fx-login' THEN 'second'
+          ELSE role END AS part, row_number() OVER (ORDER BY t, seq) AS arrival
+      FROM m JOIN rule USING (ruleId)""")}""",
     "jsonl_roundtrip": f"""WITH {EV} SELECT actionType, deviceId, count(*) AS cnt, sum(t)::BIGINT AS times,
       round(sum(amount), 2) AS amount FROM ev GROUP BY ALL""",
     "csv_roundtrip": f"""WITH {CSV} SELECT CASE k % 3 WHEN 0 THEN 'REMOVE_CART' WHEN 1 THEN 'PURCHASE' ELSE 'VIEW' END AS actionType,

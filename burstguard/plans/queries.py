@@ -214,12 +214,19 @@ def asof_alerts(spark, sf):
 
 
 def arrival_disorder(spark, sf):
-    """Count rules over events of which some arrive late, within their windows and long past them."""
+    """All detectors over events of which some arrive late, within their windows and long past them."""
     n = F.col("seq")
     late = n + F.when(n % 11 == 0, 900).when(n % 5 == 0, 20).otherwise(0)
     events = _events(spark, sf).withColumn("seq", late * 10_000_000 + n)
-    rules = fx.fixture_rules(spark).where(F.col("ruleId").isin("fx-stuffing", "fx-order", "fx-view"))
-    return _alert_rows(detect_in_arrival_order(match_rules(events, rules)))
+    return _alert_rows(detect_in_arrival_order(match_rules(events, fx.fixture_rules(spark))))
+
+
+def tied_alerts(spark, sf):
+    """All detectors over events whose times are rounded to twelve hours, so that many of a key are equal and matches
+    that end at the time of the one before hold their key back."""
+    half_day = 12 * fx.HOUR
+    events = _events(spark, sf).withColumn("timestamp", F.floor(F.col("timestamp") / half_day) * half_day)
+    return _alert_rows(detect(events, fx.fixture_rules(spark)))
 
 
 def topic_alerts(spark, sf):
@@ -601,6 +608,7 @@ QUERIES = {
     "arrival_alerts": arrival_alerts,
     "asof_alerts": asof_alerts,
     "arrival_disorder": arrival_disorder,
+    "tied_alerts": tied_alerts,
     "topic_alerts": topic_alerts,
     "alert_messages": alert_messages,
     "alert_levels": alert_levels,
