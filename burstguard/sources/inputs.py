@@ -6,13 +6,27 @@ from pyspark.sql import functions as F
 from burstguard.functions.text import integer_or_null
 from burstguard.schemas import BEHAVIOR_COLUMNS
 from burstguard.sources.decode import parse_once
+from burstguard.sources.segments import TopicSegments
 
 DISCOVERY_MS = 30_000
 
 
-def _topic(reader, servers: str, topic: str, starting: str, group: str | None) -> DataFrame:
-    reader = reader.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-    reader = reader.option("startingOffsets", starting).option("kafka.metadata.max.age.ms", str(DISCOVERY_MS))
+#: Servers of this form name a folder of exported topic segments instead of a broker.
+SEGMENTS = "segments:"
+
+
+def topic_format(spark: SparkSession, side, servers: str, topic: str):
+    """A reader or writer of a topic: on a broker, or in the folder after ``segments:``."""
+    if servers.startswith(SEGMENTS):
+        spark.dataSource.register(TopicSegments)
+        return side.format(TopicSegments.name()).option("path", servers.removeprefix(SEGMENTS)).option("topic", topic)
+    return side.format("kafka").option("kafka.bootstrap.servers", servers)
+
+
+def _topic(spark: SparkSession, stream: bool, servers: str, topic: str, starting: str, group: str | None) -> DataFrame:
+    reader = topic_format(spark, spark.readStream if stream else spark.read, servers, topic)
+    reader = reader.option("subscribe", topic).option("startingOffsets", starting)
+    reader = reader.option("kafka.metadata.max.age.ms", str(DISCOVERY_MS))
     if group:
         reader = reader.option("groupIdPrefix", group)
     rows = reader.load()
@@ -24,6 +38,26 @@ def _topic(reader, servers: str, topic: str, starting: str, group: str | None) -
 
 ORDER_BITS = 22
 RULES_FIRST, EVENTS_AFTER = 0, 1 << 20
+# Offsets of a range whose largest time is taken first.
+RANGE_OFFSETS = 65_536
+
+
+def _clock(rows: DataFrame) -> DataFrame:
+    """Adds ``_clock``: the largest record time of a partition up to each offset. Ranges of offsets give their largest
+    time first; a window then only sees one range, another only one row per range."""
+    span = F.lit(RANGE_OFFSETS)
+    ranged = rows.withColumn("_range", F.call_function("div", F.col("offset"), span))
+    before = Window.partitionBy("partition").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    tops = (
+        ranged.groupBy("partition", "_range").agg(F.max("recordMs").alias("_top"))
+        .withColumn("_reached", F.max("_top").over(before)).drop("_top")
+    )
+    inside = Window.partitionBy("partition", "_range").orderBy("offset").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return ranged.join(tops, ["partition", "_range"]).withColumn(
+        "_clock", F.greatest("_reached", F.max("recordMs").over(inside))
+    ).drop("_range", "_reached")
 
 
 def arrival_order(rows: DataFrame, lane: int = EVENTS_AFTER) -> DataFrame:
@@ -34,33 +68,44 @@ def arrival_order(rows: DataFrame, lane: int = EVENTS_AFTER) -> DataFrame:
     clock; in one millisecond records of lane ``RULES_FIRST`` come before those of ``EVENTS_AFTER``. A million records
     fit in a lane and millisecond.
     """
-    before = Window.partitionBy("partition").orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     same = Window.partitionBy("_clock").orderBy("partition", "offset")
-    timed = rows.withColumn("_clock", F.max("recordMs").over(before))
     seq = F.shiftleft("_clock", ORDER_BITS) + lane + F.row_number().over(same) - 1
-    return timed.withColumn("seq", seq).drop("_clock", "recordMs", "partition", "offset")
+    return _clock(rows).withColumn("seq", seq).drop("_clock", "recordMs", "partition", "offset")
 
 
-def stream_order(rows: DataFrame, lane: int = EVENTS_AFTER) -> DataFrame:
-    """As ``arrival_order`` for a stream, where no record sees another: ``seq`` of time, partition and offset. Right
-    where the broker stamps records, so that times rise with offsets; the last 16 bits of the offset order a
-    millisecond."""
-    low = F.pmod("partition", F.lit(16)) * 65536 + F.pmod("offset", F.lit(65536))
-    seq = F.shiftleft("recordMs", ORDER_BITS) + lane + low
-    return rows.withColumn("seq", seq.cast("bigint")).drop("recordMs", "partition", "offset")
+# Bits of the offset in a record's number; the partition stands above them.
+OFFSET_BITS = 43
 
 
-def behavior_topic(spark: SparkSession, servers: str, topic: str, group: str | None = None) -> DataFrame:
-    """Events as they come, from the latest offset on. Needs the Kafka connector on the class path."""
-    return stream_order(_topic(spark.readStream, servers, topic, "latest", group))
+def stream_order(rows: DataFrame) -> DataFrame:
+    """The order of arrival for a stream, where no record sees another: ``arrivedAt``, the record time, and ``seq``, a
+    number of its own for every record of a topic (up to a million partitions of 8 * 10^12 records). Compared together
+    they order by time, partition and offset; right where the broker stamps records, so that times rise with offsets."""
+    number = F.shiftleft(F.col("partition").cast("bigint"), OFFSET_BITS).bitwiseOR(F.col("offset"))
+    return rows.withColumns({"arrivedAt": F.col("recordMs"), "seq": number}).drop("recordMs", "partition", "offset")
+
+
+def behavior_topic(
+    spark: SparkSession, servers: str, topic: str, group: str | None = None, stream: bool = True, starting: str = "latest"
+) -> DataFrame:
+    """Events as they come, from the latest offset on, or as a batch all that are there.
+
+    ``servers`` are those of a broker (needs Spark's connector on the class path) or ``segments:`` and a folder.
+    """
+    if not stream:
+        return arrival_order(_topic(spark, False, servers, topic, "earliest", group))
+    return stream_order(_topic(spark, True, servers, topic, starting, group))
 
 
 def rule_topic(spark: SparkSession, servers: str, topic: str, group: str | None = None, stream: bool = False):
     """Rule documents from the earliest offset on."""
-    name = f"{group}-rules" if group else None
-    if stream:
-        return stream_order(_topic(spark.readStream, servers, topic, "earliest", name), RULES_FIRST)
-    return arrival_order(_topic(spark.read, servers, topic, "earliest", name), RULES_FIRST)
+    rows = _topic(spark, stream, servers, topic, "earliest", f"{group}-rules" if group else None)
+    return stream_order(rows) if stream else arrival_order(rows, RULES_FIRST)
+
+
+def alert_topic(spark: SparkSession, servers: str, topic: str, group: str | None = None, stream: bool = False) -> DataFrame:
+    """Alert texts as the alert table takes them: ``key, value`` and the record time."""
+    return _topic(spark, stream, servers, topic, "earliest", group).select("key", "value", "recordMs")
 
 
 def text_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:

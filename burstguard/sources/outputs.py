@@ -7,6 +7,7 @@ from burstguard.operators.alerts import alert_documents, parse_alerts
 from burstguard.operators.features import TTL_MS, feature_snapshot, feature_updates, merge_features
 from burstguard.operators.rules import is_enabled_rule, is_valid_rule
 from burstguard.schemas import BEHAVIOR_COLUMNS, RULE_COLUMNS
+from burstguard.sources.inputs import topic_format
 
 
 def event_documents(events: DataFrame) -> DataFrame:
@@ -48,19 +49,21 @@ def write_rule_array(rules: DataFrame, path: str, mode: str = "errorifexists") -
     ).text(path)
 
 
-def write_topic(documents: DataFrame, servers: str, topic: str) -> None:
-    documents.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+def write_topic(documents: DataFrame, servers: str, topic: str, partitions: int | None = None) -> None:
+    """Documents (``key, value``, perhaps ``partition`` and ``timestamp``) to a topic; see ``inputs.topic_format``.
+    ``partitions`` is their number where the topic is a folder of segments."""
+    writer = topic_format(documents.sparkSession, documents.write, servers, topic).option("topic", topic)
+    if partitions:
+        writer = writer.option("partitions", partitions)
+    writer.mode("append").save()
 
 
 def alert_topic_stream(alerts: DataFrame, servers: str, topic: str, checkpoint: str):
-    """Alerts to a topic, at least once; a repeated alert carries the same ``alertId``."""
-    return (
-        alert_documents(alerts)
-        .writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-    )
+    """Alerts to a topic, at least once; a repeated alert carries the same ``alertId``. In a folder of segments a batch
+    that is run again is recognised by the checkpoint and written once."""
+    documents = alert_documents(alerts)
+    writer = topic_format(alerts.sparkSession, documents.writeStream, servers, topic)
+    return writer.option("topic", topic).option("writer", checkpoint).option("checkpointLocation", checkpoint)
 
 
 def alert_file_stream(alerts: DataFrame, path: str, checkpoint: str):

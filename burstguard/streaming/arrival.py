@@ -20,6 +20,8 @@ EVENT_FIELDS = ["seq", "role", *BEHAVIOR_COLUMNS]
 RULE_FIELDS = ["ruleId", "ruleName", "ruleType", "windowSizeMs", "threshold", "severityWeight", "scoreThreshold",
                "detector"]
 ARRIVAL_COLUMNS = ["groupKey", *EVENT_FIELDS, *RULE_FIELDS]
+# What rows are ordered by: the time of arrival, where a stream has one, then the number of the record.
+ARRIVAL_ORDER = ["arrivedAt", "seq"]
 
 _TIME, _ROLE, _IP = (EVENT_FIELDS.index(f) for f in ("timestamp", "role", "ip"))
 _EVENT_DDL = (
@@ -72,11 +74,13 @@ def match_frame(records: list[dict]) -> pd.DataFrame:
 
 def arrival_rows(matched: DataFrame) -> DataFrame:
     """Matched pairs reduced to what detection in arrival order needs."""
-    return with_roles(matched).select(*ARRIVAL_COLUMNS)
+    if "arrivedAt" not in matched.columns:
+        matched = matched.withColumn("arrivedAt", F.lit(0).cast("bigint"))
+    return with_roles(matched).select("arrivedAt", *ARRIVAL_COLUMNS)
 
 
 def replay_matches(matched: DataFrame) -> DataFrame:
-    """Matches of a batch of matched pairs in order of ``seq``, the rule columns taken per event.
+    """Matches of a batch of matched pairs in order of arrival, the rule columns taken per event.
 
     One shuffle on the key and a sort; the rows are then streamed, carrying the current key's
     buffer from one Arrow batch to the next.
@@ -93,7 +97,7 @@ def replay_matches(matched: DataFrame) -> DataFrame:
                     out.append(found)
             yield match_frame(out)
 
-    ordered = arrival_rows(matched).repartition("groupKey").sortWithinPartitions("groupKey", "seq")
+    ordered = arrival_rows(matched).repartition("groupKey").sortWithinPartitions("groupKey", *ARRIVAL_ORDER)
     return ordered.mapInPandas(replay, ARRIVAL_MATCH_SCHEMA)
 
 

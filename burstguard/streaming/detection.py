@@ -16,6 +16,7 @@ from burstguard.sources.outputs import _exists, stream_id
 from burstguard.streaming.arrival import (
     ARRIVAL_COLUMNS,
     ARRIVAL_MATCH_SCHEMA,
+    ARRIVAL_ORDER,
     EVENT_FIELDS,
     arrival_rows,
     arrivals,
@@ -38,8 +39,8 @@ _TIME, _ROLE, _IP = (EVENT_FIELDS.index(f) for f in ("timestamp", "role", "ip"))
 class SequenceProcessor(StatefulProcessor):
     """Per group key: the live events as a list state and, as a value state, where the search for matches stands.
 
-    Rows of a key come in several pieces in no set order, so those of a micro-batch are gathered and sorted by ``seq``
-    first. New events are appended to the list; it is only written anew after a match, when the rule's window has
+    Rows of a key come in several pieces in no set order, so those of a micro-batch are gathered and put in order of
+    arrival first. New events are appended to the list; it is only written anew after a match, when the rule's window has
     changed, or when more than half of it is out of date. An optional time to live lets idle keys go; it must exceed
     window + lateness.
     """
@@ -63,7 +64,7 @@ class SequenceProcessor(StatefulProcessor):
         return buffer, stored
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
+        arrived = pd.concat(list(rows), ignore_index=True).sort_values(ARRIVAL_ORDER, kind="stable")
         buffer, stored = self._loaded()
         first, shape = buffer.arrived, buffer.shape
         out = []
@@ -144,11 +145,11 @@ def match_with_reload(
 
 
 STAGED_SCHEMA = (
-    "groupKey string, " + EVENT_STATE + ", ruleId string, ruleName string, ruleType string, windowSizeMs long, "
+    "arrivedAt long, groupKey string, " + EVENT_STATE + ", ruleId string, ruleName string, ruleType string, windowSizeMs long, "
     "threshold int, severityWeight double, scoreThreshold double, detector string"
 )
 
 
 def staged_rows(spark: SparkSession, staging: str) -> DataFrame:
     """The staged matches as a stream, for ``stream_matches``."""
-    return spark.readStream.schema(STAGED_SCHEMA).parquet(f"{staging}/stream=*/batch=*").select(*ARRIVAL_COLUMNS)
+    return spark.readStream.schema(STAGED_SCHEMA).parquet(f"{staging}/stream=*/batch=*").select("arrivedAt", *ARRIVAL_COLUMNS)
