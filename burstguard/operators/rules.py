@@ -68,7 +68,7 @@ def is_enabled_rule() -> Column:
     return F.coalesce(F.col("status") == "ENABLED", F.lit(False))
 
 
-def _is_disabled() -> Column:
+def is_disabled_rule() -> Column:
     return F.coalesce(F.col("status") == "DISABLED", F.lit(False))
 
 
@@ -81,9 +81,9 @@ def rule_snapshot(changelog: DataFrame, seq: str = "seq") -> DataFrame:
     id with very many changes costs no single task more than its share.
     """
     log = changelog.where(_filled("ruleId"))
-    removed = log.where(_is_disabled()).groupBy("ruleId").agg(F.max(seq).alias("removedAt"))
+    removed = log.where(is_disabled_rule()).groupBy("ruleId").agg(F.max(seq).alias("removedAt"))
     put = (
-        log.where(~_is_disabled() & is_valid_rule())
+        log.where(~is_disabled_rule() & is_valid_rule())
         .join(removed, "ruleId", "left")
         .where(F.col("removedAt").isNull() | (F.col(seq) > F.col("removedAt")))
     )
@@ -102,8 +102,8 @@ def rule_history(changelog: DataFrame, seq: str = "seq") -> DataFrame:
     """Every accepted change with the half-open interval ``[validFrom, validTo)`` it held."""
     by_rule = Window.partitionBy("ruleId").orderBy(seq)
     log = (
-        changelog.where(_filled("ruleId") & (_is_disabled() | is_valid_rule()))
-        .withColumn("_off", _is_disabled())
+        changelog.where(_filled("ruleId") & (is_disabled_rule() | is_valid_rule()))
+        .withColumn("_off", is_disabled_rule())
         .withColumn("_epoch", F.sum(F.col("_off").cast("int")).over(by_rule))
     )
     in_epoch = Window.partitionBy("ruleId", "_epoch").orderBy(seq)
@@ -146,10 +146,9 @@ def _choose(column: Column, values: dict, otherwise=None) -> Column:
     return chosen
 
 
-def rule_actions(rules: DataFrame, strict_routing: bool = False) -> DataFrame:
-    """One row per rule and watched action (upper case), with the detector of the rule and the
-    part the action plays in it: deciding that here, on the small table, keeps it out of the
-    per-event work. ``part`` is null for actions a rule watches but its detector ignores.
+def watched_actions(strict_routing: bool = False) -> Column:
+    """The actions a rule watches, upper case, each with the part it plays in the rule's detector: an array of
+    ``watchedAction, part``. ``part`` is null for actions a rule watches but its detector ignores.
 
     Payment rules need logins to ever fire, so logins are routed to them too;
     ``strict_routing`` leaves them out and payment rules then stay silent.
@@ -159,21 +158,34 @@ def rule_actions(rules: DataFrame, strict_routing: bool = False) -> DataFrame:
         if rule_type == "PAYMENT_FRAUD" and not strict_routing:
             actions = actions + LOGIN_SUCCESS
         watched = F.when(F.col("ruleType") == rule_type, F.array(*[F.lit(a) for a in actions])).otherwise(watched)
-    action, detector = F.col("watchedAction"), F.col("detector")
-    part = _choose(
-        detector,
-        {
-            "count": F.when((F.col("ruleType") != "CREDENTIAL_STUFFING") | action.isin(LOGIN_FAIL), "hit"),
-            "pair": F.when(action.isin(LOGIN_SUCCESS), "first").otherwise("second"),
-            "pay": F.when(action.isin(LOGIN_SUCCESS), "login")
-            .when(action.isin(PAYMENT_FRAUD), "large")
-            .otherwise("payment"),
-        },
-    )
+
+    def part(action: Column) -> Column:
+        return _choose(
+            detector_of(F.col("ruleType")),
+            {
+                "count": F.when((F.col("ruleType") != "CREDENTIAL_STUFFING") | action.isin(LOGIN_FAIL), "hit"),
+                "pair": F.when(action.isin(LOGIN_SUCCESS), "first").otherwise("second"),
+                "pay": F.when(action.isin(LOGIN_SUCCESS), "login")
+                .when(action.isin(PAYMENT_FRAUD), "large")
+                .otherwise("payment"),
+            },
+        )
+
+    return F.transform(watched, lambda a: F.struct(a.alias("watchedAction"), part(a).alias("part")))
+
+
+def detector_of(rule_type: Column) -> Column:
+    return _choose(rule_type, DETECTORS)
+
+
+def rule_actions(rules: DataFrame, strict_routing: bool = False) -> DataFrame:
+    """One row per rule and watched action, with the detector of the rule and the part the action plays in it: deciding
+    that here, on the small table, keeps it out of the per-event work."""
     return (
-        rules.withColumn("watchedAction", F.explode(watched))
-        .withColumn("detector", _choose(F.col("ruleType"), DETECTORS))
-        .withColumn("part", part)
+        rules.withColumn("_watched", F.explode(watched_actions(strict_routing)))
+        .withColumn("detector", detector_of(F.col("ruleType")))
+        .select("*", "_watched.*")
+        .drop("_watched")
     )
 
 
