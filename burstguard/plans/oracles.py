@@ -617,3 +617,17 @@ ORACLES = {
     "rollup_from_documents": f"""{STAMPED} SELECT (lastEventTimestamp + lag) // 60000 * 60 AS bucket, ruleType, count(*) AS cnt,
       round(avg(score), 6) AS avgRiskScore FROM st GROUP BY 1, 2""",
 }
+
+# Alerts as their documents hold them: absent text is '', numbers are long.
+_DOCUMENT = """"ruleId", "ruleType", level, "userId", ip, coalesce("deviceId", '') AS "deviceId", "matchCount"::BIGINT AS "matchCount",
+  "riskScore", "firstEventTimestamp" AS "firstEventTimestampMs", "lastEventTimestamp" AS "lastEventTimestampMs\""""
+
+ORACLES |= {
+    "topic_roundtrip": f"SELECT {_DOCUMENT} FROM ({ORACLES['topic_alerts']})",
+    "topic_stream_alerts": f"SELECT {_DOCUMENT} FROM ({ORACLES['topic_alerts']})",
+    "live_rule_alerts": f"SELECT {_DOCUMENT} FROM ({ORACLES['asof_alerts']})",
+    "stream_rollup": ORACLES["rollup_from_documents"],
+    "feature_state_by_user": ORACLES["feature_by_user"],
+    "feature_state_by_ip": ORACLES["feature_by_ip"],
+    "stream_alert_table": ORACLES["alert_table"],
+}

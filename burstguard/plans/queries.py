@@ -17,6 +17,7 @@ from burstguard.operators.alerts import (
     alert_documents,
     alert_evidence,
     alert_writes,
+    parse_alerts,
     stamp_alerts,
     with_alert_time,
     with_trigger_events,
@@ -36,20 +37,33 @@ from burstguard.operators.rules import (
 )
 from burstguard.plans import fixtures as fx
 from burstguard.plans.pipeline import alerts_from_documents
-from burstguard.schemas import GROUP_KEY_TYPES
+from burstguard.schemas import BEHAVIOR_COLUMNS, GROUP_KEY_TYPES
 from burstguard.session import shared_dir
 from burstguard.sources.csvfiles import import_counts, import_rows, map_csv, read_csv
 from burstguard.sources.decode import decode_events, decode_rules, good_events, is_valid_event, rejects
-from burstguard.sources.inputs import arrival_order, baseline_events, json_documents
+from burstguard.sources.inputs import alert_topic, arrival_order, baseline_events, behavior_topic, json_documents
 from burstguard.sources.outputs import (
     alert_table_rows,
+    alert_topic_stream,
     event_documents,
     keyed_documents,
     rule_documents,
     write_csv,
     write_lines,
+    write_topic,
 )
 from burstguard.streaming.arrival import detect_in_arrival_order
+from burstguard.streaming.detection import detect_stream
+from burstguard.streaming.rulebook import detect_live
+from burstguard.streaming.tables import (
+    alert_table_stream,
+    feature_state_stream,
+    read_alert_table,
+    read_feature_state,
+    read_rollup_table,
+    rollup_table_stream,
+    run_now,
+)
 
 HOUR = fx.HOUR
 ALERT_COLUMNS = ["groupKey", "ruleId", "ruleType", "level", "userId", "ip", "deviceId", "matchCount",
@@ -581,6 +595,96 @@ def rollup_from_documents(spark, sf):
     )
 
 
+def _written_stream(spark, rows, name):
+    """Rows as a stream of files; a session may read back only what it has written whole."""
+    path = _folder(spark, name)
+    rows.write.parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+def _behavior_topic(spark, sf):
+    """Events as records of a topic of exported segments: four partitions by user, in order of time."""
+    events = _events(spark, sf)
+    timed = events.select(
+        F.col("userId").alias("key"), F.to_json(F.struct(*BEHAVIOR_COLUMNS)).alias("value"),
+        F.timestamp_millis("timestamp").alias("timestamp"), F.pmod(F.xxhash64("userId"), F.lit(4)).cast("int").alias("partition"),
+        "seq",
+    )
+    place = f"segments:{_folder(spark, 'topics')}"
+    ordered = timed.repartition(4, "partition").sortWithinPartitions("partition", "timestamp", "seq")
+    write_topic(ordered.drop("seq"), place, "behavior")
+    return place
+
+
+def _parsed_topic(spark, place):
+    return parse_alerts(alert_topic(spark, place, "alerts")).select(
+        "ruleId", "ruleType", "level", "userId", "ip", "deviceId", "matchCount", F.round("riskScore", 6).alias("riskScore"),
+        "firstEventTimestampMs", "lastEventTimestampMs",
+    )
+
+
+def topic_roundtrip(spark, sf):
+    """Events out of a topic, detected in order of arrival, alerts into another topic and out of it again."""
+    place = _behavior_topic(spark, sf)
+    events = good_events(decode_events(behavior_topic(spark, place, "behavior", stream=False).drop("key")))
+    alerts = detect_in_arrival_order(match_rules(events, fx.fixture_rules(spark)))
+    write_topic(alert_documents(alerts), place, "alerts")
+    return _parsed_topic(spark, place)
+
+
+def topic_stream_alerts(spark, sf):
+    """The same as a stream from topic to topic."""
+    place = _behavior_topic(spark, sf)
+    events = good_events(decode_events(behavior_topic(spark, place, "behavior", starting="earliest").drop("key")))
+    alerts = detect_stream(events, fx.fixture_rules(spark))
+    run_now(alert_topic_stream(alerts, place, "alerts", _folder(spark, "checkpoint")))
+    return _parsed_topic(spark, place)
+
+
+def live_rule_alerts(spark, sf):
+    """Rules that change, are switched off and on again while the events stream, in one streaming query."""
+    clock = F.col("seq").alias("arrivedAt")
+    events = _written_stream(spark, _events(spark, sf).select("*", clock), "events")
+    changes = _written_stream(spark, fx.rule_log_view(spark, sf).select("*", clock), "rules")
+    place = f"segments:{_folder(spark, 'topics')}"
+    run_now(alert_topic_stream(detect_live(events, changes), place, "alerts", _folder(spark, "checkpoint")))
+    return _parsed_topic(spark, place)
+
+
+def stream_rollup(spark, sf):
+    """Alert texts through a watermarked stream into minute buckets."""
+    texts = _written_stream(spark, alert_documents(_stamped(spark, sf)).select("value"), "alerts")
+    table = _folder(spark, "rollups")
+    run_now(rollup_table_stream(alert_table_rows(texts), table, _folder(spark, "checkpoint"), "1 hour"))
+    return ru.average_score(read_rollup_table(spark, table)).select(
+        F.unix_seconds("bucket").alias("bucket"), "ruleType", "cnt", F.round("avgRiskScore", 6).alias("avgRiskScore")
+    )
+
+
+def feature_state_by(scope):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        checkpoint = _folder(spark, "checkpoint")
+        rows = _written_stream(spark, _feature_rows(spark, sf), "writes")
+        updates = feature_state_stream(rows, scope, FEATURE_TTL, expiring=False)
+        run_now(updates.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint))
+        return read_feature_state(spark, checkpoint)
+
+    return query
+
+
+def stream_alert_table(spark, sf):
+    """Alert texts, some delivered twice, as a stream into the alert table."""
+    docs = alert_documents(_stamped(spark, sf)).select("value")
+    again = docs.where(F.pmod(F.xxhash64("value"), F.lit(3)) == 0)
+    table = _folder(spark, "alert-table")
+    run_now(alert_table_stream(_written_stream(spark, docs.unionByName(again), "alerts"), table, _folder(spark, "checkpoint")))
+    return read_alert_table(spark, table).select(
+        "ruleId", "ruleType", "level", "userId", "ip", "deviceId", "extra", "matchCount",
+        F.round("riskScore", 6).alias("riskScore"), "alertTimestampMs", "lastEventTimestampMs",
+        F.unix_seconds("alertTime").alias("alertSecond"), "month",
+    )
+
+
 QUERIES = {
     "behavior_normalized": behavior_normalized,
     "behavior_rejects": behavior_rejects,
@@ -610,6 +714,13 @@ QUERIES = {
     "arrival_disorder": arrival_disorder,
     "tied_alerts": tied_alerts,
     "topic_alerts": topic_alerts,
+    "topic_roundtrip": topic_roundtrip,
+    "topic_stream_alerts": topic_stream_alerts,
+    "live_rule_alerts": live_rule_alerts,
+    "stream_rollup": stream_rollup,
+    "feature_state_by_user": feature_state_by("userId"),
+    "feature_state_by_ip": feature_state_by("ip"),
+    "stream_alert_table": stream_alert_table,
     "alert_messages": alert_messages,
     "alert_levels": alert_levels,
     "risk_scores": risk_scores,

@@ -86,22 +86,14 @@ def alert_table_rows(raw: DataFrame) -> DataFrame:
     return parse_alerts(raw).withColumn("month", F.date_format("alertTime", "yyyyMM"))
 
 
-def append_alert_table(raw: DataFrame, path: str) -> None:
-    """Parsed alerts appended to the table: months are folders, and rows are ordered inside files."""
-    order = ["month", "alertTime", "ruleType", "ruleId", "ip", "userId"]
-    alert_table_rows(raw).sortWithinPartitions(*order).write.mode("append").partitionBy("month").parquet(path)
+# Order of rows inside the files of the alert table.
+ALERT_ORDER = ["month", "alertTime", "ruleType", "ruleId", "ip", "userId"]
 
 
-def alert_table_stream(raw: DataFrame, path: str, checkpoint: str):
-    """A stream of alert texts into the alert table. The file sink commits each batch once."""
-    return (
-        alert_table_rows(raw)
-        .writeStream.format("parquet")
-        .partitionBy("month")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+def append_alert_table(raw: DataFrame, path: str) -> None:
+    """Parsed alerts appended to the table: months are folders, and rows are ordered inside files. A stream goes to it
+    through ``streaming.tables``."""
+    alert_table_rows(raw).sortWithinPartitions(*ALERT_ORDER).write.mode("append").partitionBy("month").parquet(path)
 
 
 def rollup_stream(rollups: DataFrame, path: str, checkpoint: str):
