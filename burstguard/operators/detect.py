@@ -4,22 +4,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstguard.functions.actions import LARGE_FROM, SMALL_BELOW
+from burstguard.operators import registry
 from burstguard.operators.alerts import RULE_FACTS, score_matches
 from burstguard.operators.match import match_rules
+from burstguard.operators.roles import with_roles
 from burstguard.operators.sequence import select_matches
-
-def with_roles(matched: DataFrame, small_below: float = SMALL_BELOW, large_from: float = LARGE_FROM) -> DataFrame:
-    """Pairs some detector works on, each with its ``role``: the part of its action, with payments
-    told apart by amount (NaN counts as neither small nor large)."""
-    amount = F.col("amount")
-    by_amount = (
-        F.when(F.isnan(amount), "other").when(amount < small_below, "small").when(amount >= large_from, "large")
-        .otherwise("other")
-    )
-    return matched.where(F.col("part").isNotNull()).withColumn(
-        "role", F.when(F.col("part") == "payment", by_amount).otherwise(F.col("part"))
-    )
-
+from burstguard.streaming.arrival import replay_matches
 
 def detect_matches(
     matched: DataFrame,
@@ -33,7 +23,11 @@ def detect_matches(
     columns not needed for matching stay out of that shuffle and are joined to the few matches.
     """
     rows = with_roles(matched, small_below, large_from)
-    matches = select_matches(rows)
+    matches = select_matches(rows.where(F.col("detector").isin(*registry.SLOT_DETECTORS)))
+    if registry.FINDERS:
+        # detectors of a user's own: the machine of arrival order, fed in order of time
+        timed = rows.where(F.col("detector").isin(*registry.FINDERS)).withColumn("arrivedAt", F.col("timestamp"))
+        matches = matches.unionByName(replay_matches(timed).select(*matches.columns))
     return matches.join(rules.select(*RULE_FACTS), "ruleId")
 
 

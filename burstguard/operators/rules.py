@@ -4,8 +4,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from burstguard.functions.actions import LOGIN_FAIL, LOGIN_SUCCESS, PAYMENT, PAYMENT_FRAUD, SENSITIVE
-from burstguard.schemas import RULE_COLUMNS, RULE_TYPES
+from burstguard.functions.actions import LOGIN_FAIL, LOGIN_SUCCESS
+from burstguard.operators import registry
+from burstguard.schemas import RULE_COLUMNS
 
 _ARROW_TYPES = {
     "ruleId": pa.string(),
@@ -121,24 +122,6 @@ def rule_history(changelog: DataFrame, seq: str = "seq") -> DataFrame:
     )
 
 
-# Which actions a rule type watches; the other types watch their own target action.
-ROUTED_ACTIONS = {
-    "ABNORMAL_LOGIN": LOGIN_SUCCESS + SENSITIVE,
-    "CREDENTIAL_STUFFING": LOGIN_FAIL + LOGIN_SUCCESS,
-    "PAYMENT_FRAUD": PAYMENT + PAYMENT_FRAUD,
-}
-
-
-# Rule type -> detector (see ``sequence``). CUSTOM has none; see the pattern operators.
-DETECTORS = {
-    "CREDENTIAL_STUFFING": "count",
-    "ORDER_BRUSH": "count",
-    "HIGH_FREQ_ACCESS": "count",
-    "ABNORMAL_LOGIN": "pair",
-    "PAYMENT_FRAUD": "pay",
-}
-
-
 def _choose(column: Column, values: dict, otherwise=None) -> Column:
     chosen = F.lit(otherwise).cast("string")
     for name, value in values.items():
@@ -153,29 +136,24 @@ def watched_actions(strict_routing: bool = False) -> Column:
     Payment rules need logins to ever fire, so logins are routed to them too;
     ``strict_routing`` leaves them out and payment rules then stay silent.
     """
-    watched = F.array(F.upper("targetActionType"))
-    for rule_type, actions in ROUTED_ACTIONS.items():
-        if rule_type == "PAYMENT_FRAUD" and not strict_routing:
-            actions = actions + LOGIN_SUCCESS
-        watched = F.when(F.col("ruleType") == rule_type, F.array(*[F.lit(a) for a in actions])).otherwise(watched)
-
-    def part(action: Column) -> Column:
-        return _choose(
-            detector_of(F.col("ruleType")),
-            {
-                "count": F.when((F.col("ruleType") != "CREDENTIAL_STUFFING") | action.isin(LOGIN_FAIL), "hit"),
-                "pair": F.when(action.isin(LOGIN_SUCCESS), "first").otherwise("second"),
-                "pay": F.when(action.isin(LOGIN_SUCCESS), "login")
-                .when(action.isin(PAYMENT_FRAUD), "large")
-                .otherwise("payment"),
-            },
-        )
+    target = F.array(F.upper("targetActionType"))
+
+    def placed(actions: Column, part) -> Column:
+        return F.transform(actions, lambda a: F.struct(a.alias("watchedAction"), part(a).cast("string").alias("part")))
 
-    return F.transform(watched, lambda a: F.struct(a.alias("watchedAction"), part(a).alias("part")))
+    watched = placed(target, lambda a: F.lit(None))
+    for name, kind in registry.RULE_TYPES.items():
+        actions = kind.actions
+        if name == "PAYMENT_FRAUD" and strict_routing:
+            actions = tuple(a for a in actions if a not in LOGIN_SUCCESS)
+        listed = target if actions is None else F.array(*[F.lit(a) for a in actions])
+        mine = placed(listed, kind.part if kind.detector else lambda a: F.lit(None))
+        watched = F.when(F.col("ruleType") == name, mine).otherwise(watched)
+    return watched
 
 
 def detector_of(rule_type: Column) -> Column:
-    return _choose(rule_type, DETECTORS)
+    return _choose(rule_type, {name: kind.detector for name, kind in registry.RULE_TYPES.items() if kind.detector})
 
 
 def rule_actions(rules: DataFrame, strict_routing: bool = False) -> DataFrame:
@@ -313,7 +291,7 @@ def lint_rules(rules: DataFrame, actions: DataFrame | None = None) -> DataFrame:
     reasons = [
         F.when(~is_valid_rule(), F.lit("invalid")),
         F.when(~is_enabled_rule(), F.lit("not enabled")),
-        F.when(~F.coalesce(F.col("ruleType").isin(RULE_TYPES), F.lit(False)), F.lit("unknown type")),
+        F.when(~F.coalesce(F.col("ruleType").isin(list(registry.RULE_TYPES)), F.lit(False)), F.lit("unknown type")),
         F.when(F.col("ruleType") == "CUSTOM", F.lit("no detector for CUSTOM; use the pattern operators")),
         F.when(
             (F.col("ruleType") == "CREDENTIAL_STUFFING") & ~target.isin(LOGIN_FAIL + LOGIN_SUCCESS),

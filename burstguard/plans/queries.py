@@ -23,7 +23,7 @@ from burstguard.operators.alerts import (
     with_trigger_events,
 )
 from burstguard.operators.candidates import count_candidates, pair_candidates, payment_candidates
-from burstguard.operators.detect import detect, with_roles
+from burstguard.operators.detect import detect
 from burstguard.operators.match import match_rules, match_rules_asof
 from burstguard.operators.rules import (
     TEMPLATES,
@@ -35,6 +35,7 @@ from burstguard.operators.rules import (
     template_rules,
     with_type_defaults,
 )
+from burstguard.operators.roles import with_roles
 from burstguard.plans import fixtures as fx
 from burstguard.plans.pipeline import alerts_from_documents
 from burstguard.schemas import BEHAVIOR_COLUMNS, GROUP_KEY_TYPES

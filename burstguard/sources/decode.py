@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from burstguard.functions.actions import normalize_action
 from burstguard.functions.text import integer_or_null
 from burstguard.functions.times import flex_time_ms, transaction_time_ms
+from burstguard.operators import registry
 from burstguard.operators.rules import RULE_DEFAULTS
-from burstguard.schemas import BEHAVIOR_COLUMNS, GROUP_KEY_TYPES, RULE, RULE_STATUSES, RULE_TYPES
+from burstguard.schemas import BEHAVIOR_COLUMNS, RULE, RULE_STATUSES
 
 # Other names under which an event document may carry a field.
 EVENT_ALIASES = {
@@ -122,7 +123,7 @@ def decode_rules(raw: DataFrame, value: str = "value") -> DataFrame:
     names = RULE.fieldNames()
     kept = [c for c in raw.columns if c != value]
     j = raw.select(*kept, F.json_object_keys(value).alias("_keys"), parse_once(value, names).alias("_j")).where(F.col("_keys").isNotNull() & F.col("_j")["_corrupt"].isNull())
-    fixed = {"ruleType": RULE_TYPES, "status": RULE_STATUSES, "groupKeyType": GROUP_KEY_TYPES}
+    fixed = {"ruleType": list(registry.RULE_TYPES), "status": RULE_STATUSES, "groupKeyType": registry.key_types()}
     columns, broken = [], F.lit(False)
     for f in RULE.fields:
         text = F.col("_j")[f.name]

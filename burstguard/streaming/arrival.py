@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstguard.operators.alerts import score_matches
-from burstguard.operators.detect import with_roles
+from burstguard.operators import registry
+from burstguard.operators.roles import with_roles
 from burstguard.schemas import BEHAVIOR_COLUMNS
 from burstguard.streaming.timeline import KeyBuffer
 
@@ -44,6 +45,21 @@ def arrivals(pdf: pd.DataFrame) -> Iterator[tuple[str, tuple, tuple]]:
         yield row[0], row[1:width], row[width:]
 
 
+def own_detectors(finders: dict[str, registry.Find]) -> dict:
+    """Detectors of a user's own as the buffer calls them: on events as dicts."""
+
+    def adapted(find: registry.Find):
+        def on_tuples(events: list[tuple], window: int, threshold: int) -> list[tuple] | None:
+            rows = [dict(zip(EVENT_FIELDS, e)) for e in events]
+            places = {id(r): i for i, r in enumerate(rows)}
+            found = find(rows, window, threshold)
+            return [events[places[id(r)]] for r in found] if found else None
+
+        return on_tuples
+
+    return {name: adapted(find) for name, find in finders.items()}
+
+
 def take_in(buffer: KeyBuffer, key: str, event: tuple, rule: tuple) -> dict | None:
     """The match that an event completes, as an output row."""
     facts = dict(zip(RULE_FIELDS, rule))
@@ -76,7 +92,9 @@ def arrival_rows(matched: DataFrame) -> DataFrame:
     """Matched pairs reduced to what detection in arrival order needs."""
     if "arrivedAt" not in matched.columns:
         matched = matched.withColumn("arrivedAt", F.lit(0).cast("bigint"))
-    return with_roles(matched).select("arrivedAt", *ARRIVAL_COLUMNS)
+    if "role" not in matched.columns:
+        matched = with_roles(matched)
+    return matched.select("arrivedAt", *ARRIVAL_COLUMNS)
 
 
 def replay_matches(matched: DataFrame) -> DataFrame:
@@ -85,13 +103,15 @@ def replay_matches(matched: DataFrame) -> DataFrame:
     One shuffle on the key and a sort; the rows are then streamed, carrying the current key's
     buffer from one Arrow batch to the next.
     """
+    own = own_detectors(dict(registry.FINDERS))
+
     def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, buffer = None, KeyBuffer()
+        current, buffer = None, KeyBuffer(own)
         for pdf in batches:
             out = []
             for key, event, rule in arrivals(pdf):
                 if key != current:
-                    current, buffer = key, KeyBuffer()
+                    current, buffer = key, KeyBuffer(own)
                 found = take_in(buffer, key, event, rule)
                 if found:
                     out.append(found)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from burstguard.operators import registry
 from burstguard.operators.alerts import score_matches
 from burstguard.operators.match import match_rules
 from burstguard.operators.rules import active_rules
@@ -21,6 +22,7 @@ from burstguard.streaming.arrival import (
     arrival_rows,
     arrivals,
     match_frame,
+    own_detectors,
     take_in,
 )
 from burstguard.streaming.timeline import KeyBuffer
@@ -45,15 +47,15 @@ class SequenceProcessor(StatefulProcessor):
     window + lateness.
     """
 
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
+    def __init__(self, ttl_ms: int | None = None, own: dict | None = None):
+        self.ttl_ms, self.own = ttl_ms, own
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.events = handle.getListState("events", f"no long, {EVENT_STATE}", self.ttl_ms)
         self.marks = handle.getValueState("marks", MARKS_STATE, self.ttl_ms)
 
     def _loaded(self) -> tuple[KeyBuffer, int]:
-        buffer, stored = KeyBuffer(), 0
+        buffer, stored = KeyBuffer(self.own), 0
         if self.marks.exists():
             (buffer.newest, buffer.emitted, buffer.arrived, time, no, buffer.floor, stored, *shape) = self.marks.get()
             buffer.clean, buffer.shape = (time, no), (shape[0], int(shape[1]), int(shape[2]))
@@ -96,7 +98,7 @@ def stream_matches(rows: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     spark = rows.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return rows.groupBy("groupKey").transformWithStateInPandas(
-        statefulProcessor=SequenceProcessor(ttl_ms),
+        statefulProcessor=SequenceProcessor(ttl_ms, own_detectors(dict(registry.FINDERS))),
         outputStructType=ARRIVAL_MATCH_SCHEMA,
         outputMode="Append",
         timeMode="ProcessingTime" if ttl_ms else "None",

@@ -69,7 +69,8 @@ class KeyBuffer:
     the event was matched with; when they change the search starts anew.
     """
 
-    def __init__(self):
+    def __init__(self, finders: dict | None = None):
+        self.finders = finders or {}
         self.newest: int | None = None
         self.emitted: int | None = None
         self.arrived = 0
@@ -129,19 +130,33 @@ class KeyBuffer:
         self.arrived += 1
         ip = ip.lower() if ip else None
         # what no match can hold is not kept: other roles, payments and logins without an address
-        if role in ROLES[detector] and (ip or role not in ("login", "large")):
+        find = self.finders.get(detector)
+        if find or (role in ROLES[detector] and (ip or role not in ("login", "large"))):
             self._place(key, event, role, ip)
             self.clean = min(self.clean, key)
         self._expire(max(0, self.newest - window - LATENESS_MS))
+        if find:
+            return self._found(find, window, threshold)
         end = self._next_match(detector, window, threshold)
         if end is None or (self.emitted is not None and end[0] <= self.emitted):
             return None
-        found = [self.events[k][0] for k in self._matched(end, detector, window, threshold)]
-        self.emitted, self.newest, self.clean = end[0], None, START
+        return self._taken([self.events[k][0] for k in self._matched(end, detector, window, threshold)], end[0])
+
+    def _taken(self, found: list, time: int) -> list:
+        self.emitted, self.newest, self.clean = time, None, START
         self._empty()
         self.emptied = True
         return found
 
+    def _found(self, find, window: int, threshold: int) -> list | None:
+        """A user's detector: it is given the whole buffer at every arrival, under the same rules for what may end."""
+        self.looked += len(self.events)
+        found = find([self.events[k][0] for k in sorted(self.events)], window, threshold)
+        if not found:
+            return None
+        last = max(k[0] for k, (event, _, _) in self.events.items() if any(event is f for f in found))
+        return None if self.emitted is not None and last <= self.emitted else self._taken(found, last)
+
     def _next_match(self, detector: str, window: int, threshold: int) -> Key | None:
         """The first end of a match; ``clean`` moves there, so that a match that may not end yet is found at once."""
         ends = self._line(ENDS[detector])
