@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from burstguard.functions.text import integer_or_null
 from burstguard.schemas import BEHAVIOR_COLUMNS
+from burstguard.sources.arrays import array_elements
 from burstguard.sources.decode import parse_once
 from burstguard.sources.segments import TopicSegments
 
@@ -119,9 +120,8 @@ def text_stream(spark: SparkSession, path: str, files_per_batch: int | None = No
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
     """Files of JSON lines, or each of one JSON array, one ``value`` per document, blank lines skipped.
 
-    Every file is judged by itself: by the first character of its first line that is not blank. Line files are split
-    across tasks as usual. An array is one document and cannot be split, so its file is read whole by one task;
-    convert large ones to lines.
+    Every file is judged by itself: by the first character of its first line that is not blank. Both kinds are split
+    across tasks, however the lines of an array fall; see ``arrays``.
     """
     file = F.col("_metadata.file_path").alias("_file")
     text = spark.read.text(path).select(
@@ -133,8 +133,7 @@ def json_documents(spark: SparkSession, path: str) -> DataFrame:
         .where(F.col("f.c") == "[").select("_file")
     )
     lines = text.join(arrays, "_file", "left_anti").select("value")
-    whole = spark.read.text(path, wholetext=True).select(file, "value").join(arrays, "_file", "left_semi")
-    return lines.unionByName(whole.select(F.explode(F.from_json("value", "array<string>")).alias("value")))
+    return lines.unionByName(array_elements(spark, path, arrays))
 
 
 def baseline_events(documents: DataFrame, now_ms: int | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from burstguard.operators.alerts import alert_documents, parse_alerts
 from burstguard.operators.features import TTL_MS, feature_snapshot, feature_updates, merge_features
 from burstguard.operators.rules import is_enabled_rule, is_valid_rule
 from burstguard.schemas import BEHAVIOR_COLUMNS, RULE_COLUMNS
+from burstguard.sources.arrays import as_arrays
 from burstguard.sources.inputs import topic_format
 
 
@@ -40,13 +41,11 @@ def write_lines(documents: DataFrame, path: str, mode: str = "errorifexists") ->
     documents.select("value").write.mode(mode).text(path)
 
 
-def write_rule_array(rules: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """A rule set as one JSON array. Rule sets are small by nature; one task writes the file."""
+def write_rule_array(rules: DataFrame, path: str, mode: str = "errorifexists", files: int = 1) -> None:
+    """A rule set as JSON arrays, one in each of ``files``, written side by side in order of the rule ids."""
     docs = rule_documents(rules).select("key", "value")
-    listed = F.transform(F.sort_array(F.collect_list(F.struct("key", "value"))), lambda d: d["value"])
-    docs.agg(F.concat(F.lit("["), F.array_join(listed, ",\n"), F.lit("]")).alias("value")).coalesce(1).write.mode(
-        mode
-    ).text(path)
+    dealt = docs.coalesce(1) if files == 1 else docs.repartitionByRange(files, "key")
+    as_arrays(dealt.sortWithinPartitions("key", "value")).write.mode(mode).text(path)
 
 
 def write_topic(documents: DataFrame, servers: str, topic: str, partitions: int | None = None) -> None:
