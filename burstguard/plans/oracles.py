@@ -623,6 +623,20 @@ _DOCUMENT = """"ruleId", "ruleType", level, "userId", ip, coalesce("deviceId", '
   "riskScore", "firstEventTimestamp" AS "firstEventTimestampMs", "lastEventTimestamp" AS "lastEventTimestampMs\""""
 
 ORACLES |= {
+    "array_roundtrip": ORACLES["jsonl_roundtrip"],
+    "rule_array_roundtrip": f"WITH {CHANGES} SELECT {RULE_FIELDS} FROM chg",
+    "rule_topic_snapshot": f"WITH {CHANGES} SELECT {RULE_FIELDS} FROM snap",
+    "captured_alerts": f"""{STAMPED} SELECT ruleId, level, count(*) AS cnt, sum(matchCount)::BIGINT AS matched FROM st
+      GROUP BY ruleId, level""",
+    "matched_tap": f"""WITH {EV}, {matched_rows()}, kinds(ruleId, kind) AS (VALUES {
+        ", ".join(f"('{r}', '{kind}')" for r, (kind, *_) in RULES.items())})
+      SELECT 'MATCHED ruleType=' || kind || ' ruleId=' || ruleId || ' action=' || actionType || ' userId=' || userId
+        || ' ts=' || t AS "value" FROM (SELECT * FROM m JOIN kinds USING (ruleId))
+      UNION ALL SELECT 'MATCHED ruleType=CREDENTIAL_STUFFING ruleId=fx-stuffing action=LOGIN userId=' || userId || ' ts=' || t
+      FROM ev WHERE actionType = 'LOGIN'""",
+    "alert_tap": f"""{STAMPED} SELECT 'ALERT ruleType=' || ruleType || ' ruleId=' || ruleId || ' userId=' || userId
+      || ' matchCount=' || matchCount || ' ts=' || (lastEventTimestamp + lag) AS "value" FROM st""",
+    "sampled_events": "SELECT least(count(*), 100) AS cnt, least(count(*), 100) AS different FROM events",
     "topic_roundtrip": f"SELECT {_DOCUMENT} FROM ({ORACLES['topic_alerts']})",
     "topic_stream_alerts": f"SELECT {_DOCUMENT} FROM ({ORACLES['topic_alerts']})",
     "live_rule_alerts": f"SELECT {_DOCUMENT} FROM ({ORACLES['asof_alerts']})",

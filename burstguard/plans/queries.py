@@ -16,6 +16,7 @@ from burstguard.operators import sampling as sp
 from burstguard.operators.alerts import (
     alert_documents,
     alert_evidence,
+    alert_lines,
     alert_writes,
     parse_alerts,
     stamp_alerts,
@@ -24,7 +25,7 @@ from burstguard.operators.alerts import (
 )
 from burstguard.operators.candidates import count_candidates, pair_candidates, payment_candidates
 from burstguard.operators.detect import detect
-from burstguard.operators.match import match_rules, match_rules_asof
+from burstguard.operators.match import match_rules, match_rules_asof, matched_lines
 from burstguard.operators.rules import (
     TEMPLATES,
     experiment_rules,
@@ -42,7 +43,16 @@ from burstguard.schemas import BEHAVIOR_COLUMNS, GROUP_KEY_TYPES
 from burstguard.session import shared_dir
 from burstguard.sources.csvfiles import import_counts, import_rows, map_csv, read_csv
 from burstguard.sources.decode import decode_events, decode_rules, good_events, is_valid_event, rejects
-from burstguard.sources.inputs import alert_topic, arrival_order, baseline_events, behavior_topic, json_documents
+from burstguard.sources.arrays import as_arrays
+from burstguard.sources.inputs import (
+    alert_topic,
+    arrival_order,
+    baseline_events,
+    behavior_topic,
+    captured_alerts,
+    json_documents,
+    rule_topic,
+)
 from burstguard.sources.outputs import (
     alert_table_rows,
     alert_topic_stream,
@@ -51,6 +61,7 @@ from burstguard.sources.outputs import (
     rule_documents,
     write_csv,
     write_lines,
+    write_rule_array,
     write_topic,
 )
 from burstguard.streaming.arrival import detect_in_arrival_order
@@ -596,6 +607,60 @@ def rollup_from_documents(spark, sf):
     )
 
 
+def array_roundtrip(spark, sf):
+    """Events written as JSON arrays, read again by byte ranges and decoded."""
+    path = _folder(spark, "events-arrays")
+    as_arrays(event_documents(_events(spark, sf))).write.text(path)
+    return good_events(decode_events(json_documents(spark, path))).groupBy("actionType", "deviceId").agg(
+        F.count("*").alias("cnt"), F.sum("timestamp").alias("times"), F.round(F.sum("amount"), 2).alias("amount")
+    )
+
+
+def rule_array_roundtrip(spark, sf):
+    """Rules written as JSON arrays side by side, read and decoded again."""
+    path = _folder(spark, "rule-arrays")
+    write_rule_array(fx.rule_changes(spark, sf), path, files=4)
+    return decode_rules(json_documents(spark, path)).select(*RULE_FIELDS)
+
+
+def rule_topic_snapshot(spark, sf):
+    """Rule documents out of a topic, in order of arrival, folded to the rules in force."""
+    place = f"segments:{_folder(spark, 'topics')}"
+    changes = fx.rule_changes(spark, sf)
+    docs = rule_documents(changes.withColumn("ruleName", F.col("seq").cast("string")))
+    at = F.timestamp_millis(F.get_json_object("value", "$.ruleName").cast("long"))
+    ordered = docs.withColumn("timestamp", at).repartition(4, "key").sortWithinPartitions("timestamp")
+    write_topic(ordered, place, "rules", partitions=4)
+    return rule_snapshot(decode_rules(rule_topic(spark, place, "rules").drop("key"))).select(*RULE_FIELDS)
+
+
+def captured_alerts_q(spark, sf):
+    """Alert documents among the other lines that a console has printed."""
+    path = _folder(spark, "captured")
+    alerts = _stamped(spark, sf)
+    write_lines(alert_documents(alerts).select("value").unionByName(alert_lines(alerts)), path)
+    return parse_alerts(captured_alerts(spark, path)).groupBy("ruleId", "level").agg(
+        F.count("*").alias("cnt"), F.sum("matchCount").alias("matched")
+    )
+
+
+def matched_tap(spark, sf):
+    """A line of text for each event and rule that match."""
+    return matched_lines(match_rules(_events(spark, sf), fx.fixture_rules(spark)))
+
+
+def alert_tap(spark, sf):
+    """A line of text for each alert."""
+    return alert_lines(_stamped(spark, sf))
+
+
+def sampled_events(spark, sf):
+    """A random sample of a hundred events: how many there are, and how many of them are different events."""
+    events = _events(spark, sf)
+    drawn = sp.sample_rows(events, 100, seed=7).select("seq")
+    return drawn.join(events, "seq").agg(F.count("*").alias("cnt"), F.count_distinct("seq").alias("different"))
+
+
 def _written_stream(spark, rows, name):
     """Rows as a stream of files; a session may read back only what it has written whole."""
     path = _folder(spark, name)
@@ -715,6 +780,13 @@ QUERIES = {
     "arrival_disorder": arrival_disorder,
     "tied_alerts": tied_alerts,
     "topic_alerts": topic_alerts,
+    "array_roundtrip": array_roundtrip,
+    "rule_array_roundtrip": rule_array_roundtrip,
+    "rule_topic_snapshot": rule_topic_snapshot,
+    "captured_alerts": captured_alerts_q,
+    "matched_tap": matched_tap,
+    "alert_tap": alert_tap,
+    "sampled_events": sampled_events,
     "topic_roundtrip": topic_roundtrip,
     "topic_stream_alerts": topic_stream_alerts,
     "live_rule_alerts": live_rule_alerts,
