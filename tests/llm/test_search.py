@@ -99,3 +99,32 @@ def test_top_k(corpus_spark, monkeypatch):
     assert topk.top_k(frame.limit(0), "vec_id % 2 = 0").count() == 0
     two = frame.filter("vec_id in (1000, 10)")
     assert topk.top_k(two, "vec_id % 2 = 0").count() == 2
+
+
+def test_the_scan_stops_on_proof():
+    """Postings read: far fewer than all where few components hold a score, fewer than all on vectors without structure;
+    what is proved impossible really is."""
+    rng = np.random.default_rng(3)
+    skewed = np.zeros((4000, 64), np.int64)
+    for row in skewed:
+        row[rng.choice(64, 3, replace=False, p=1 / np.arange(1, 65) / np.sum(1 / np.arange(1, 65)))] = rng.integers(20, 256, 3)
+        row += rng.integers(-2, 3, 64)
+    loose = rng.normal(0, 32, (4000, 64)).astype(np.int64)
+    for matrix, share in ((skewed, 0.35), (loose, 0.85)):
+        block = topk.Block(matrix, topk.segments(matrix))
+        for i in range(40):
+            other = np.arange(len(matrix)) != i
+            exact = matrix @ matrix[i]
+            floor = int(np.sort(exact[other])[-5])
+            found, scores = block.best(matrix[i], other, 5, floor)
+            assert (scores == exact[found]).all()
+            assert set(np.flatnonzero((exact >= floor) & other)) <= set(found)
+        assert block.read < share * 40 * np.count_nonzero(matrix)
+
+
+def test_components_beyond_one_number():
+    """Scores that leave no room for the count beside them are taken exactly for all rows."""
+    matrix = np.array([[1 << 27, -(1 << 27)], [1 << 26, 5], [0, 0]], np.int64)
+    block = topk.Block(matrix, topk.segments(matrix))
+    found, scores = block.best(matrix[0], np.array([False, True, True]), 1, 0)
+    assert dict(zip(found.tolist(), scores.tolist()))[1] == (1 << 53) - 5 * (1 << 27)
