@@ -1,5 +1,6 @@
 """The classifier and line dedup on small tables, and the pipeline."""
 
+import os
 import random
 from collections import Counter
 
@@ -19,18 +20,64 @@ def test_risk_and_prior():
     rng = np.random.default_rng(1)
     mixed = np.vstack([sample(rng, 1400, True), sample(rng, 600, False)])
     rng.shuffle(mixed)
-    model = pu.fit(sample(rng, 1000, True), mixed)
+    model = pu.fit(sample(rng, 1000, True), pu.Matrix(mixed))
     assert abs(model.prior - 0.7) < 0.08
     assert (model.score(sample(rng, 500, True)) >= pu.THRESHOLD).mean() > 0.95
     assert (model.score(sample(rng, 500, False)) >= pu.THRESHOLD).mean() < 0.05
-
-
-def test_negative_risk_turns_the_step():
-    good = np.ones((4, 1))
-    flat = pu.risk_gradient(good, good, 0.9)(np.zeros(1))
-    assert flat[0] < 0  # the unlabelled part is not negative: towards the good ones
-    turned = pu.risk_gradient(good, -good, 0.9)(np.full(1, 3.0))
-    assert np.isfinite(turned).all()
+    assert pu.fit(sample(rng, 10, True), pu.Matrix(np.zeros((0, pu.FEATURES)))) is None
+
+
+def test_steps_follow_the_risk():
+    """The gradient is that of the risk, and where the bad texts' part of it is negative, against that part."""
+    rng = np.random.default_rng(2)
+    good, mixed = sample(rng, 60, True), np.vstack([sample(rng, 50, True), sample(rng, 50, False)])
+    model = pu.Model(mixed.mean(axis=0), mixed.std(axis=0), np.zeros(0), 0.5)
+    p, u = model.inputs(good), model.inputs(mixed)
+
+    def bad(w, prior):
+        return np.logaddexp(0, u @ w).mean() - prior * np.logaddexp(0, p @ w).mean()
+
+    def whole(w, prior):
+        return prior * np.logaddexp(0, -(p @ w)).mean() + bad(w, prior)
+
+    for prior in (0.3, 0.9):
+        step = pu.risk(model, good, pu.Matrix(mixed), prior)
+        for w in (np.zeros(p.shape[1]), rng.normal(0, 0.05, p.shape[1]), rng.normal(0, 0.5, p.shape[1])):
+            g, h, turned = step(w)
+            assert turned == (bad(w, prior) < 0)
+            f = (lambda x: -bad(x, prior)) if turned else (lambda x: whole(x, prior))
+            for i in (0, 7, p.shape[1] - 1):
+                e = np.zeros(p.shape[1])
+                e[i] = 1e-5
+                assert g[i] == pytest.approx((f(w + e) - f(w - e)) / 2e-5, abs=1e-6)
+            assert np.linalg.eigvalsh(h).min() > -1e-9
+
+
+def test_all_rows_are_learned_from(corpus_spark):
+    """Sums over blocks in Spark are those over one matrix; a repeated id gives one row to the good sample."""
+    docs = spark_docs(corpus_spark).repartition(5)
+    labels = corpus_spark.createDataFrame([(i, 1, 0) for i in range(24)], "doc_id long, quality int, toxic int")
+    model = pu.train(docs, labels)
+    rows = [r for r in docs.filter(~pu.held_out(docs["doc_id"]) & docs["doc_id"].isNotNull()).collect()]
+    mixed = np.array([pu.features(r["text"] or "") for r in rows])
+    by_id = {}
+    for r, x in zip(rows, mixed.tolist()):
+        if r["doc_id"] < 24:
+            by_id[r["doc_id"]] = min(x, by_id.get(r["doc_id"], x))
+    plain = pu.fit(np.array([by_id[i] for i in sorted(by_id)]), pu.Matrix(mixed))
+    assert np.allclose(model.mean, plain.mean) and np.allclose(model.weights, plain.weights, atol=0.05)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the test tables")
+def test_held_out_labels(corpus_spark):
+    from burstguard.llm.queries import QUERIES
+
+    scored = QUERIES["op3_pu_quality"](corpus_spark, "/root/testdata/sf0.01")
+    labels = corpus_spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = scored.filter("held_out").join(labels, "doc_id").select("score", "quality").collect()
+    good, bad = ([r["score"] for r in rows if r["quality"] == q] for q in (1, 0))
+    auc = np.mean([(g > b) + (g == b) / 2 for g in good for b in bad])
+    assert len(good) > 50 and len(bad) > 10 and auc > 0.9
 
 
 def test_classify(corpus_spark):
