@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from burstguard.llm.common import written
 
 BLOCK = 16_384
-QUERY_BLOCK = 8192
-LEVELS = 8
+QUERY_BLOCK = 512
+LEVELS = 4
 #: Rows that are rescored at once: when no more can be members, the scan of the segments ends.
-POSSIBLE = 256
+POSSIBLE = 2048
 #: Segments between two looks at what is still possible.
 STRIDE = 32
 INDEX = (
-    "block int, q_block int, n int, dims int, vec_ids binary, uids binary, matrix binary, seg_dim binary, "
+    "block int, n int, dims int, vec_ids binary, uids binary, matrix binary, seg_dim binary, "
     "seg_low binary, seg_high binary, seg_start binary, seg_rows binary, seg_values binary"
 )
 
@@ -96,7 +96,8 @@ class Block:
         # the best a row can still get in a dimension: the largest score of the segments to come
         ahead = np.maximum(np.maximum.accumulate(most[order][::-1])[::-1], 0)
         used = np.count_nonzero(query)
-        unit = 1 << (int(np.abs(query) @ self.reach).bit_length() + 2)
+        shift = int(np.abs(query) @ self.reach).bit_length() + 2
+        unit = 1 << shift
         if floor is None or unit * (used + 1) >= 1 << 62:
             return np.arange(n)
         # gathered score and, in whole units above it, the number of dimensions a row was seen in
@@ -108,8 +109,8 @@ class Block:
             self.read += starts[s + 1] - starts[s]
             if done % STRIDE and done < len(order):
                 continue
-            seen = (gathered + unit // 2) // unit
-            bound = gathered - seen * unit + (used - seen) * (ahead[done] if done < len(order) else 0)
+            seen = (gathered + (unit >> 1)) >> shift
+            bound = gathered - (seen << shift) + (used - seen) * (ahead[done] if done < len(order) else 0)
             members = np.flatnonzero(bound >= floor)
             if len(members) <= POSSIBLE:
                 return members
@@ -126,8 +127,8 @@ class Block:
         return found, self.matrix[found] @ query
 
 
-def build_index(candidates: DataFrame, query_blocks: int) -> DataFrame:
-    """One row per ``block`` of ``vec_id, uid, values``, repeated for every block of queries."""
+def build_index(candidates: DataFrame) -> DataFrame:
+    """One row per ``block`` of ``vec_id, uid, values``."""
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         matrix = matrix_of(frame["values"])
@@ -146,8 +147,7 @@ def build_index(candidates: DataFrame, query_blocks: int) -> DataFrame:
             "seg_rows": seg["rows"].astype(np.int32).tobytes(),
             "seg_values": seg["values"].astype(small).tobytes(),
         }
-        block = int(frame["block"].iat[0])
-        return pd.DataFrame([{"block": block, "q_block": q} | row for q in range(query_blocks)])
+        return pd.DataFrame([{"block": int(frame["block"].iat[0])} | row])
 
     return candidates.groupBy("block").applyInPandas(build, INDEX)
 
@@ -178,9 +178,11 @@ def _search(k: int):
     return search
 
 
-def _searched(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def _searched(index: DataFrame, queries: DataFrame, query_blocks: int, k: int) -> DataFrame:
+    """Every block of queries meets every block of the index once."""
+    met = index.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     return (
-        index.groupBy("block", "q_block").cogroup(queries.groupBy("block", "q_block")).applyInPandas(_search(k), FOUND)
+        met.groupBy("block", "q_block").cogroup(queries.groupBy("block", "q_block")).applyInPandas(_search(k), FOUND)
     )
 
 
@@ -198,10 +200,10 @@ def top_k(vectors: DataFrame, queries: str, k: int = 5, scale: int = 256) -> Dat
     asked = rows.filter(queries)
     query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     asked = asked.withColumn("q_block", F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(query_blocks)).cast("int"))
-    index = written(build_index(dealt, query_blocks))
+    index = written(build_index(dealt))
     order = W.partitionBy("query_id", "uid").orderBy(F.desc("score"), "vec_id")
     none = F.lit(None).cast("long")
-    first = written(_searched(index.filter("block = 0"), asked.withColumns({"block": F.lit(0), "floor": none}), k))
+    first = written(_searched(index.filter("block = 0"), asked.withColumns({"block": F.lit(0), "floor": none}), query_blocks, k))
     found = first
     if blocks > 1:
         # k scores of a query are its floor; a query with fewer has none yet
@@ -210,7 +212,7 @@ def top_k(vectors: DataFrame, queries: str, k: int = 5, scale: int = 256) -> Dat
         spread = floored.withColumn("block", F.explode(F.sequence(F.lit(1), F.lit(blocks - 1)))).select(
             "vec_id", "uid", "values", "q_block", "block", "floor"
         )
-        found = found.unionByName(_searched(index.filter("block > 0"), spread, k))
+        found = found.unionByName(_searched(index.filter("block > 0"), spread, query_blocks, k))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
     )
