@@ -30,10 +30,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: what follows starts from it, also after an executor is lost."""
-    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    """``df`` as a table in the shared folder: what follows starts from it, also after an executor is lost.
+
+    The shuffle files that led to it are of no more use. Spark deletes them when the driver's garbage is collected, so
+    that is asked for; else the disks of a long job fill with them.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` that nothing will read any more."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstguard.llm.common import written
+from burstguard.llm.common import discard, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -41,4 +41,5 @@ def components(edges: DataFrame) -> DataFrame:
             return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
-        current = written(_small_star(_large_star(current)))
+        before, current = current, written(_small_star(_large_star(current)))
+        discard(before)
