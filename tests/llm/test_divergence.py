@@ -131,3 +131,24 @@ def test_other_columns_are_not_read(corpus_spark):
     rows = made_rows(30, 9)
     names = {c: F.lit("x") for c in ("term", "ordinal", "p", "base", "block", "tile", "value", "item")}
     assert got(divergence.audit(spark_docs(corpus_spark, rows).withColumns(names), 2)) == plain(rows, 2)
+
+
+def test_portions_of_text_count_as_the_whole(monkeypatch):
+    """In this process, where the sizes of portions can be made small: every word once, none cut in two."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(divergence, "TEXT_BYTES", 7)
+    rng = random.Random(8)
+    words = ["a", "ab", "abc", "straße", "漢字", "longerthanaportion", "zz"]
+    docs = [(rng.choice("xy"), " ".join(rng.choices(words, k=rng.randrange(30)))) for _ in range(40)]
+    terms = sorted(w.encode() for w in words[:-1])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["en"] * 40), pa.array([s for s, _ in docs]), pa.array([t.upper().replace("SS", "ss").replace("ẞ", "ß").encode() for _, t in docs])],
+        names=["lang", "source", "text"],
+    )
+    found = Counter()
+    for out in divergence.Counting([("en", 0, build(terms[:3])), ("en", 3, build(terms[3:]))])(iter([batch])):
+        for source, ordinal, n in zip(*(out[c].to_pylist() for c in ("source", "ordinal", "n"))):
+            found[source, terms[ordinal]] += n
+    expected = Counter((s, t.encode()) for s, d in docs for t in TERM.findall(lowered(d.upper().replace("SS", "ss"))) if t.encode() in terms)
+    assert found == expected
