@@ -174,16 +174,13 @@ def latency_summary(alerts: DataFrame, window_ms: int) -> DataFrame:
     """Mean and nearest-rank 99th percentile of the lag; both 0 without usable alerts.
 
     Lags are counted per value and, about as many values at a time as there are ranges, per range. The rank is found
-    among the ranges and then inside one, so neither ranking sees more rows than the root of the cap.
+    among the ranges and then inside one, so neither ranking sees more rows than the root of the cap. Both read the
+    exchange of the counted values.
     """
     width = int(lag_cap_ms(window_ms) ** 0.5) + 1
     lags = alerts.where(F.col("alertTimestamp").isNotNull()).select(alert_lag(window_ms).alias("lag"))
-    counted = materialize(
-        lags.where(F.col("lag").isNotNull())
-        .groupBy("lag")
-        .agg(F.count("*").alias("n"))
-        .withColumn("range", F.floor(F.col("lag") / width))
-    )
+    values = lags.where(F.col("lag").isNotNull()).groupBy("lag").agg(F.count("*").alias("n"))
+    counted = values.withColumn("range", F.floor(F.col("lag") / width))
     upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranges = counted.groupBy("range").agg(F.sum("n").alias("rows"), F.sum(F.col("lag") * F.col("n")).alias("sum"))
     # ceil(0.99 n) in whole numbers

@@ -269,8 +269,8 @@ SELECT k AS "featureKey", max(wt) AS "writtenAt", max_by(ruleType, (wt, seq, rul
 
 
 CASES = f"""{ALERTS}, cs AS (
-  SELECT ['p', 'w', 'b', 's'][un % 4 + 1] || (un % 40) AS "case", count(*) AS alerts, min(un) AS win,
-    avg(matchCount) * 40000 AS lat
+  SELECT ['p', 'w', 'b', 's'][un % 4 + 1] || (un % 40) AS "case", count(*) AS alerts, sum(matchCount) AS raw, min(un) AS low,
+    max(lastEventTimestamp - firstEventTimestamp) AS win, avg(matchCount) * 40000 AS lat
   FROM (SELECT *, CAST(userId AS BIGINT) AS un FROM al) GROUP BY 1)"""
 
 
@@ -518,11 +518,11 @@ ORACLES = {
         l.avg_latency_ms, l.p99_latency_ms, 1.0::DOUBLE AS cpu_pct, 2.0::DOUBLE AS mem_mb, {QUALITY_SUMMARY}
       FROM tot, (SELECT {LATENCY.replace("lag", "least(lag, 300000)")} FROM sc) l""",
     "abnormal_users": f"""{ALERTS} SELECT ruleType AS rule_type, count(DISTINCT userId) AS users FROM al GROUP BY ruleType""",
-    "detection_rate": f"""{CASES} SELECT "case", alerts, round(alerts / (SELECT max(alerts) FROM cs)::DOUBLE, 6) AS detection_rate,
+    "detection_rate": f"""{CASES} SELECT "case", alerts, round(raw / (SELECT max(raw) FROM cs)::DOUBLE, 6) AS detection_rate,
       lat >= 0.98 * greatest(120000, 5 * win) AS censored FROM cs""",
     "case_family": f"""{CASES} SELECT "case", win AS "window" FROM cs WHERE "case" LIKE 'w%'""",
     "reference_case": f"""{CASES} SELECT "case", alerts FROM cs
-      ORDER BY CASE "case" WHEN 'w60000' THEN 0 WHEN 'p4' THEN 1 ELSE 2 END, win LIMIT 1""",
+      ORDER BY CASE "case" WHEN 'w60000' THEN 0 WHEN 'p4' THEN 1 ELSE 2 END, low LIMIT 1""",
     "pattern_times_or_more": times_pattern("userId", "LOGIN_FAIL", 2, 96),
     "pattern_times_overlapping": f"""WITH {EV} SELECT userId AS "groupKey", seq, t0 AS "firstTimestamp", t AS "timestamp" FROM (
       SELECT *, lag(t) OVER (PARTITION BY userId ORDER BY t, seq) AS t0 FROM ev WHERE actionType = 'LOGIN_FAIL')

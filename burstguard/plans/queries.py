@@ -422,16 +422,18 @@ def abnormal_users(spark, sf):
 
 
 def _cases(spark, sf):
-    """Alerts per rule and nation-like group as evaluation cases p, w, b and s."""
+    """Alerts per group of users as evaluation cases p, w, b and s: their counts, the events they hold, their longest span
+    and how many rules they come from."""
     family = F.get(F.array(F.lit("p"), F.lit("w"), F.lit("b"), F.lit("s")), (F.col("user_n") % 4).cast("int"))
     users = _alerts(spark, sf).withColumn("user_n", F.col("userId").cast("bigint"))
     return users.groupBy(F.concat(family, (F.col("user_n") % 40).cast("string")).alias("case")).agg(
         F.count("*").alias("alerts"),
-        F.lit(0).cast("bigint").alias("alerts_raw_total"),
-        F.min("user_n").alias("window"),
-        F.max("user_n").alias("parallelism"),
-        F.count("*").alias("events"),
-        F.lit("b").alias("backend"),
+        F.sum("matchCount").alias("alerts_raw_total"),
+        F.max(F.col("lastEventTimestamp") - F.col("firstEventTimestamp")).alias("window"),
+        F.count_distinct("ruleId").alias("parallelism"),
+        F.sum("matchCount").alias("events"),
+        F.min("ruleType").alias("backend"),
+        F.min("user_n").alias("seq"),
         (F.avg("matchCount") * 40_000).alias("avg_latency_ms"),
     )
 
@@ -448,8 +450,7 @@ def case_family(spark, sf):
 
 
 def reference_case(spark, sf):
-    rows = _cases(spark, sf).withColumn("seq", F.col("window"))
-    return ev.reference_case_rows(rows).select("case", "alerts")
+    return ev.reference_case_rows(_cases(spark, sf)).select("case", "alerts")
 
 
 def _pattern_rows(matches):
