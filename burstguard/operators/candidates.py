@@ -1,9 +1,11 @@
 """The match tests alone, without consuming: every row that completes a match.
 
-Useful by itself and as a cheap screen. Each test looks back one window at most. A window is cut into ``SUBS`` sub-slots;
-rows are sorted and windowed inside theirs only, so that one key's rows inside one window are spread over many tasks. What
-a sub-slot needs to know of those before it is a small state for each: the last times, the last logins, a count. These
-states are carried along among themselves, a row per key and sub-slot.
+Useful by itself and as a cheap screen. Each test looks back one window at most. For counts and pairs a window is cut into
+``SUBS`` sub-slots; rows are sorted and windowed inside theirs only, so that one key's rows inside one window are spread
+over many tasks. What a sub-slot needs to know of those before it is a small state for each: the last times. These states
+are carried along among themselves, a row per key and sub-slot. Payments are counted, which such states make dear (five
+times the work on the test tables): their rows are windowed per (key, slot of a few windows), a slot also seeing the rows
+one window before it.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -95,81 +97,69 @@ def pair_candidates(rows: DataFrame, key: str, window_ms: int) -> DataFrame:
     )
 
 
-def _has_ip() -> Column:
-    return F.coalesce(F.col("ip") != "", F.lit(False))
+# Slots of payment candidates, in windows.
+SLOT_WINDOWS = 8
 
 
-def _last_logins(logins: DataFrame, by: list[str]) -> DataFrame:
-    """Per group the last login, and the last one from another ip than that: ``_logins``, the latest first."""
-    per_ip = logins.groupBy(*by, F.lower("ip").alias("_ip")).agg(F.max(F.struct("timestamp", "seq")).alias("_at"))
-    latest = Window.partitionBy(*by).orderBy(F.desc("_at"))
-    two = per_ip.withColumn("_n", F.row_number().over(latest)).where(F.col("_n") <= 2)
-    login = F.struct(F.col("_at.timestamp").alias("t"), F.col("_at.seq").alias("q"), F.col("_ip").alias("ip"))
-    return two.groupBy(*by).agg(F.sort_array(F.collect_list(login), False).alias("_logins"))
-
+def in_slots(rows: DataFrame, window_ms: int) -> DataFrame:
+    """Each row in its slot and, within a window of the border, in the next; ``_core`` marks its own."""
+    span = window_ms * SLOT_WINDOWS
+    own = F.expr(f"timestamp div {span}")
+    reached = F.expr(f"(timestamp + {window_ms}) div {span}")
+    return (
+        rows.withColumn("_own", own)
+        .withColumn("_slot", F.explode(F.sequence(own, reached)))
+        .withColumn("_core", F.col("_slot") == F.col("_own"))
+        .drop("_own")
+    )
 
-def payment_candidates(rows: DataFrame, key: str, threshold: int, window_ms: int) -> DataFrame:
-    """``large`` payments with enough ``small`` ones and a ``login`` from another ip in the window
-    before them; adds the number of small payments and the time of the latest such login.
 
-    Small payments in a window are those up to the large one less those up to a probe that stands where the window
-    begins; both are counted from the start of one group of sub-slots.
-    """
-    cut = _Cut(key, window_ms)
-    placed = cut.placed(rows)
-    larges = placed.where((F.col("role") == "large") & _has_ip())
-    group = _floor_div(F.col("_sub"), cut.group)
-    probes = larges.select(
-        key, (F.col("timestamp") - window_ms).alias("timestamp"), F.lit(-1).cast("long").alias("seq"), F.lit("probe").alias("role"),
-        F.col("seq").alias("_of"), group.alias("_group"),
-    ).withColumn("_sub", cut.sub())
-    smalls = placed.where(F.col("role") == "small").select(key, "timestamp", "seq", "role", "_sub")
-    ends = larges.select(key, "timestamp", "seq", "role", "_sub", F.col("seq").alias("_of"), group.alias("_group"))
-    counted = ends.unionByName(probes).unionByName(smalls, allowMissingColumns=True)
-    is_small = (F.col("role") == "small").cast("long")
-    # a probe stands before all rows of its time, a large payment where its number puts it
-    order = Window.partitionBy(key, "_sub").orderBy("timestamp", F.col("role") != "probe", "seq")
-    states = counted.groupBy(key, "_sub").agg(F.sum(is_small).alias("_smalls"))
-    so_far = Window.partitionBy(key, "_group").orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cut.grouped(states).withColumn("_start", F.coalesce(F.sum("_smalls").over(so_far), F.lit(0))).select(
-        key, "_group", "_sub", "_start"
-    )
-    at = (
-        counted.withColumn("_within", F.sum(is_small).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .where(F.col("_of").isNotNull())
-        .join(starts, [key, "_group", "_sub"])
-        .withColumn("_total", F.col("_start") + F.col("_within"))
+def with_lookbacks(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Adds, per key in (timestamp, seq) order: ``rn``; the last first/login row up to here
+    (``first1``) and the last login from another ip than that (``first2``); and the number of
+    small payments up to here (``smalls``)."""
+    w = Window.partitionBy(*key).orderBy("timestamp", "seq")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    anchor = F.when(
+        (F.col("role") == "first") | ((F.col("role") == "login") & F.coalesce(F.col("ip") != "", F.lit(False))),
+        F.struct(F.col("rn").alias("rn"), F.col("timestamp").alias("t"), F.lower("ip").alias("ip")),
     )
-    is_end = F.col("role") == "large"
-    smalls_near = at.groupBy(key, F.col("_of").alias("seq")).agg(
-        (F.max(F.when(is_end, F.col("_total"))) - F.max(F.when(~is_end, F.col("_total")))).cast("int").alias("smallPayments")
-    )
-    # logins inside the sub-slot, then those carried from before it
-    logins = placed.where((F.col("role") == "login") & _has_ip())
-    seen = logins.select(key, "_sub", "timestamp", "seq", "ip").unionByName(
-        larges.select(key, "_sub", "timestamp", "seq", F.lit(None).cast("string").alias("ip"))
+    small = (F.col("role") == "small").cast("int")
+    rows = rows.withColumn("rn", F.row_number().over(w)).withColumn("smalls", F.sum(small).over(upto).cast("int"))
+    rows = rows.withColumn("first1", F.last(anchor, ignorenulls=True).over(upto))
+    before = F.lag("first1").over(w)
+    turned = F.when((F.col("first1.rn") == F.col("rn")) & (F.col("first1.ip") != before["ip"]), before)
+    return (
+        rows.withColumn("_turned", turned)
+        .withColumn("first2", F.last("_turned", ignorenulls=True).over(upto))
+        .drop("_turned")
     )
-    mine = F.when(F.col("ip").isNotNull(), F.struct(F.col("timestamp").alias("t"), F.lower("ip").alias("ip")))
-    latest = F.last(mine, ignorenulls=True).over(cut.upto)
-    turned = F.when(mine["ip"] != F.lag("_latest").over(cut.inside)["ip"], F.lag("_latest").over(cut.inside))
-    inside = (
-        seen.withColumn("_latest", latest).withColumn("_turned", turned)
-        .withColumn("_other", F.last("_turned", ignorenulls=True).over(cut.upto))
-        .where(F.col("ip").isNull()).select(key, "_sub", "seq", "_latest", "_other")
-    )
-    per_sub = placed.select(key, "_sub").distinct().join(_last_logins(logins, [key, "_sub"]), [key, "_sub"], "left")
-    earlier = cut.carried(per_sub, _lists=F.collect_list("_logins")).select(
-        key, "_sub", F.sort_array(F.flatten("_lists"), False).alias("_earlier")
+
+
+def remote_login() -> Column:
+    """The latest login from another ip than this row's, null when the row has no ip."""
+    ip = F.lower("ip")
+    return F.when(F.coalesce(ip != "", F.lit(False)), F.when(F.col("first1.ip") != ip, F.col("first1")).otherwise(
+        F.when(F.col("first1").isNotNull(), F.col("first2"))
+    ))
+
+
+def payment_candidates(rows: DataFrame, key: str, threshold: int, window_ms: int) -> DataFrame:
+    """``large`` payments with enough ``small`` ones and a ``login`` from another ip in the window
+    before them; adds the number of small payments and the time of the latest such login."""
+    slotted = with_lookbacks(in_slots(rows, window_ms), [key, "_slot"])
+    older = Window.partitionBy(key, "_slot").orderBy("timestamp").rangeBetween(
+        Window.unboundedPreceding, -(window_ms + 1)
     )
-    home = F.lower("ip")
-    before = F.get(F.filter("_earlier", lambda x: x["ip"] != home), F.lit(0))["t"]
-    login = F.when(F.col("_latest.ip") != home, F.col("_latest.t")).when(F.col("_other.ip") != home, F.col("_other.t"))
+    before_window = F.coalesce(F.sum((F.col("role") == "small").cast("int")).over(older), F.lit(0))
     return (
-        larges.join(smalls_near, [key, "seq"])
-        .where(F.col("smallPayments") >= threshold)
-        .join(inside, [key, "_sub", "seq"])
-        .join(earlier, [key, "_sub"], "left")
-        .withColumn("loginTimestamp", F.coalesce(login, before))
-        .where(F.col("timestamp") - F.col("loginTimestamp") <= window_ms)
-        .select(*rows.columns, "smallPayments", "loginTimestamp")
+        slotted.withColumn("smallPayments", F.col("smalls") - before_window)
+        .withColumn("loginTimestamp", remote_login()["t"])
+        .where(
+            F.col("_core")
+            & (F.col("role") == "large")
+            & (F.col("smallPayments") >= threshold)
+            & (F.col("timestamp") - F.col("loginTimestamp") <= window_ms)
+        )
+        .drop("_slot", "_core", "rn", "smalls", "first1", "first2")
     )
