@@ -25,6 +25,7 @@ ARRIVAL_COLUMNS = ["groupKey", *EVENT_FIELDS, *RULE_FIELDS]
 ARRIVAL_ORDER = ["arrivedAt", "seq"]
 
 _TIME, _ROLE, _IP = (EVENT_FIELDS.index(f) for f in ("timestamp", "role", "ip"))
+_DETECTOR, _WINDOW, _THRESHOLD = (RULE_FIELDS.index(f) for f in ("detector", "windowSizeMs", "threshold"))
 _EVENT_DDL = (
     "userId string, actionType string, ip string, timestamp long, sessionId string, deviceId string, "
     "productId string, amount double, extra string"
@@ -37,10 +38,19 @@ ARRIVAL_MATCH_SCHEMA = (
 )
 
 
+def plain_values(column: pd.Series) -> list:
+    """Values of a column, None for missing ones."""
+    values = column.tolist()
+    if column.dtype.kind in "iub":
+        return values
+    missing = column.isna().to_numpy()
+    return [None if m else v for m, v in zip(missing, values)] if missing.any() else values
+
+
 def arrivals(pdf: pd.DataFrame) -> Iterator[tuple[str, tuple, tuple]]:
     """(key, event, rule) of the rows of a frame, fields in the order of the lists above, None for missing values."""
     width = 1 + len(EVENT_FIELDS)
-    columns = [pdf[c].astype(object).where(pdf[c].notna(), None) for c in ARRIVAL_COLUMNS]
+    columns = [plain_values(pdf[c]) for c in ARRIVAL_COLUMNS]
     for row in zip(*columns):
         yield row[0], row[1:width], row[width:]
 
@@ -62,12 +72,12 @@ def own_detectors(finders: dict[str, registry.Find]) -> dict:
 
 def take_in(buffer: KeyBuffer, key: str, event: tuple, rule: tuple) -> dict | None:
     """The match that an event completes, as an output row."""
-    facts = dict(zip(RULE_FIELDS, rule))
     found = buffer.arrive(
-        event[_TIME], event[_ROLE], event[_IP], event, facts["detector"], facts["windowSizeMs"], facts["threshold"]
+        event[_TIME], event[_ROLE], event[_IP], event, rule[_DETECTOR], rule[_WINDOW], rule[_THRESHOLD]
     )
     if found is None:
         return None
+    facts = dict(zip(RULE_FIELDS, rule))
     rows = [dict(zip(EVENT_FIELDS, e)) for e in found]
     first = rows[0]
     return {f: facts[f] for f in RULE_FIELDS if f != "detector"} | {
