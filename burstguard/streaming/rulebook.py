@@ -2,17 +2,19 @@
 
 Events and rule changes are united on one clock: time of arrival, a change before an event of the same time, then the
 number of the record. Events are dealt to shards, and every change goes to all of them, so that each shard keeps the
-whole rule book as state, the way every worker of a stream would. A shard takes its rows in that order: a change alters
-the book, an event meets the rules that are in it. What matches goes on, in the same query, to the detectors' state.
+whole rule book as state, the way every worker of a stream would. A shard follows the changes in that order and notes
+which range of its events each version of a rule was in force for; an event meets the rules in whose ranges it stands.
+What matches goes on, in the same query, to the detectors' state.
 
-Cost: a change is written once per shard, and a micro-batch reads each shard's book once; rule sets are small beside the
-events of a batch.
+Cost: a change is looked at once per shard, a version finds its events by binary search, and a micro-batch reads each
+shard's book once and writes the rules it has altered once; rule sets are small beside the events of a batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +44,10 @@ _FACTS = [f.split(" ")[0] for f in _FACTS_DDL.split(", ")]
 _BOOK_DDL = f"live boolean, {_FACTS_DDL}, actions array<string>, parts array<string>"
 MATCHED_DDL = f"arrivedAt long, seq long, {_EVENT_DDL}, ruleId string, {_FACTS_DDL}, part string"
 _MATCHED = ["arrivedAt", "seq", *BEHAVIOR_COLUMNS, "ruleId", *_FACTS, "part"]
+_EVENT_COLUMNS = ["arrivedAt", "seq", *BEHAVIOR_COLUMNS, "watchedAction"]
+_CHANGE_COLUMNS = ["ruleId", "off", "live", *_FACTS, "actions", "parts"]
+# Pairs of an event and a rule handed on at once.
+PAIRS_AT_ONCE = 20_000
 
 
 def united(events: DataFrame, changes: DataFrame, strict_routing: bool = False, shards: int = SHARDS) -> DataFrame:
@@ -77,10 +83,7 @@ class RuleBook(StatefulProcessor):
     def _changed(self, book: dict[str, tuple], row) -> bool:
         """Applies one change: off removes a rule whatever its version, else only a higher version goes in."""
         if row.off:
-            if book.pop(row.ruleId, None) is None:
-                return False
-            self.rules.removeKey((row.ruleId,))
-            return True
+            return book.pop(row.ruleId, None) is not None
         held = book.get(row.ruleId)
         if held is not None and held[1 + _FACTS.index("version")] >= row.version:
             return False
@@ -88,35 +91,63 @@ class RuleBook(StatefulProcessor):
         for whole in ("windowSizeMs", "threshold", "version"):
             facts[_FACTS.index(whole)] = int(facts[_FACTS.index(whole)])
         book[row.ruleId] = (bool(row.live), *facts, list(row.actions), list(row.parts))
-        self.rules.updateValue((row.ruleId,), book[row.ruleId])
         return True
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows), ignore_index=True).sort_values(["arrivedAt", "lane", "seq"], kind="stable")
+        arrived = pd.concat(list(rows), ignore_index=True).sort_values(["arrivedAt", "lane", "seq"], kind="stable", ignore_index=True)
+        is_change = arrived["lane"].to_numpy() == CHANGE_LANE
+        # where a change stands among the events
+        places = np.cumsum(~is_change)[is_change]
+        events = arrived.loc[~is_change, _EVENT_COLUMNS].reset_index(drop=True)
+        changes = arrived.loc[is_change, _CHANGE_COLUMNS]
+        del arrived
+        yield from _met(events, self._spans(changes, places, len(events)))
+
+    def _spans(self, changes: pd.DataFrame, places: np.ndarray, end: int) -> pd.DataFrame:
+        """The rules that may match, a row for each action they watch, with the range of events that meet them."""
         book = self._loaded()
-        table = None
-        changes = arrived["lane"].to_numpy() == CHANGE_LANE
-        # runs of events between changes meet one state of the book
-        for _, part in arrived.groupby((changes != pd.Series(changes).shift().to_numpy()).cumsum(), sort=False):
-            if part["lane"].iat[0] == CHANGE_LANE:
-                altered = [self._changed(book, row) for row in part.itertuples(index=False)]
-                table = None if any(altered) else table
-                continue
-            table = _table(book) if table is None else table
-            if len(table):
-                yield part.drop(columns=[*_FACTS, "ruleId"]).merge(table, on="watchedAction")[_MATCHED]
+        since, spans, altered = dict.fromkeys(book, 0), [], set()
+
+        def closed(rule_id: str, entry: tuple, to: int) -> None:
+            live, *facts, actions, parts = entry
+            if live and since[rule_id] < to:
+                spans.extend((since[rule_id], to, rule_id, *facts, a, p) for a, p in zip(actions, parts))
+
+        for place, row in zip(places.tolist(), changes.itertuples(index=False)):
+            before = book.get(row.ruleId)
+            if self._changed(book, row):
+                altered.add(row.ruleId)
+                if before is not None:
+                    closed(row.ruleId, before, place)
+                since[row.ruleId] = place
+        for rule_id, entry in book.items():
+            closed(rule_id, entry, end)
+        for rule_id in altered:
+            if rule_id in book:
+                self.rules.updateValue((rule_id,), book[rule_id])
+            else:
+                self.rules.removeKey((rule_id,))
+        return pd.DataFrame(spans, columns=["from", "to", "ruleId", *_FACTS, "watchedAction", "part"])
 
     def close(self) -> None:
         pass
 
 
-def _table(book: dict[str, tuple]) -> pd.DataFrame:
-    """The rules that may match, a row for each action they watch."""
-    out = []
-    for rule_id, (live, *facts, actions, parts) in book.items():
-        if live:
-            out += [(rule_id, *facts, a, p) for a, p in zip(actions, parts)]
-    return pd.DataFrame(out, columns=["ruleId", *_FACTS, "watchedAction", "part"])
+def _met(events: pd.DataFrame, spans: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Events with the rules in whose range and of whose action they are."""
+    by_action = events.groupby("watchedAction", sort=False).indices
+    for action, mine in spans.groupby("watchedAction", sort=False):
+        at = np.sort(by_action.get(action, np.empty(0, np.int64)))
+        low, high = np.searchsorted(at, mine["from"].to_numpy()), np.searchsorted(at, mine["to"].to_numpy())
+        ends = np.cumsum(high - low)
+        total = int(ends[-1]) if len(ends) else 0
+        for begin in range(0, total, PAIRS_AT_ONCE):
+            pairs = np.arange(begin, min(begin + PAIRS_AT_ONCE, total))
+            span = np.searchsorted(ends, pairs, side="right")
+            event = at[high[span] - (ends[span] - pairs)]
+            left = events.iloc[event].drop(columns="watchedAction").reset_index(drop=True)
+            right = mine.iloc[span].drop(columns=["from", "to", "watchedAction"]).reset_index(drop=True)
+            yield pd.concat([left, right], axis=1)[_MATCHED]
 
 
 def live_matches(
