@@ -132,7 +132,8 @@ def json_documents(spark: SparkSession, path: str) -> DataFrame:
         text.groupBy("_file").agg(F.min(F.struct("_block", "_n", F.substring("value", 1, 1).alias("c"))).alias("f"))
         .where(F.col("f.c") == "[").select("_file")
     )
-    lines = text.join(arrays, "_file", "left_anti").select("value")
+    # one row per file
+    lines = text.join(F.broadcast(arrays), "_file", "left_anti").select("value")
     return lines.unionByName(array_elements(spark, path, arrays))
 
 

@@ -41,10 +41,12 @@ def write_lines(documents: DataFrame, path: str, mode: str = "errorifexists") ->
     documents.select("value").write.mode(mode).text(path)
 
 
-def write_rule_array(rules: DataFrame, path: str, mode: str = "errorifexists", files: int = 1) -> None:
-    """A rule set as JSON arrays, one in each of ``files``, written side by side in order of the rule ids."""
+def write_rule_array(rules: DataFrame, path: str, mode: str = "errorifexists", files: int | None = 1) -> None:
+    """A rule set as JSON arrays, one in each of ``files``, written side by side in order of the rule ids. ``None``: as many
+    files as the size of the rules asks for."""
     docs = rule_documents(rules).select("key", "value")
-    dealt = docs.coalesce(1) if files == 1 else docs.repartitionByRange(files, "key")
+    ranges = ["key"] if files is None else [files, "key"]
+    dealt = docs.coalesce(1) if files == 1 else docs.repartitionByRange(*ranges)
     as_arrays(dealt.sortWithinPartitions("key", "value")).write.mode(mode).text(path)
 
 
