@@ -41,14 +41,16 @@ def parse_once(value: str, names: list[str]) -> Column:
     return F.explode(F.array(parsed))
 
 
+def _once(columns: list[Column]) -> Column:
+    """Computed columns as one struct behind a generator, see ``parse_once``: what filters and later columns read of them is
+    not computed again."""
+    return F.explode(F.array(F.struct(*columns)))
+
+
 def _number_to_long(text: Column) -> Column:
     """Whole numbers as they are, decimal numbers cut, empty text 0, anything else null."""
     value = F.trim(text)
-    return (
-        F.when(value == "", F.lit(0).cast("bigint"))
-        .when(integer_or_null(value).isNotNull(), integer_or_null(value))
-        .otherwise(_cut(value))
-    )
+    return F.when(value == "", F.lit(0).cast("bigint")).otherwise(F.coalesce(integer_or_null(value), _cut(value)))
 
 
 def _cut(value: Column) -> Column:
@@ -67,18 +69,22 @@ def decode_events(raw: DataFrame, value: str = "value") -> DataFrame:
     kept = [c for c in raw.columns if c != value]
     j = raw.select(*kept, F.col(value).alias("_raw"), parse_once(value, names).alias("_j"))
     field = {n: F.col("_j")[n] for n in names}
+    numbers = [
+        _number_to_long(field["timestamp"]).alias("stated"), _whole(field["TransactionDT"]).alias("transaction"),
+        F.nullif(F.trim(field["amount"]), F.lit("")).try_cast("double").alias("amount"),
+    ]
+    j = j.select(*kept, "_raw", "_j", _once(numbers).alias("_n"))
 
     def text(name: str) -> Column:
         return F.coalesce(field[name], *[field[a] for a in EVENT_ALIASES.get(name, [])])
 
-    stated = _number_to_long(field["timestamp"])
+    stated, amount = F.col("_n")["stated"], F.col("_n")["amount"]
     when = F.coalesce(
         F.when(stated != 0, stated),
         flex_time_ms(field["event_time"]),
-        transaction_time_ms(_whole(field["TransactionDT"])),
+        transaction_time_ms(F.col("_n")["transaction"]),
         F.lit(0).cast("bigint"),
     )
-    amount = F.nullif(F.trim(field["amount"]), F.lit("")).try_cast("double")
     unusable = (
         F.col("_j").isNull()
         | F.col("_j")["_corrupt"].isNotNull()
@@ -86,8 +92,7 @@ def decode_events(raw: DataFrame, value: str = "value") -> DataFrame:
         | ((F.trim(field["amount"]) != "") & amount.isNull())
     )
     rejected = F.when(F.coalesce(unusable, F.lit(False)), F.coalesce("_raw", F.lit("")))
-    return j.select(
-        *kept,
+    columns = [
         text("userId").alias("userId"),
         normalize_action(text("actionType")).alias("actionType"),
         text("ip").alias("ip"),
@@ -98,7 +103,8 @@ def decode_events(raw: DataFrame, value: str = "value") -> DataFrame:
         amount.alias("amount"),
         field["extra"].alias("extra"),
         rejected.alias("rejected"),
-    )
+    ]
+    return j.select(*kept, _once(columns).alias("_r")).select(*kept, "_r.*")
 
 
 def _whole(text: Column) -> Column:
@@ -124,26 +130,33 @@ def decode_rules(raw: DataFrame, value: str = "value") -> DataFrame:
     kept = [c for c in raw.columns if c != value]
     j = raw.select(*kept, F.json_object_keys(value).alias("_keys"), parse_once(value, names).alias("_j")).where(F.col("_keys").isNotNull() & F.col("_j")["_corrupt"].isNull())
     fixed = {"ruleType": list(registry.RULE_TYPES), "status": RULE_STATUSES, "groupKeyType": registry.key_types()}
+    kinds = {f.name: f.dataType.simpleString() for f in RULE.fields}
+
+    def parsed(name: str, text: Column, kind: str) -> Column:
+        if name in fixed:
+            return F.when(text.isin(fixed[name]), text)
+        if kind == "string":
+            return text
+        number = _number_to_long(text) if kind in ("int", "bigint") else F.coalesce(
+            F.when(F.trim(text) == "", F.lit(0.0)), F.trim(text).try_cast("double")
+        )
+        return number.try_cast(kind)
+
+    rules = j.select(
+        *kept, "_keys", "_j",
+        _once([parsed(n, F.col("_j")[n], kind).alias(n) for n, kind in kinds.items()]).alias("_r"),
+    )
     columns, broken = [], F.lit(False)
-    for f in RULE.fields:
-        text = F.col("_j")[f.name]
-        kind = f.dataType.simpleString()
-        if f.name in fixed:
-            parsed = F.when(text.isin(fixed[f.name]), text)
-        elif kind == "string":
-            parsed = text
-        else:
-            parsed = _number_to_long(text) if kind in ("int", "bigint") else F.coalesce(
-                F.when(F.trim(text) == "", F.lit(0.0)), F.trim(text).try_cast("double")
-            )
-            parsed = parsed.try_cast(kind)
-            broken = broken | (text.isNotNull() & parsed.isNull())
-            parsed = F.coalesce(parsed, F.lit(0).cast(kind))
-        if f.name in RULE_DEFAULTS:
-            default = F.lit(RULE_DEFAULTS[f.name]).cast(kind)
-            parsed = F.when(F.array_contains("_keys", f.name), parsed).otherwise(default)
-        columns.append(parsed.alias(f.name))
-    return j.where(~broken).select(*kept, *columns)
+    for name, kind in kinds.items():
+        value = F.col("_r")[name]
+        if name not in fixed and kind != "string":
+            broken = broken | (F.col("_j")[name].isNotNull() & value.isNull())
+            value = F.coalesce(value, F.lit(0).cast(kind))
+        if name in RULE_DEFAULTS:
+            default = F.lit(RULE_DEFAULTS[name]).cast(kind)
+            value = F.when(F.array_contains("_keys", name), value).otherwise(default)
+        columns.append(value.alias(name))
+    return rules.where(~broken).select(*kept, *columns)
 
 
 def decode_rejected_rules(raw: DataFrame, value: str = "value") -> DataFrame:
