@@ -620,18 +620,18 @@ def array_roundtrip(spark, sf):
 def rule_array_roundtrip(spark, sf):
     """Rules written as JSON arrays side by side, read and decoded again."""
     path = _folder(spark, "rule-arrays")
-    write_rule_array(fx.rule_changes(spark, sf), path, files=4)
+    write_rule_array(fx.rule_changes(spark, sf), path, files=None)
     return decode_rules(json_documents(spark, path)).select(*RULE_FIELDS)
 
 
 def rule_topic_snapshot(spark, sf):
     """Rule documents out of a topic, in order of arrival, folded to the rules in force."""
     place = f"segments:{_folder(spark, 'topics')}"
-    changes = fx.rule_changes(spark, sf)
-    docs = rule_documents(changes.withColumn("ruleName", F.col("seq").cast("string")))
+    # ranges of time are written side by side, since segments get their offsets in the order of the tasks
+    ordered = fx.rule_changes(spark, sf).repartitionByRange("seq").sortWithinPartitions("seq")
+    docs = rule_documents(ordered.withColumn("ruleName", F.col("seq").cast("string")))
     at = F.timestamp_millis(F.get_json_object("value", "$.ruleName").cast("long"))
-    ordered = docs.withColumn("timestamp", at).repartition(4, "key").sortWithinPartitions("timestamp")
-    write_topic(ordered, place, "rules", partitions=4)
+    write_topic(docs.withColumn("timestamp", at), place, "rules", partitions=4)
     return rule_snapshot(decode_rules(rule_topic(spark, place, "rules").drop("key"))).select(*RULE_FIELDS)
 
 
@@ -671,15 +671,16 @@ def _written_stream(spark, rows, name):
 
 def _behavior_topic(spark, sf):
     """Events as records of a topic of exported segments: four partitions by user, in order of time."""
-    events = _events(spark, sf)
-    timed = events.select(
+    order = ["partition", "timestamp", "seq"]
+    dealt = _events(spark, sf).withColumn("partition", F.pmod(F.xxhash64("userId"), F.lit(4)).cast("int"))
+    # a partition of the topic is written by several tasks, in ranges of its order
+    ordered = dealt.repartitionByRange(*order).sortWithinPartitions(*order)
+    timed = ordered.select(
         F.col("userId").alias("key"), F.to_json(F.struct(*BEHAVIOR_COLUMNS)).alias("value"),
-        F.timestamp_millis("timestamp").alias("timestamp"), F.pmod(F.xxhash64("userId"), F.lit(4)).cast("int").alias("partition"),
-        "seq",
+        F.timestamp_millis("timestamp").alias("timestamp"), "partition",
     )
     place = f"segments:{_folder(spark, 'topics')}"
-    ordered = timed.repartition(4, "partition").sortWithinPartitions("partition", "timestamp", "seq")
-    write_topic(ordered.drop("seq"), place, "behavior")
+    write_topic(timed, place, "behavior")
     return place
 
 

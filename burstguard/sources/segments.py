@@ -19,6 +19,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
@@ -97,7 +98,7 @@ class Topic:
         n = batch.num_rows
         arrays = [
             batch["key"], batch["value"], pa.repeat(self.name, n), pa.repeat(pa.scalar(partition, pa.int32()), n),
-            pa.array(range(offset, offset + n), pa.int64()), batch["timestamp"],
+            pa.array(np.arange(offset, offset + n)), batch["timestamp"],
         ]
         return pa.RecordBatch.from_arrays(arrays, schema=_RECORDS)
 
@@ -116,13 +117,13 @@ class Topic:
                 for i, (k, p) in enumerate(zip(keys, given))
             ]
             turn += n
-            rows = self._stored(batch)
+            rows, places = self._stored(batch), np.array(dealt)
             for partition in sorted(set(dealt)):
                 if partition not in open_:
                     file = f"{partition:05d}-{uuid.uuid4().hex}.parquet"
                     sink = self.files.open_output_stream(f"{self.folder}/segments/{file}")
                     open_[partition] = (file, pq.ParquetWriter(sink, _STORED))
-                mine = rows.filter(pa.array([d == partition for d in dealt]))
+                mine = rows.filter(pa.array(places == partition))
                 open_[partition][1].write_batch(mine, row_group_size=65_536)
                 counts[partition] = counts.get(partition, 0) + mine.num_rows
         for _, writer in open_.values():
