@@ -7,10 +7,9 @@ same place: rollups and alerts go to folders of their query and batch, features
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
@@ -71,11 +70,20 @@ FEATURE_STATE = "bornAt long, writtenAt long, " + ", ".join(f"{f} string, {f}At
 FEATURE_DDL = "featureKey string, writtenAt long, " + ", ".join(f"{f} string" for f in FIELDS)
 
 
+_FEATURE = Row("featureKey", "writtenAt", *FIELDS)
+
+
+def _keep_latest(fields: dict[str, tuple], given: Iterable[tuple[str, tuple]]) -> None:
+    for f, place in given:
+        fields[f] = max(fields.get(f, place), place)
+
+
 class FeatureProcessor(StatefulProcessor):
     """Per key: its fields, each with its place in the order of writes, and when its life began and was last written.
 
     A write that comes a time to live or more after the last one begins a new life; one that is as much older than the
-    life it meets belongs to an earlier one and is left out. If ``expiring``, the state also goes by the clock.
+    life it meets belongs to an earlier one and is left out. If ``expiring``, the state also goes by the clock. Rows of a key
+    are taken one by one and not kept, so that neither many keys nor many rows of one make frames.
     """
 
     def __init__(self, ttl_ms: int, expiring: bool):
@@ -84,27 +92,35 @@ class FeatureProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.feature = handle.getValueState("feature", FEATURE_STATE, self.ttl_ms if self.expiring else None)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        writes = pd.concat(list(rows), ignore_index=True).sort_values(["writtenAt", "seq"], kind="stable")
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         born = written = None
         fields: dict[str, tuple] = {}
-        if self.feature.exists():
-            born, written, *rest = self.feature.get()
+        held = self.feature.get()
+        if held is not None:
+            born, written, *rest = held[: 2 + 3 * len(FIELDS)]
             triples = zip(FIELDS, rest[::3], rest[1::3], rest[2::3])
             fields = {f: (at, seq, value) for f, value, at, seq in triples if value is not None}
-        columns = [writes[c].astype(object).where(writes[c].notna(), None) for c in ("writtenAt", "seq", *FIELDS)]
-        for at, seq, *values in zip(*columns):
-            if written is not None and at + self.ttl_ms <= born:
+        # a span of one time to live holds no gap in which a life could end, so a row for each will do
+        spans: dict[int, list] = {}
+        for row in rows:
+            at, seq = row.writtenAt, row.seq
+            if born is not None and at + self.ttl_ms <= born:
                 continue
-            if written is None or at - written >= self.ttl_ms:
-                born, written, fields = at, at, {}
-            born, written = min(born, at), max(written, at)
-            for f, value in zip(FIELDS, values):
-                if value is not None:
-                    fields[f] = max(fields.get(f, (at, seq, value)), (at, seq, value))
+            span = spans.get(at // self.ttl_ms)
+            if span is None:
+                span = spans[at // self.ttl_ms] = [at, at, {}]
+            span[0], span[1] = min(span[0], at), max(span[1], at)
+            _keep_latest(span[2], ((f, (at, seq, row[f])) for f in FIELDS if row[f] is not None))
+        for _, (first, last, latest) in sorted(spans.items()):
+            if written is None or first - written >= self.ttl_ms:
+                born, written, fields = first, first, {}
+            born, written = min(born, first), max(written, last)
+            _keep_latest(fields, latest.items())
+        if written is None:
+            return
         flat = [x for f in FIELDS for at, seq, value in [fields.get(f, (None, None, None))] for x in (value, at, seq)]
         self.feature.update((born, written, *flat))
-        yield pd.DataFrame([(key[0], written, *flat[::3])], columns=["featureKey", "writtenAt", *FIELDS])
+        yield _FEATURE(key[0], written, *flat[::3])
 
     def close(self) -> None:
         pass
@@ -117,7 +133,7 @@ def feature_state_stream(alerts: DataFrame, scope: str, ttl_ms: int = TTL_MS, ex
     A state that goes by the clock suits a query that stays up; it keeps a query going that is to end with its data, so
     that an ``availableNow`` run needs ``expiring=False`` and leaves dead keys to the reader."""
     alerts.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return feature_updates(alerts, scope).groupBy("featureKey").transformWithStateInPandas(
+    return feature_updates(alerts, scope).groupBy("featureKey").transformWithState(
         statefulProcessor=FeatureProcessor(ttl_ms, expiring), outputStructType=FEATURE_DDL, outputMode="Update",
         timeMode="ProcessingTime" if expiring else "None",
     )
