@@ -743,9 +743,11 @@ def feature_state_by(scope):
 def stream_alert_table(spark, sf):
     """Alert texts, some delivered twice, as a stream into the alert table."""
     docs = alert_documents(_stamped(spark, sf)).select("value")
-    again = docs.where(F.pmod(F.xxhash64("value"), F.lit(3)) == 0)
+    # delivered again from the row at hand, so that the alerts are found once
+    times = F.when(F.pmod(F.xxhash64("value"), F.lit(3)) == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    delivered = docs.select("value", F.explode(times)).select("value")
     table = _folder(spark, "alert-table")
-    run_now(alert_table_stream(_written_stream(spark, docs.unionByName(again), "alerts"), table, _folder(spark, "checkpoint")))
+    run_now(alert_table_stream(_written_stream(spark, delivered, "alerts"), table, _folder(spark, "checkpoint")))
     return read_alert_table(spark, table).select(
         "ruleId", "ruleType", "level", "userId", "ip", "deviceId", "extra", "matchCount",
         F.round("riskScore", 6).alias("riskScore"), "alertTimestampMs", "lastEventTimestampMs",
