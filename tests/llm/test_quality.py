@@ -199,3 +199,45 @@ def test_pipeline_stages(corpus_spark, tmp_path):
     assert {r["doc_id"] for r in pieces} == {r["doc_id"] for r in passages}
     again = corpus_pipeline.run(corpus_spark, str(tmp_path))
     assert sum(r["length"] for r in again.collect()) == sum(r["length"] for r in pieces)
+
+
+def test_signatures_do_not_depend_on_the_way(corpus_spark, monkeypatch):
+    """A line's hashes are compared with the points of their own part, or with all: the values are the same."""
+    rng = random.Random(12)
+    lines = [" ".join(str(rng.randint(0, 999)) for _ in range(n)) for n in (1, 3, 12, 14, 30, 50, 80, 200, 400)]
+    lines += ["-" * n for n in (5, 50, 170, 900)]
+    frame = corpus_spark.createDataFrame(list(enumerate(lines)), "line_id long, line string")
+    rows = lambda: sorted(line_dedup.signatures(frame).drop("unlike").collect())
+    parted = rows()
+    assert len(parted) == len(lines) and len({tuple(r["bands"]) for r in parted[-4:]}) == 1
+    monkeypatch.setattr(line_dedup, "PARTS", [(10**9, 4)])
+    assert rows() == parted
+
+
+def test_similar_lines_share_a_band(corpus_spark):
+    """Of pairs just above the border hardly any lacks a common band or has too different a sketch; of others most do."""
+    rng = random.Random(13)
+    line = lambda n: " ".join(str(rng.randint(0, 9999)) for _ in range(n))
+    pairs = []
+    for n in (10, 20, 40, 80, 160):
+        while len(pairs) < 100 * [10, 20, 40, 80, 160].index(n) + 100:
+            parts = line(n).split()
+            changed = list(parts)
+            for _ in range(rng.randint(1, max(1, n // 12))):
+                changed[rng.randrange(n)] = str(rng.randint(0, 9999))
+            a, b = " ".join(parts), " ".join(changed)
+            if 0.8 <= jaccard(a, b) < 0.85:
+                pairs.append((a, b))
+    lines = [x for p in pairs for x in p]
+    frame = corpus_spark.createDataFrame(list(enumerate(lines)), "line_id long, line string")
+    by_id = {r["line_id"]: r for r in line_dedup.signatures(frame).collect()}
+
+    def differ(a, b):
+        bits = [(a[c] ^ b[c]) % (1 << 64) for c in ("bits", "more_bits")]
+        return sum(((x | x >> 1) & 0x5555555555555555).bit_count() for x in bits)
+
+    def met(a, b):
+        return bool(set(a["bands"]) & set(b["bands"])) and differ(a, b) <= max(a["unlike"], b["unlike"])
+
+    assert sum(met(by_id[2 * i], by_id[2 * i + 1]) for i in range(len(pairs))) >= 0.99 * len(pairs)
+    assert sum(met(by_id[2 * i], by_id[2 * i + 2]) for i in range(len(pairs) - 1)) <= 2
