@@ -241,3 +241,26 @@ def test_similar_lines_share_a_band(corpus_spark):
 
     assert sum(met(by_id[2 * i], by_id[2 * i + 1]) for i in range(len(pairs))) >= 0.99 * len(pairs)
     assert sum(met(by_id[2 * i], by_id[2 * i + 2]) for i in range(len(pairs) - 1)) <= 2
+
+
+def test_bands_of_one_label_are_passed_over(corpus_spark, tmp_path):
+    """What earlier bands have linked is not moved again, and a band of two lines is a pair."""
+    rows = [(1, 1, 7), (2, 1, 7), (3, 1, 7), (4, 4, 8), (5, 5, 8), (6, 6, 9), (7, 6, 9), (8, 8, 9), (9, 9, 10)]
+    frame = corpus_spark.createDataFrame(rows, "line_id long, label long, band long")
+    shared, members = line_dedup.held(frame.selectExpr("*", "true as other"))
+    assert sorted((r["band"], r["n"], r["low"], r["high"]) for r in shared.collect()) == [(8, 2, 4, 5), (9, 3, 6, 8)]
+    assert sorted((r["line_id"], r["low"], r["low_label"]) for r in members.collect()) == [(6, 6, 6), (7, 6, 6), (8, 6, 6)]
+
+
+def test_unlike_lines_seldom_share_a_band(corpus_spark):
+    rng = random.Random(14)
+    word = lambda: str(rng.randint(0, 9999))
+    lines = []
+    while len(lines) < 600:
+        parts = [word() for _ in range(60)]
+        changed = [x if rng.random() < 0.75 else word() for x in parts]
+        if 0.3 <= jaccard(" ".join(parts), " ".join(changed)) < 0.45:
+            lines += [" ".join(parts), " ".join(changed)]
+    frame = corpus_spark.createDataFrame(list(enumerate(lines)), "line_id long, line string")
+    bands = {r["line_id"]: set(r["bands"]) for r in line_dedup.signatures(frame).collect()}
+    assert sum(bool(bands[2 * i] & bands[2 * i + 1]) for i in range(300)) <= 30
