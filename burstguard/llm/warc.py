@@ -4,16 +4,19 @@ Writing: of equal payloads one page is a response and the others revisit it. A r
 payload in chunks; a record block above a size is cut into segments, a first record and its continuations. Spark's text
 writer puts the records down as bytes, the separator of its lines being the end of a record.
 
-Reading: archives are split at the border of two records, so that a large one is read by several tasks; a file in which
-some piece is not as long as its header says (the border also stood inside a block) is walked whole instead. Segments are
+Reading: archives are split at the border of two records, so that a large one is read by several tasks. Spark's reader
+overlooks a border where its buffer or its part of the file ends within line ends before it, so that a piece may hold
+several records; their lengths tell them apart. A file in which a piece is still not as long as its headers say (the border
+also stood inside a block) is walked from its start instead, piece by piece in their order, a record at a time. Segments are
 grouped by the identifier of their origin, ordered by number and checked against the total length; then the chunks are
-decoded and the payload is held against its digest.
+decoded and the payload is held against its digest. Rows go to Python in batches of a few MB.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 import pandas as pd
@@ -33,6 +36,11 @@ HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransf
 #: Bytes of a chunk and, at most, of a record block.
 CHUNK, SEGMENT = 4096, 16384
 
+#: What parts two records.
+BORDER = f"{END}{VERSION}\r\n"
+#: Bytes of a batch of rows for Python.
+BATCH = 4 << 20
+
 RECORD = "head string, body binary"
 FIELDS = {
     "record_type": "WARC-Type",
@@ -162,33 +170,102 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, chunk: int
     records(typed_pages(pages, least_bytes), now, chunk, segment).write.option("lineSep", END).text(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside hands rows to Python in batches of BATCH bytes: ten thousand blocks, the default, are many MB."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _length(head: bytes) -> int | None:
+    """What a header says of its body's length; None if that can't be read."""
+    lengths = [x.split(b":", 1)[1].strip() for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")]
+    return int(lengths[0]) if lengths and lengths[0].isdigit() else None
+
+
+def _parted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The records of pieces that are not as long as their first header says. One without header and body for a piece that
+    is not made of whole records with the border between them."""
+    end, border = END.encode(), BORDER.encode()
+    for frame in batches:
+        out = []
+        for file, piece in zip(frame["file"], frame["piece"]):
+            at, found = 0, []
+            while at is not None:
+                stop = piece.find(end, at)
+                length = _length(piece[at:stop]) if stop >= 0 else None
+                after = None if length is None else stop + len(end) + length
+                if after is None or piece[after : after + len(border)] not in (border, b"", end) or after > len(piece):
+                    found, at = [(file, None, None)], None
+                else:
+                    found.append((file, piece[at:stop].decode("utf-8", "replace"), piece[stop + len(end) : after]))
+                    at = after + len(border) if piece.startswith(border, after) else None
+            out += found
+        yield pd.DataFrame(out, columns=["file", "head", "body"])
+
+
 def _walked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whole archives, from record to record by their lengths. What follows a broken header comes back without one."""
+    """Archives given as pieces in their order, from record to record by their lengths, of which only the one at hand is
+    held. What follows a broken header comes back without one."""
+    end, border = END.encode(), BORDER.encode()
+    file, size, read, content, at = None, 0, 0, bytearray(), 0
+
+    def records(over: bool) -> list[tuple[str | None, bytes]]:
+        nonlocal at
+        out = []
+        while at < len(content):
+            stop = content.find(end, at)
+            length = _length(bytes(content[at:stop])) if stop >= 0 else None
+            after = None if length is None else stop + len(end) + length
+            if after is None or after > len(content):
+                if over:
+                    out.append((None, bytes(content[at:])))
+                    at = len(content)
+                break
+            out.append((bytes(content[at:stop]).decode("utf-8", "replace"), bytes(content[stop + len(end) : after])))
+            at = after + len(end)
+        gone = min(at, len(content))
+        del content[:gone]
+        at -= gone
+        return out
+
+    def closed() -> list[tuple[str | None, bytes]]:
+        if read + len(border) == size:  # a border at the very end leaves no piece behind
+            content.extend(border)
+        return records(over=True)
+
     for frame in batches:
-        for content in frame["content"]:
-            at, out = 0, []
-            while at < len(content):
-                end = content.find(END.encode(), at)
-                head = content[at:end] if end >= 0 else b""
-                lengths = [x.split(b":", 1)[1] for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")]
-                if not lengths or not lengths[0].strip().isdigit() or end + 4 + int(lengths[0]) > len(content):
-                    out.append((None, content[at:]))
-                    break
-                at = end + 4 + int(lengths[0])
-                out.append((head.decode("utf-8", "replace"), content[end + 4 : at]))
-                at += 4
-            yield pd.DataFrame(out, columns=["head", "body"])
+        out = []
+        for name, length, piece in zip(frame["file"], frame["size"], frame["piece"]):
+            if name != file:
+                out += closed()
+                file, size, read, at = name, length, 0, 0
+                content.clear()
+            more = border + piece if read else piece
+            read += len(more)
+            content.extend(more)
+            out += records(over=False)
+        yield pd.DataFrame(out, columns=["head", "body"])
+    yield pd.DataFrame(closed(), columns=["head", "body"])
 
 
 def split_records(spark: SparkSession, path: str) -> DataFrame:
     """``head, body`` of every record in the archives of a folder."""
-    text = spark.read.option("lineSep", f"{END}{VERSION}\r\n").text(path)
+    text = spark.read.option("lineSep", BORDER).text(path)
+    meta = F.col("_metadata")
+    raw = text.select(
+        meta["file_path"].alias("file"), meta["file_size"].alias("size"), meta["file_block_start"].alias("part"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").cast("binary").alias("piece"),
+    )
     first = f"{VERSION}\r\n"
-    piece = F.when(F.startswith("value", F.lit(first)), F.substr(F.col("value").cast("binary"), F.lit(len(first) + 1))).otherwise(
-        F.col("value").cast("binary")
-    )
+    piece = F.when(F.startswith("piece", F.lit(first.encode())), F.substr("piece", F.lit(len(first) + 1))).otherwise(F.col("piece"))
     pieces = (
-        text.select(F.col("_metadata.file_path").alias("file"), piece.alias("piece"))
+        raw.select("file", piece.alias("piece"))
         .withColumn("head", F.substring_index(F.col("piece").cast("string"), END, 1))
         .withColumn("from", F.octet_length("head") + 4)
         .withColumn("length", F.regexp_extract("head", r"(?im)^Content-Length:[ \t]*(\d+)", 1).try_cast("long"))
@@ -197,14 +274,18 @@ def split_records(spark: SparkSession, path: str) -> DataFrame:
     # the last record of a file still has its end
     last = (F.col("over") == 4) & F.endswith(F.col("piece").cast("string"), F.lit(END))
     sound = F.coalesce((F.col("over") == 0) | last, F.lit(False))
-    odd = written(pieces.filter(~sound).select("file").distinct())
-    split = pieces.join(odd, "file", "left_anti").select(
-        "head", F.substr("piece", (F.col("from") + 1).cast("int"), F.col("length").cast("int")).alias("body")
-    )
+    body = F.substr("piece", (F.col("from") + 1).cast("int"), F.col("length").cast("int"))
+    split = pieces.filter(sound).select("file", "head", body.alias("body"))
+    with small_batches(spark):
+        parted = written(pieces.filter(~sound).select("file", "piece").mapInPandas(_parted, f"file string, {RECORD}"))
+    odd = written(parted.filter("head is null").select("file").distinct())
+    found = split.unionByName(parted)
     if odd.isEmpty():
-        return split
-    whole = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content")
-    return split.unionByName(whole.join(odd, "file", "left_semi").select("content").mapInPandas(_walked, RECORD))
+        return found.drop("file")
+    whole = raw.join(odd, "file", "left_semi").repartition("file").sortWithinPartitions("file", "part", "at")
+    with small_batches(spark):
+        walked = written(whole.select("file", "size", "piece").mapInPandas(_walked, RECORD))
+    return found.join(odd, "file", "left_anti").drop("file").unionByName(walked)
 
 
 def _with_fields(split: DataFrame) -> DataFrame:
@@ -318,13 +399,13 @@ def archived_pages(pages: DataFrame, least_bytes: int = 0, chunk: int = CHUNK, s
     spark = pages.sparkSession
     path = f"{shared_dir(spark)}/archives-{uuid.uuid4().hex}"
     write_archives(pages, path, least_bytes, chunk, segment)
-    facts = written(
-        read_archives(spark, path).select(
-            "page_id", "record_type", "n_segments", "problem",
-            F.octet_length("payload").cast("long").alias("payload_bytes"),
-            F.when(F.col("record_type") == "revisit", F.col("payload_digest")).otherwise(base32_sha1(F.col("payload"))).alias("payload_digest"),
-        )
+    read = read_archives(spark, path).select(
+        "page_id", "record_type", "n_segments", "problem",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.when(F.col("record_type") == "revisit", F.col("payload_digest")).otherwise(base32_sha1(F.col("payload"))).alias("payload_digest"),
     )
+    with small_batches(spark):
+        facts = written(read)
     revisit = F.col("record_type") == "revisit"
     again = facts.filter(revisit)
     wanted = again.select("payload_digest").distinct()

@@ -1,7 +1,9 @@
 import base64
 import hashlib
 import random
+from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +151,38 @@ def test_truncated_archive(corpus_spark, tmp_path):
     (tmp_path / "a" / "x.warc").write_bytes(whole + whole.replace(b"one", b"two")[:-6])
     read = warc.read_archives(corpus_spark, str(tmp_path / "a")).collect()
     assert sorted((r["record_id"] or "", r["problem"]) for r in read) == [("", "no header"), ("one", None)]
+
+
+def test_overlooked_border_is_found_by_lengths(corpus_spark, tmp_path):
+    """The reader misses a border if its buffer ends within it and the line ends that end the block before it."""
+    bodies, at = {}, 0
+    for i in range(60):
+        head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: r{i:02d}\r\nContent-Length: 8000\r\n\r\n".encode()
+        left = 65536 - at % 65536  # the next end of a buffer
+        size = left - len(head) - 1 if 1000 <= left - len(head) - 1 < 9500 else 8000
+        bodies[f"r{i:02d}"] = head.replace(b"8000", str(size).encode()), b"x" * (size - 4) + b"\r\n\r\n"
+        at += len(head) + size + 4
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.warc").write_bytes(b"".join(h + b + b"\r\n\r\n" for h, b in bodies.values()))
+    text = corpus_spark.read.option("lineSep", "\r\n\r\nWARC/1.1\r\n").text(str(tmp_path / "a"))
+    assert text.count() < len(bodies)
+    split = warc.split_records(corpus_spark, str(tmp_path / "a"))
+    assert "binaryfile" not in split._jdf.queryExecution().toString().lower()  # a file that is read whole is held whole
+    assert Counter(bytes(r["body"]) for r in split.collect()) == Counter(b for _, b in bodies.values())
+
+
+def test_walk_holds_one_record_at_a_time():
+    def given():
+        for i in range(1000):
+            inner = b"HTTP\r\n\r\nWARC/1.1\r\nWARC-Type: x\r\nContent-Length: 1\r\n\r\na"
+            whole = b"Content-Length: %d\r\n\r\n" % len(inner) + inner
+            pieces = whole.split(warc.BORDER.encode())
+            pieces[0] = (b"" if i else b"WARC/1.1\r\n") + pieces[0]
+            seen.append(i - out[0])
+            yield pd.DataFrame({"file": "f", "size": 0, "piece": pieces})
+
+    out, seen = [0], []
+    for frame in warc._walked(given()):
+        assert all(len(b) == 54 and h.endswith("Content-Length: 54") for h, b in zip(frame["head"], frame["body"])), frame
+        out[0] += len(frame)
+    assert out[0] == 1000 and max(seen) <= 1
