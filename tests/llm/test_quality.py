@@ -264,3 +264,31 @@ def test_unlike_lines_seldom_share_a_band(corpus_spark):
     frame = corpus_spark.createDataFrame(list(enumerate(lines)), "line_id long, line string")
     bands = {r["line_id"]: set(r["bands"]) for r in line_dedup.signatures(frame).collect()}
     assert sum(bool(bands[2 * i] & bands[2 * i + 1]) for i in range(300)) <= 30
+
+
+def test_bands_are_read_one_by_one(corpus_spark):
+    """Signatures are wide: a table of labelled bands reads the columns of its own bands only."""
+    lines = corpus_spark.range(40).selectExpr("id as line_id", "concat('some words stand here ', repeat(id, 30)) as line")
+    signed = line_dedup.signatures(lines)
+    labels = corpus_spark.range(5).selectExpr("id as line_id", "0L as label")
+    rows = line_dedup.bands_of(line_dedup.labelled(signed, labels), 2, 5)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    scans = [x.split("Batched")[0] for x in plan.split("\n") if "FileScan parquet" in x]
+    assert scans and all("band3#" in x and "band1#" not in x and "bands#" not in x and "least#" not in x for x in scans)
+    want = {(r["line_id"], i, r["bands"][i]) for r in signed.collect() for i in (2, 3, 4)}
+    assert {(r["line_id"], r["number"], r["band"]) for r in rows.collect()} == want
+
+
+def test_links_are_exact_from_counts_taken_once(corpus_spark):
+    rng = random.Random(8)
+    texts = ["", "a", "ab", "abcd", "abcde", "abcdef", "aaaaaaaaaa", "aaaaa", "é漢\U0001f600xyz", "é漢\U0001f600xyz!"]
+    for _ in range(12):
+        base = "".join(rng.choice("abc ") for _ in range(rng.randint(20, 60)))
+        texts += [base, base + "x", base[1:], base[:-2] + "zz", base + base]
+    lines = corpus_spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "line_id long, line string")
+    every = [(i, j) for i in range(len(texts)) for j in range(i)]
+    counted = line_dedup.texts_of(lines, lines.select("line_id"))
+    pieces = lambda t: {t[i : i + 5] for i in range(max(1, len(t) - 4))}
+    assert {r["line_id"]: r["n"] for r in counted.collect()} == {i: len(pieces(t)) for i, t in enumerate(texts)}
+    found = line_dedup.links(counted, corpus_spark.createDataFrame(every, "a long, b long")).collect()
+    assert {tuple(r) for r in found} == {(i, j) for i, j in every if jaccard(texts[i], texts[j]) >= 0.8}
